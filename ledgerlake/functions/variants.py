@@ -18,6 +18,16 @@ def jpath(path: str) -> str:
     return out
 
 
+def safe_json(text) -> Column:
+    """VARIANT of a JSON text, null where the text is not one JSON value.
+
+    The parser stops after the first value and would accept ``{"a":1} rest``; inside brackets the rest is an error
+    or a second element.
+    """
+    wrapped = F.try_parse_json(F.concat(F.lit("["), _col(text), F.lit("]")))
+    return F.when(F.array_size(F.try_variant_get(wrapped, "$", "array<variant>")) == 1, F.try_variant_get(wrapped, "$[0]", "variant"))
+
+
 def _col(value) -> Column:
     return F.col(value) if isinstance(value, str) else value
 

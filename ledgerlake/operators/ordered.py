@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLOT = "_slot"
-_INSIDE = Window.partitionBy(SLOT)
 
 
 def time_chunk(ts: Column, unit: str = "hour") -> Column:
@@ -56,7 +55,7 @@ def running_count(
     base = _slotted(df, keys, chunk, _hit=F.coalesce(flag.cast("int"), F.lit(0)))
     earlier = _across(keys).rowsBetween(Window.unboundedPreceding, -1)
     joined = _with_carry(base, F.sum("_hit"), F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
-    local = F.sum("_hit").over(_INSIDE.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    local = F.sum("_hit").over(Window.partitionBy(SLOT).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
     return _finish(joined, out, local + F.col("_carry"), "_hit")
 
 
@@ -77,7 +76,7 @@ def carry_forward(
     earlier = _across(keys).rowsBetween(Window.unboundedPreceding, -1)
     joined = _with_carry(base, F.max_by("_value", seen), F.last("_sum", ignorenulls=True).over(earlier))
     local = F.last("_value", ignorenulls=True).over(
-        _INSIDE.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(SLOT).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     )
     return _finish(joined, out, F.coalesce(local, F.col("_carry")), "_value")
 
@@ -92,7 +91,7 @@ def carry_backward(
     joined = _with_carry(base, F.min_by("_value", seen), F.last("_sum", ignorenulls=True).over(later))
     backwards = [F.col(c).desc() for c in order]
     local = F.last("_value", ignorenulls=True).over(
-        _INSIDE.orderBy(*backwards).rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(SLOT).orderBy(*backwards).rowsBetween(Window.unboundedPreceding, 0)
     )
     return _finish(joined, out, F.coalesce(local, F.col("_carry")), "_value")
 
@@ -103,7 +102,7 @@ def previous_value(
     """``value`` of the row just before; null for the first row of a key."""
     base = _slotted(df, keys, chunk, _value=F.struct(value.alias("v")))
     joined = _with_carry(base, F.max_by("_value", F.struct(*order)), F.lag("_sum").over(_across(keys)))
-    local = F.lag("_value").over(_INSIDE.orderBy(*order))
+    local = F.lag("_value").over(Window.partitionBy(SLOT).orderBy(*order))
     return _finish(joined, out, F.coalesce(local, F.col("_carry"))["v"], "_value")
 
 
@@ -112,7 +111,7 @@ def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk:
     base = _slotted(df, keys, chunk)
     earlier = _across(keys).rowsBetween(Window.unboundedPreceding, -1)
     joined = _with_carry(base, F.count(F.lit(1)), F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
-    local = F.row_number().over(_INSIDE.orderBy(*order))
+    local = F.row_number().over(Window.partitionBy(SLOT).orderBy(*order))
     return _finish(joined, out, (local + F.col("_carry")).cast("bigint"))
 
 
@@ -121,7 +120,7 @@ def dense_ranks(df: DataFrame, keys: Sequence[str], by: str, chunk: Column, out:
     base = _slotted(df, keys, chunk)
     earlier = _across(keys).rowsBetween(Window.unboundedPreceding, -1)
     joined = _with_carry(base, F.count_distinct(by), F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
-    local = F.dense_rank().over(_INSIDE.orderBy(by))
+    local = F.dense_rank().over(Window.partitionBy(SLOT).orderBy(by))
     return _finish(joined, out, (local + F.col("_carry")).cast("bigint"))
 
 

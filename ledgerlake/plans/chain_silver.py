@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import (
-    coin_amount, coin_denom, decode_attr, denom_cut, joined_key, surrogate_key, varray, vdec, vlong, vmap, vstr, vtime,
-    vvar,
+    coin_amount, coin_denom, decode_attr, denom_cut, joined_key, safe_json, surrogate_key, varray, vdec, vlong, vmap, vstr,
+    vtime, vvar,
 )
 from ledgerlake.operators.dedupe import first_value_by, latest_by
 from ledgerlake.operators.flatten import flatten_array, split_rows
@@ -83,7 +83,7 @@ def blocks(bronze: DataFrame, responses: DataFrame, validators: DataFrame, run:
 # ---------------------------------------------------------------- transactions
 
 
-def _sender(key: Column, value: Column, payer: Column, grantee: Column, acc_seq: Column) -> Column:
+def resolve_sender(key: Column, value: Column, payer: Column, grantee: Column, acc_seq: Column) -> Column:
     """Who paid: the first attribute of the first event decides which field to trust."""
     fallback = F.coalesce(grantee, F.split_part(acc_seq, F.lit("/"), F.lit(1)))
     return (
@@ -118,7 +118,7 @@ def transactions(
         "block_timestamp",
         _old_only(F.try_element_at(F.map_keys(vmap("tx", f"{signer}.mode_info")), F.lit(1))).alias("auth_type"),
         _old_only(F.coalesce(single, several)).alias("authorizer_public_key"),
-        _sender(
+        resolve_sender(
             _event_text(0, "key"),
             _event_text(0, "value"),
             _old_only(vstr("tx", "auth_info.fee.payer")),
@@ -195,7 +195,7 @@ def manual_transactions(answers: DataFrame) -> DataFrame:
         empty.alias("tx_granter"),
         empty.alias("tx_payer"),
         empty.alias("acc_seq"),
-        _sender(key, value, empty, empty, empty).alias("tx_sender"),
+        resolve_sender(key, value, empty, empty, empty).alias("tx_sender"),
         none.cast("bigint").alias("gas_limit"),
         none.cast("bigint").alias("fee_raw"),
         empty.alias("fee_denom"),
@@ -317,7 +317,7 @@ def msg_attributes_2(messages: DataFrame, run: Run) -> DataFrame:
 
 def _log_entries(silver_transactions: DataFrame) -> DataFrame:
     """One row per entry of the log, which is JSON text; a broken log yields nothing."""
-    parsed = silver_transactions.withColumn("log", F.try_parse_json(vstr("tx", "tx_result.log")))
+    parsed = silver_transactions.withColumn("log", safe_json(vstr("tx", "tx_result.log")))
     return flatten_array(parsed, F.col("log"), "entry", "entry_index")
 
 
@@ -553,7 +553,7 @@ def transfers_ibc(attributes: DataFrame, packets: DataFrame, run: Run) -> DataFr
     arriving = attributes.where(
         (F.col("msg_type") == "write_acknowledgement") & (F.col("attribute_key") == "packet_data")
     )
-    packet = F.try_parse_json("packet_data")
+    packet = safe_json("packet_data")
     in_side = (
         pivot_known(arriving, grain, ["packet_data"])
         .withColumn("packet", packet)

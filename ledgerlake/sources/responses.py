@@ -11,7 +11,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.functions import vlong, vstr, vvar
+from ledgerlake.functions import safe_json, vlong, vstr, vvar
 
 # RPC error codes that will be retried, so their responses are not kept.
 RETRYABLE_CODES = [
@@ -39,7 +39,7 @@ def shape_responses(lines: DataFrame, key: str = "block_number", root: str = "")
     name = F.when(F.col("_file").contains(root), F.split_part(F.col("_file"), F.lit(root), F.lit(-1))).otherwise(
         F.col("_file")
     ) if root else F.col("_file")
-    parsed = lines.withColumn("value", F.try_parse_json("value")).withColumn("file_name", name)
+    parsed = lines.withColumn("value", safe_json("value")).withColumn("file_name", name)
     shaped = parsed.select(
         vlong("value", key).alias(key),
         vvar("value", "data").alias("data"),
