@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.variants import varray, vmap, vvar
+from ledgerlake.functions.binding import let
+from ledgerlake.functions.variants import varray, vmap
 
 
 def flatten_array(df: DataFrame, array: Column, value: str = "value", index: str = "index") -> DataFrame:
@@ -33,36 +34,40 @@ def flatten_path(df: DataFrame, root: Column, steps: Sequence[str], value: str =
     return out
 
 
-def flatten_recursive(df: DataFrame, root: Column, max_depth: int) -> DataFrame:
-    """Every node below ``root`` down to ``max_depth`` as (path, key, index, value), one union of plain explodes."""
-    level = df.withColumns({"path": F.lit(""), "value": root})
-    levels = []
-    for _ in range(max_depth):
-        items = F.transform(
-            varray(F.col("value")),
-            lambda v, i: F.struct(F.lit(None).cast("string").alias("key"), i.cast("bigint").alias("index"), v.alias("v")),
-        )
-        fields = F.transform(
-            F.map_entries(vmap(F.col("value"))),
-            lambda e: F.struct(e["key"].alias("key"), F.lit(None).cast("bigint").alias("index"), e["value"].alias("v")),
-        )
-        child = level.withColumn("_child", F.explode(F.coalesce(items, fields)))
-        step = F.when(F.col("_child.index").isNotNull(), F.concat(F.lit("["), F.col("_child.index"), F.lit("]"))).otherwise(
-            F.concat(F.when(F.col("path") == "", F.lit("")).otherwise(F.lit(".")), F.col("_child.key"))
+def _children(path: Column, node: Column) -> Column:
+    """(path, key, index, value) of the direct children of a VARIANT node; empty for a scalar."""
+
+    def entry(step: Column, key: Column, index: Column, value: Column) -> Column:
+        return F.struct(
+            F.concat(path, step).alias("path"), key.cast("string").alias("key"), index.cast("bigint").alias("index"),
+            value.alias("value"),
         )
-        level = child.withColumns(
-            {
-                "path": F.concat("path", step),
-                "key": F.col("_child.key"),
-                "index": F.col("_child.index"),
-                "value": F.col("_child.v"),
-            }
-        ).drop("_child")
-        levels.append(level)
-    out = levels[0]
-    for deeper in levels[1:]:
-        out = out.unionByName(deeper)
-    return out
+
+    nothing = F.lit(None)
+    dot = F.when(path == "", F.lit("")).otherwise(F.lit("."))
+    items = F.transform(
+        varray(node), lambda v, i: entry(F.concat(F.lit("["), i.cast("string"), F.lit("]")), nothing, i, v)
+    )
+    fields = F.transform(
+        F.map_entries(vmap(node)), lambda e: entry(F.concat(dot, e["key"]), e["key"], nothing, e["value"])
+    )
+    return F.coalesce(items, fields, F.filter(F.array(entry(F.lit(""), nothing, nothing, node)), lambda _: F.lit(False)))
+
+
+def flatten_recursive(df: DataFrame, root: Column, max_depth: int) -> DataFrame:
+    """Every node below ``root`` down to ``max_depth`` as (path, key, index, value).
+
+    The levels are walked inside the row, so the payload is read and parsed once, and exploded once at the end.
+    """
+
+    def below(level: Column, depth: int) -> Column:
+        if depth == max_depth:
+            return level
+        deeper = F.flatten(F.transform(level, lambda n: _children(n["path"], n["value"])))
+        return F.concat(level, let(deeper, lambda nodes: below(nodes, depth + 1)))
+
+    nodes = let(_children(F.lit(""), root), lambda nodes: below(nodes, 1))
+    return df.select("*", F.inline(nodes))
 
 
 def split_rows(df: DataFrame, text: Column, separator: str, value: str = "value", index: str = "index") -> DataFrame:
@@ -77,39 +82,31 @@ def prefix_regroup(entries: Column) -> Column:
     ``entries`` is MAP<STRING, VARIANT>. The result is an array of (array_index, fields), ordered by the index as
     text; fields without an index belong to index ``0``. No shuffle: the groups never leave their row.
     """
-    numbered = r"^([0-9]+)_(.*)$"
-    parts = F.transform(
+    numbered = F.transform(
         F.map_entries(entries),
         lambda e: F.struct(
-            F.when(e["key"].rlike(r"^[0-9]+(_|$)"), F.regexp_extract(e["key"], r"^([0-9]+)", 1))
-            .otherwise(F.lit("0"))
-            .alias("i"),
-            F.when(e["key"].rlike(numbered), F.regexp_extract(e["key"], numbered, 2))
-            .when(e["key"].rlike(r"^[0-9]+$"), F.lit(""))
-            .otherwise(e["key"])
-            .alias("k"),
-            e["value"].alias("v"),
+            F.regexp_extract(e["key"], r"^([0-9]+)(?:_|$)", 1).alias("i"), e["key"].alias("k"), e["value"].alias("v")
         ),
     )
-    indexes = F.array_sort(F.array_distinct(F.transform(parts, lambda p: p["i"])))
-    return F.transform(
-        indexes,
-        lambda i: F.struct(
-            i.alias("array_index"),
-            F.map_from_entries(
-                F.transform(F.filter(parts, lambda p: p["i"] == i), lambda p: F.struct(p["k"], p["v"]))
-            ).alias("fields"),
+    parts = F.transform(
+        numbered,
+        lambda p: F.struct(
+            F.when(p["i"] == "", F.lit("0")).otherwise(p["i"]).alias("i"),
+            F.when(p["i"] == "", p["k"]).otherwise(F.substring(p["k"], F.length(p["i"]) + 2, F.length(p["k"]))).alias("k"),
+            p["v"].alias("v"),
         ),
     )
 
+    def regrouped(parts: Column) -> Column:
+        indexes = F.sort_array(F.array_distinct(F.transform(parts, lambda p: p["i"])))
+        return F.transform(
+            indexes,
+            lambda i: F.struct(
+                i.alias("array_index"),
+                F.map_from_entries(
+                    F.transform(F.filter(parts, lambda p: p["i"] == i), lambda p: F.struct(p["k"], p["v"]))
+                ).alias("fields"),
+            ),
+        )
 
-def suffix_fields(entries: Column, stem: str) -> Column:
-    """Suffixes of the keys that start with ``stem``: repeated fields pair up through what follows the stem."""
-    keys = F.filter(F.map_keys(entries), lambda k: k.startswith(stem))
-    return F.transform(keys, lambda k: F.substring(k, F.lit(len(stem) + 1), F.length(k)))
-
-
-__all__ = [
-    "flatten_array", "flatten_array_outer", "flatten_object", "flatten_path", "flatten_recursive", "split_rows",
-    "prefix_regroup", "suffix_fields", "vvar",
-]
+    return let(parts, regrouped)

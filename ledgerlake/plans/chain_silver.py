@@ -9,6 +9,7 @@ from ledgerlake.functions import (
     coin_amount, coin_denom, decode_attr, denom_cut, joined_key, safe_json, surrogate_key, varray, vdec, vlong, vmap, vstr,
     vtime, vvar,
 )
+from ledgerlake.functions.binding import let
 from ledgerlake.operators.dedupe import first_value_by, latest_by
 from ledgerlake.operators.flatten import flatten_array, split_rows
 from ledgerlake.operators.joins import semi, with_next
@@ -40,7 +41,7 @@ def blocks_val_array(bronze: DataFrame, responses: DataFrame, run: Run) -> DataF
     signers = F.transform(varray("commit", "signatures"), lambda s: vstr(s, "validator_address"))
     rows = latest.select(commit.alias("commit"), "_inserted_timestamp").select(
         vlong("commit", "height").alias("block_id"),
-        F.array_sort(F.array_distinct(F.filter(signers, lambda a: a.isNotNull()))).alias("validator_address_array"),
+        F.sort_array(F.array_distinct(F.filter(signers, lambda a: a.isNotNull()))).alias("validator_address_array"),
         "_inserted_timestamp",
     )
     kept = rows.where(F.array_size("validator_address_array") > 0)
@@ -403,43 +404,68 @@ def msg_attributes(silver_transactions: DataFrame, silver_blocks: DataFrame, run
 
 
 def _event_fields(event: Column) -> Column:
-    """Attributes of one event as a map; repeated keys get a running suffix, amounts split into number and currency."""
+    """(type, values, currencies) of one event: repeated keys get a running suffix, amounts lose their currency."""
     pairs = F.transform(
         varray(event, "attributes"),
         lambda a: F.struct(vstr(a, "key").alias("key"), vstr(a, "value").alias("value")),
     )
-    numbered = F.transform(
+    return let(
+        let(pairs, _numbered_fields),
+        lambda fields: F.struct(
+            vstr(event, "type").alias("type"),
+            _entries(
+                F.filter(fields, lambda p: p["key"].isNotNull()),
+                lambda p: F.concat(p["key"], p["suffix"]),
+                lambda p: F.when(p["key"] == "amount", F.regexp_substr(p["value"], F.lit("[0-9]+"))).otherwise(p["value"]),
+            ).alias("values"),
+            _entries(
+                F.filter(fields, lambda p: p["key"] == "amount"),
+                lambda p: F.concat(F.lit("currency"), p["suffix"]),
+                lambda p: F.regexp_substr(p["value"], F.lit("[^0-9](.*)")),
+            ).alias("currencies"),
+        ),
+    )
+
+
+def _numbered_fields(pairs: Column) -> Column:
+    def same(items: Column, key: Column) -> Column:
+        return F.size(F.filter(items, lambda q: q["key"] == key))
+
+    return F.transform(
         pairs,
         lambda p, i: F.struct(
             p["key"].alias("key"),
             p["value"].alias("value"),
             F.when(
-                F.size(F.filter(pairs, lambda q: q["key"] == p["key"])) > 1,
-                F.concat(
-                    F.lit("_"),
-                    F.size(F.filter(F.slice(pairs, F.lit(1), i), lambda q: q["key"] == p["key"])).cast("string"),
-                ),
+                same(pairs, p["key"]) > 1,
+                F.concat(F.lit("_"), same(F.slice(pairs, F.lit(1), i), p["key"]).cast("string")),
             )
             .otherwise(F.lit(""))
             .alias("suffix"),
         ),
     )
-    is_amount = lambda p: p["key"] == "amount"
-    values = F.transform(
-        F.filter(numbered, lambda p: p["key"].isNotNull()),
-        lambda p: F.struct(
-            F.concat(p["key"], p["suffix"]),
-            F.when(is_amount(p), F.regexp_substr(p["value"], F.lit("[0-9]+"))).otherwise(p["value"]),
-        ),
-    )
-    currencies = F.transform(
-        F.filter(numbered, is_amount),
-        lambda p: F.struct(
-            F.concat(F.lit("currency"), p["suffix"]), F.regexp_substr(p["value"], F.lit("[^0-9](.*)"))
-        ),
-    )
-    drop_null = lambda entries: F.filter(entries, lambda e: e["col2"].isNotNull())
-    return object_merge(F.map_from_entries(drop_null(values)), F.map_from_entries(drop_null(currencies)))
+
+
+def _entries(fields: Column, key, value) -> Column:
+    """Map entries without null values."""
+    made = F.transform(fields, lambda p: F.struct(key(p).alias("k"), value(p).alias("v")))
+    return F.filter(made, lambda e: e["v"].isNotNull())
+
+
+def _fields_by_type(events: Column) -> Column:
+    """type -> field -> value. Events of one type share an object, and a field they both set is an error."""
+
+    def merged(kept: Column) -> Column:
+        gather = lambda part: F.map_from_entries(F.flatten(F.transform(kept, lambda e: e[part])))
+        return let(gather("currencies"), lambda right: object_merge(gather("values"), right))
+
+    def by_type(fields: Column) -> Column:
+        types = F.array_distinct(F.transform(fields, lambda e: e["type"]))
+        return F.map_from_entries(
+            F.transform(types, lambda t: F.struct(t, let(F.filter(fields, lambda e: e["type"] == t), merged)))
+        )
+
+    return let(F.transform(events, _event_fields), by_type)
 
 
 def messages(silver_transactions: DataFrame, silver_blocks: DataFrame, run: Run) -> DataFrame:
@@ -455,15 +481,12 @@ def messages(silver_transactions: DataFrame, silver_blocks: DataFrame, run: Run)
             "all_messages": varray("tx", "body.messages"),
         }
     ).where(F.array_size("events") > 0)
-    attributes = F.map_from_entries(
-        F.transform("events", lambda e: F.struct(vstr(e, "type"), _event_fields(e)))
-    )
     rows = entries.select(
         joined_key("-", "tx_id", "message_index").alias("message_id"),
         "block_timestamp", "block_id", "tx_id", "tx_succeeded", "message_index",
         vstr("tx", "body.messages[0].@type").alias("message_type"),
         F.try_element_at("all_messages", (F.col("message_index") + 1).cast("int")).alias("message_value"),
-        attributes.alias("attributes"),
+        _fields_by_type(F.col("events")).alias("attributes"),
         "_ingested_at", "_inserted_timestamp",
     )
     joined = rows.join(silver_blocks.select("block_id", "chain_id"), "block_id")

@@ -63,10 +63,10 @@ def blocks_completeness(
     )
     details = gaps.agg(
         F.coalesce(F.sum("gap"), F.lit(0)).alias("blocks_impacted_count"),
-        F.array_sort(F.collect_set(F.struct("prev_block_id", "block_id"))).alias("test_failure_details"),
+        F.sort_array(F.collect_set(F.struct("prev_block_id", "block_id"))).alias("test_failure_details"),
     )
     missing = fill_gaps(gaps, "prev_block_id", "block_id", "missing").agg(
-        F.array_sort(F.collect_list("missing")).alias("blocks_impacted_array")
+        F.sort_array(F.collect_list("missing")).alias("blocks_impacted_array")
     )
     one = F.lit(1).alias("one")
     joined = seen.select(one, "*").join(details.select(one, "*"), "one").join(missing.select(one, "*"), "one")
@@ -170,8 +170,8 @@ def transactions_completeness(
         F.max("block_timestamp").alias("max_block_timestamp"),
         F.count(F.lit(1)).alias("blocks_tested"),
         F.count_if(off).alias("blocks_impacted_count"),
-        F.array_sort(F.collect_list(F.when(off, F.col("block_id")))).alias("blocks_impacted_array"),
+        F.sort_array(F.collect_list(F.when(off, F.col("block_id")))).alias("blocks_impacted_array"),
         F.sum(F.abs("diff")).alias("transactions_impacted_count"),
-        F.array_sort(F.collect_list(F.when(off, detail))).alias("test_failure_details"),
+        F.sort_array(F.collect_list(F.when(off, detail))).alias("test_failure_details"),
         run.clock.alias("test_timestamp"),
     )

@@ -106,7 +106,7 @@ def batched_calls(missing: DataFrame, column: str, newest: int, method: str, par
     call = F.to_json(
         F.struct(F.col(column).alias("id"), F.lit("2.0").alias("jsonrpc"), F.lit(method).alias("method"), params.alias("params"))
     )
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(column).alias("n"), call.alias("call"))))
+    ordered = F.sort_array(F.collect_list(F.struct(F.col(column).alias("n"), call.alias("call"))))
     return tiled.groupBy("grp").agg(F.transform(ordered, lambda c: c["call"]).alias("calls"))
 
 
@@ -146,7 +146,7 @@ def header_ranges(blocks: DataFrame, known: DataFrame | None, width: int = 20, p
             F.array("min_block", "max_block").alias("params"),
         )
     )
-    sorted_calls = F.array_sort(F.collect_list(F.struct(F.col("run"), call.alias("call"))))
+    sorted_calls = F.sort_array(F.collect_list(F.struct(F.col("run"), call.alias("call"))))
     return runs.groupBy((F.floor(F.col("run") / per_call) + 1).alias("groupid_out")).agg(
         F.transform(sorted_calls, lambda c: c["call"]).alias("call")
     )

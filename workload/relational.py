@@ -619,7 +619,7 @@ SELECT c_nationkey, string_agg(DISTINCT c_mktsegment, ',' ORDER BY c_mktsegment)
 def ordered_array(spark, sf):
     """The array holds distinct segment names, a closed list, so no group grows with the data."""
     return table(spark, sf, "customer").groupBy("c_nationkey").agg(
-        F.array_join(F.array_sort(F.collect_set("c_mktsegment")), ",").alias("segments")
+        F.array_join(F.sort_array(F.collect_set("c_mktsegment")), ",").alias("segments")
     )
 
 
