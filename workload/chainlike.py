@@ -13,6 +13,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.binding import let
 from ledgerlake.plans import chain_bronze, chain_silver
 from ledgerlake.run import Run
 from ledgerlake.session import settle
@@ -53,19 +54,27 @@ def orders(spark, sf) -> DataFrame:
     )
 
 
-def _event(kind: str | Column, *pairs: tuple[str | Column, str | Column], plain: bool = False) -> Column:
+def _event(kind: str | Column, *pairs: tuple[str | Column, str | Column]) -> Column:
     lit = lambda x: F.lit(x) if isinstance(x, str) else x.cast("string")
+    attributes = F.array(*[F.struct(lit(k).alias("key"), lit(v).alias("value")) for k, v in pairs])
+    return F.struct(lit(kind).alias("type"), attributes.alias("attributes"))
 
-    def coded(x) -> Column:
-        text = lit(x)
-        if plain:
-            return text
-        # The function breaks long output into lines; payloads carry it in one piece.
-        one_line = F.replace(F.base64(text.cast("binary")), F.lit("\r\n"), F.lit(""))
-        return F.when(F.col("status") == "F", one_line).otherwise(text)
 
-    attributes = F.array(*[F.struct(coded(k).alias("key"), coded(v).alias("value")) for k, v in pairs])
-    return F.struct(lit(kind).alias("type"), attributes.alias("attributes"))
+def _coded(events: Column) -> Column:
+    """All keys and values in base64, each in one piece (the function itself breaks long output into lines)."""
+
+    def code(text: Column) -> Column:
+        return F.replace(F.base64(text.cast("binary")), F.lit("\r\n"), F.lit(""))
+
+    return F.transform(
+        events,
+        lambda e: F.struct(
+            e["type"].alias("type"),
+            F.transform(
+                e["attributes"], lambda p: F.struct(code(p["key"]).alias("key"), code(p["value"]).alias("value"))
+            ).alias("attributes"),
+        ),
+    )
 
 
 def result_events() -> Column:
@@ -110,7 +119,7 @@ def result_events() -> Column:
     for priority, tail in tails.items():
         events = F.array(*head, _event("message", ("action", ACTIONS[priority])), *tail)
         out = F.when(c("priority") == priority, events) if out is None else out.when(c("priority") == priority, events)
-    return out
+    return let(out, lambda plain: F.when(c("status") == "F", _coded(plain)).otherwise(plain))
 
 
 def action() -> Column:
@@ -121,15 +130,14 @@ def action() -> Column:
 def log_text(third: bool) -> Column:
     """The log of a transaction: JSON text, or an error message where it failed."""
     c = F.col
-    ev = lambda kind, *pairs: _event(kind, *pairs, plain=True)
     entry = lambda i, *events: F.struct(F.lit(i).alias("msg_index"), F.array(*events).alias("events"))
     zero = entry(
-        0, ev("message", ("action", action())),
-        ev("transfer", ("recipient", c("peer")), ("sender", c("cust")), ("amount", F.concat(c("cents"), F.lit("uluna"))), ("amount", "5ibc/AB")),
+        0, _event("message", ("action", action())),
+        _event("transfer", ("recipient", c("peer")), ("sender", c("cust")), ("amount", F.concat(c("cents"), F.lit("uluna"))), ("amount", "5ibc/AB")),
     )
     one = entry(
-        1, ev("message", ("module", "bank")),
-        ev(
+        1, _event("message", ("module", "bank")),
+        _event(
             "wasm", ("_contract_address", c("peer")), ("action", "swap"), ("offer_asset", "uluna"),
             ("offer_amount", c("cents")), ("ask_asset", "uusd"), ("return_amount", c("o_custkey")),
         ),
@@ -137,7 +145,7 @@ def log_text(third: bool) -> Column:
     short = F.array(zero, one)
     entries = short
     if third:
-        two = entry(2, ev("message", ("module", "wasm")), ev("message", ("module", "bank")))
+        two = entry(2, _event("message", ("module", "wasm")), _event("message", ("module", "bank")))
         entries = F.when(c("priority") == URGENT, F.array(zero, one, two)).otherwise(short)
     return F.when(c("status") == "P", F.lit("failed to execute message; out of gas")).otherwise(F.to_json(entries))
 
