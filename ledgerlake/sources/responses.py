@@ -20,8 +20,11 @@ RETRYABLE_CODES = [
 
 
 def partition_from_path(file_name: Column, position: int = 4) -> Column:
-    """The block range's first number: the part before ``_`` of one path element (counted from 1)."""
-    element = F.split_part(file_name, F.lit("/"), F.lit(position))
+    """The block range's first number: the part before ``_`` of one path element (counted from 1).
+
+    An element may be a plain ``<first>_<last>`` or a partition folder ``name=<first>_<last>``.
+    """
+    element = F.regexp_replace(F.split_part(file_name, F.lit("/"), F.lit(position)), "^[^=]*=", "")
     return F.split_part(element, F.lit("_"), F.lit(1)).try_cast("bigint")
 
 

@@ -60,7 +60,7 @@ SELECT hash AS tx_id, o.block AS block_id, days.ts AS ts, CASE WHEN o.d <= 1200
 FROM o JOIN days ON o.block = days.block
 """)
 def transactions_roundtrip(spark, sf):
-    gold = chain_gold.fact_transactions(Chain(spark, sf).fresh_transactions)
+    gold = chain_gold.fact_transactions(Chain(spark, sf).transactions)
     return gold.select(
         "tx_id", "block_id", stamp().alias("ts"), "auth_type", F.array_join("authorizer_public_key", ",").alias("public_key"),
         "tx_sender", F.col("gas_limit").cast("bigint").alias("gas_limit"), F.col("gas_used").cast("bigint").alias("gas_used"),
@@ -223,7 +223,7 @@ SELECT hash AS tx_id, block AS block_id, CAST(entry AS BIGINT) AS msg_index, typ
 """)
 def log_messages(spark, sf):
     chain = Chain(spark, sf)
-    gold = chain_gold.fact_msgs(chain_silver.msgs(chain.fresh_transactions, chain.block_times, RUN))
+    gold = chain_gold.fact_msgs(chain_silver.msgs(chain.transactions, chain.block_times, RUN))
     return gold.select("tx_id", "block_id", "msg_index", "msg_type", "msg_group", "fact_msgs_id")
 
 
@@ -234,7 +234,7 @@ FROM ev JOIN sizes USING (type) GROUP BY 1, 2, 3
 """)
 def log_attributes(spark, sf):
     chain = Chain(spark, sf)
-    gold = chain_gold.fact_msg_attributes(chain_silver.msg_attributes(chain.fresh_transactions, chain.block_times, RUN))
+    gold = chain_gold.fact_msg_attributes(chain_silver.msg_attributes(chain.transactions, chain.block_times, RUN))
     return gold.groupBy("tx_id", "msg_group", "msg_type").agg(F.count_distinct("fact_msg_attributes_id").alias("attributes"))
 
 

@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.binding import let
 from ledgerlake.plans import chain_bronze, chain_silver
 from ledgerlake.run import Run
-from ledgerlake.session import settle
 from workload import table
 from workload.relational import cents
+from workload.shared import Stage, stage
 
 RUN = Run(datetime(2010, 1, 1))
 FIRST_DAY = "1992-01-01"
@@ -268,21 +268,22 @@ def no_responses(spark) -> DataFrame:
     return spark.createDataFrame([], "block_number bigint, data variant, _inserted_timestamp timestamp_ntz")
 
 
-class Chain:
+class _Chain(Stage):
     """The silver tables of the derived chain, built by the library's own functions.
 
     As in a real build, a table that several others read is written once and read back.
     """
 
     def __init__(self, spark, sf, third: bool = True):
-        self.spark, self.sf, self.third = spark, sf, third
+        super().__init__(spark, sf)
+        self.third = third
 
     @cached_property
     def blocks(self) -> DataFrame:
         bronze = chain_bronze.blocks(legacy_blocks(self.spark, self.sf), no_responses(self.spark))
         responses = block_responses(self.spark, self.sf)
         validators = chain_silver.blocks_val_array(bronze, responses, RUN)
-        return chain_silver.blocks(bronze, responses, validators, RUN)
+        return self.settle(chain_silver.blocks(bronze, responses, validators, RUN), "blocks")
 
     @cached_property
     def block_times(self) -> DataFrame:
@@ -292,22 +293,19 @@ class Chain:
     def responses(self) -> DataFrame:
         return tx_responses(self.spark, self.sf, self.third)
 
-    @cached_property
-    def fresh_transactions(self) -> DataFrame:
-        bronze = chain_bronze.transactions(legacy_transactions(self.spark, self.sf), no_responses(self.spark))
-        return chain_silver.transactions(bronze, self.responses(), self.block_times, RUN)
-
     @cached_property
     def transactions(self) -> DataFrame:
-        return settle(self.fresh_transactions, "transactions")
+        bronze = chain_bronze.transactions(legacy_transactions(self.spark, self.sf), no_responses(self.spark))
+        silver = chain_silver.transactions(bronze, self.responses(), self.block_times, RUN)
+        return self.settle(silver, "transactions")
 
     @cached_property
     def msgs_2(self) -> DataFrame:
-        return chain_silver.msgs_2(self.fresh_transactions, RUN)
+        return chain_silver.msgs_2(self.transactions, RUN)
 
     @cached_property
     def attributes(self) -> DataFrame:
-        return settle(chain_silver.msg_attributes_2(self.msgs_2, RUN), "attributes")
+        return self.settle(chain_silver.msg_attributes_2(self.msgs_2, RUN), "attributes")
 
     @cached_property
     def packets(self) -> DataFrame:
@@ -328,3 +326,7 @@ class Chain:
     @cached_property
     def messages(self) -> DataFrame:
         return chain_silver.messages(self.transactions, self.block_times, RUN)
+
+
+def Chain(spark, sf, third: bool = True) -> _Chain:  # noqa: N802
+    return stage(_Chain, spark, sf, third)

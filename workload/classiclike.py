@@ -18,9 +18,9 @@ from ledgerlake.plans import classic_bronze, classic_prices, classic_silver
 from ledgerlake.plans import classic_lending as lending
 from ledgerlake.plans.classic_silver import WORMHOLE
 from ledgerlake.run import Run
-from ledgerlake.session import settle
 from workload import table
 from workload.relational import cents
+from workload.shared import Stage, stage
 
 RUN = Run(datetime(2010, 1, 1), label_creator="curator")
 FIRST_DAY = "1992-01-01"
@@ -378,28 +378,25 @@ def small_log(spark, sf, model: str, result: Column, rows: DataFrame, extra: str
     )
 
 
-class Classic:
+class _Classic(Stage):
     """Silver tables of the derived log; a table that a query reads several times is written once."""
 
-    def __init__(self, spark, sf):
-        self.spark, self.sf = spark, sf
-
     @cached_property
     def msgs(self) -> DataFrame:
-        return settle(classic_silver.msgs(classic_bronze.classic_msgs(message_log(self.spark, self.sf))), "msgs")
+        return self.settle(classic_silver.msgs(classic_bronze.classic_msgs(message_log(self.spark, self.sf))), "msgs")
 
     @cached_property
     def events(self) -> DataFrame:
-        return settle(classic_silver.msg_events(classic_bronze.classic_msg_events(event_log(self.spark, self.sf))), "events")
+        return self.settle(classic_silver.msg_events(classic_bronze.classic_msg_events(event_log(self.spark, self.sf))), "events")
 
     @cached_property
     def actions(self) -> DataFrame:
         log = event_log(self.spark, self.sf)
-        return settle(classic_silver.event_actions(classic_bronze.classic_msg_events_actions(log)), "actions")
+        return self.settle(classic_silver.event_actions(classic_bronze.classic_msg_events_actions(log)), "actions")
 
     @cached_property
     def all_labels(self) -> DataFrame:
-        return settle(classic_silver.address_labels(label_log(self.spark, self.sf)), "labels")
+        return self.settle(classic_silver.address_labels(label_log(self.spark, self.sf)), "labels")
 
     @cached_property
     def labels(self) -> DataFrame:
@@ -411,7 +408,7 @@ class Classic:
 
     @cached_property
     def prices(self) -> DataFrame:
-        return settle(
+        return self.settle(
             classic_prices.dim_oracle_prices(legacy_prices(self.spark, self.sf), self.transitions, self.msgs, self.labels), "prices"
         )
 
@@ -426,7 +423,7 @@ class Classic:
 
     @cached_property
     def dex(self) -> DataFrame:
-        return settle(classic_silver.dex_contracts(self.events, self.labels, self.metadata), "dex")
+        return self.settle(classic_silver.dex_contracts(self.events, self.labels, self.metadata), "dex")
 
     @cached_property
     def no_history(self) -> DataFrame:
@@ -443,3 +440,7 @@ class Classic:
     @cached_property
     def daily(self) -> DataFrame:
         return classic_silver.daily_balances(self.balances, RUN)
+
+
+def Classic(spark, sf) -> _Classic:  # noqa: N802
+    return stage(_Classic, spark, sf)
