@@ -117,13 +117,13 @@ def classic_msg_events(log: DataFrame) -> DataFrame:
     return stream_results(log, named(*EVENT_STREAMS)).select(*_event_columns())
 
 
-def classic_msg_events_actions(log: DataFrame) -> DataFrame:
-    actions = F.try_variant_get("t", "$.event_attributes_actions", "map<string,variant>")
-    return (
-        stream_results(log, named(*EVENT_STREAMS))
-        .where(actions.isNotNull())
-        .select(*_event_columns(), vvar("t", "event_attributes_actions").alias("event_attributes_actions"))
+def classic_msg_events_actions(log: DataFrame, all_events: bool = False) -> DataFrame:
+    """Events that carry actions, or all events with their actions so that one pass serves both tables."""
+    rows = stream_results(log, named(*EVENT_STREAMS)).select(
+        *_event_columns(), vvar("t", "event_attributes_actions").alias("event_attributes_actions")
     )
+    is_object = F.try_variant_get("event_attributes_actions", "$", "map<string,variant>").isNotNull()
+    return rows if all_events else rows.where(is_object)
 
 
 def classic_transitions(log: DataFrame) -> DataFrame:

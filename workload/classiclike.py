@@ -383,16 +383,22 @@ class _Classic(Stage):
 
     @cached_property
     def msgs(self) -> DataFrame:
-        return self.settle(classic_silver.msgs(classic_bronze.classic_msgs(message_log(self.spark, self.sf))), "msgs")
+        bronze = self.settle(classic_bronze.classic_msgs(message_log(self.spark, self.sf)), "bronze")
+        return self.settle(classic_silver.msgs(bronze), "msgs")
+
+    @cached_property
+    def bronze_events(self) -> DataFrame:
+        """Typed events with their actions; both silver tables read it, so the log is parsed once."""
+        return self.settle(classic_bronze.classic_msg_events_actions(event_log(self.spark, self.sf), all_events=True), "bronze")
 
     @cached_property
     def events(self) -> DataFrame:
-        return self.settle(classic_silver.msg_events(classic_bronze.classic_msg_events(event_log(self.spark, self.sf))), "events")
+        return self.settle(classic_silver.msg_events(self.bronze_events.drop("event_attributes_actions")), "events")
 
     @cached_property
     def actions(self) -> DataFrame:
-        log = event_log(self.spark, self.sf)
-        return self.settle(classic_silver.event_actions(classic_bronze.classic_msg_events_actions(log)), "actions")
+        with_actions = self.bronze_events.where(F.col("event_attributes_actions").isNotNull())
+        return self.settle(classic_silver.event_actions(with_actions), "actions")
 
     @cached_property
     def all_labels(self) -> DataFrame:

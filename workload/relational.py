@@ -202,13 +202,12 @@ UNION ALL SELECT l_orderkey, '1', 1, CAST(l_linenumber AS BIGINT), NULL FROM lin
 UNION ALL SELECT l_orderkey, '10', 1, l_partkey, NULL FROM lineitem
 """, name="prefix_regroup")
 def prefix_regroup_query(spark, sf):
-    fields = F.struct(
-        F.col("l_quantity").cast("bigint").alias("0_qty"), F.col("l_suppkey").alias("0_supp_key"),
-        F.col("l_linenumber").alias("1_qty"), F.col("l_partkey").alias("10_qty"), F.col("l_returnflag").alias("flag"),
-    )
-    lines = table(spark, sf, "lineitem").select(
-        "l_orderkey", F.from_json(F.to_json(fields), "map<string,string>").alias("m")
-    )
+    fields = {
+        "0_qty": F.col("l_quantity").cast("bigint"), "0_supp_key": F.col("l_suppkey"), "1_qty": F.col("l_linenumber"),
+        "10_qty": F.col("l_partkey"), "flag": F.col("l_returnflag"),
+    }
+    entries = F.create_map(*[x for k, v in fields.items() for x in (F.lit(k), v.cast("string"))])
+    lines = table(spark, sf, "lineitem").select("l_orderkey", entries.alias("m"))
     parts = lines.select("l_orderkey", F.explode(prefix_regroup(F.col("m"))).alias("p"))
     return parts.select(
         "l_orderkey", F.col("p.array_index").alias("array_index"), F.size("p.fields").alias("fields"),

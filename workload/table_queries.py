@@ -262,7 +262,7 @@ def response_files(spark, sf):
     first = (F.floor(F.date_diff(F.to_date("o_orderdate"), F.lit(cl.FIRST_DAY).cast("date")) / 100) * 100).cast("bigint")
     path = new_folder(spark, "responses")
     for_files = rows.select(line.alias("value"), F.concat(first.cast("string"), F.lit("_"), (first + 99).cast("string")).alias("range"))
-    for_files.repartition("range").write.partitionBy("range").text(f"{path}/a/b/c")
+    for_files.hint("rebalance", "range").write.partitionBy("range").text(f"{path}/a/b/c")
     responses = read_responses(spark, path, root=f"{path}/", recent_days=7, now=datetime.now())
     return responses.select("block_number", "_partition_by_block_id", vlong("data", "result.cust").alias("cust"), "id")
 
