@@ -59,8 +59,3 @@ def with_message(actions: DataFrame, messages: DataFrame) -> DataFrame:
     """Actions with the value of their message; ``has_msg`` tells whether there is one."""
     side = messages.select("tx_id", "msg_index", "msg_value", F.lit(True).alias("has_msg"))
     return actions.join(side, ["tx_id", "msg_index"], "left")
-
-
-def txs(df: DataFrame) -> DataFrame:
-    """Transaction ids only, for a semi join."""
-    return df.select("tx_id")

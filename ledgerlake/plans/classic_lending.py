@@ -9,7 +9,7 @@ from ledgerlake.functions import vdouble, vvar
 from ledgerlake.operators.enrich import labelled, priced
 from ledgerlake.operators.joins import semi
 from ledgerlake.plans.classic_calls import (
-    PLACE, act, act_has, act_tokens, attr, attr_has, attr_tokens, msg, msg_has, msg_tokens, ok, txs, with_message,
+    PLACE, act, act_has, act_tokens, attr, attr_has, attr_tokens, msg, msg_has, msg_tokens, ok, with_message,
 )
 
 # Protocol contracts and tokens.
@@ -163,7 +163,7 @@ def ez_anchor_redeem(
         with_message(redeems, messages)
         .where(F.col("has_msg") & ~msg_has(BRIDGED))
         # The event's transaction id is part of its key and never null, so a plain anti join is exact.
-        .join(txs(redeemed).where(F.col("tx_id").isNotNull()), "tx_id", "left_anti")
+        .join(redeemed.select("tx_id").where(F.col("tx_id").isNotNull()), "tx_id", "left_anti")
         .select(*PLACE, msg("sender").alias("_sender"), amount, contract)
         .join(sends, "tx_id")
         .withColumn("sender", F.coalesce("_sender", "_from"))

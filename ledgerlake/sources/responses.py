@@ -6,7 +6,7 @@ range they cover, so the range can be read off the path.
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,7 +70,7 @@ def read_responses(
     """
     reader = spark.read.option("recursiveFileLookup", "true")
     if recent_days is not None:
-        since = (now or datetime.utcnow()) - timedelta(days=recent_days)
+        since = (now or datetime.now(timezone.utc).replace(tzinfo=None)) - timedelta(days=recent_days)
         reader = reader.option("modifiedAfter", since.strftime("%Y-%m-%dT%H:%M:%S"))
     lines = reader.text(path).select(
         "value",
