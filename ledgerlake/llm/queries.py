@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import trie_join
+from ledgerlake.llm import bwt_repeats, trie_join
 from ledgerlake.llm.shared import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,3 +22,9 @@ def query(fn):
 def op3_trie_join(spark: SparkSession, sf: str) -> DataFrame:
     """Four words, 0.85: components of documents by shingle sets."""
     return trie_join.jaccard_components(read_table(spark, sf, "documents"), words=4, percent=85).select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op7_bwt_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    """Bytes under 200-byte strings that start more than once in all documents."""
+    return bwt_repeats.without_repeats(read_table(spark, sf, "documents"), 200)
