@@ -6,13 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import bwt_repeats, trie_join
+from ledgerlake.llm import bwt_repeats, gga_packing, trie_join
 from ledgerlake.llm.shared import read_table
 
+WORD_PIECES = "word_bpe_49k.json"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def tokenizer_path(name: str = WORD_PIECES) -> str:
+    """Where the public tokenizer files lie, the same place on every machine."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -28,3 +37,9 @@ def op3_trie_join(spark: SparkSession, sf: str) -> DataFrame:
 def op7_bwt_repeats(spark: SparkSession, sf: str) -> DataFrame:
     """Bytes under 200-byte strings that start more than once in all documents."""
     return bwt_repeats.without_repeats(read_table(spark, sf, "documents"), 200)
+
+
+@query
+def op4_gga_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    return gga_packing.pack(read_table(spark, sf, "documents"), tokenizer_path())

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerlake.session import settle
 
 U = np.uint64
-__all__ = ["settle", "read_table", "deals", "ready", "mix", "word_hashes", "documents_of", "postings", "packed", "unpacked"]
+__all__ = ["settle", "read_table", "deals", "ready", "mix", "word_hashes", "documents_of", "bucket_of", "postings", "packed", "unpacked"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -107,11 +107,15 @@ def documents_of(batches, size: int = 1 << 20):
         yield ids, texts
 
 
+def bucket_of(key: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(key.view(U), 77) % U(buckets)).astype(np.int64)
+
+
 def postings(key: np.ndarray, columns: list[np.ndarray], buckets: int, names: list[str]):
     """One row for each bucket of keys: the bucket and the keys' and columns' bytes. Equal keys share a bucket."""
     if not len(key):
         return
-    bucket = (mix(key.view(U), 77) % U(buckets)).astype(np.int64)
+    bucket = bucket_of(key, buckets)
     order = np.argsort(bucket, kind="stable")
     bucket = bucket[order]
     cuts = np.flatnonzero(np.diff(bucket)) + 1

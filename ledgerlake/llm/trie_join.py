@@ -24,10 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.links import Roots, components
-from ledgerlake.llm.shared import U, deals, documents_of, mix, packed, postings, ready, settle, unpacked, word_hashes
+from ledgerlake.llm.shared import U, bucket_of, deals, documents_of, mix, packed, postings, ready, settle, unpacked, word_hashes
 
 SAMPLE = U(1 << 62)  # a quarter of all hashes
-GROUP = 4096  # sets in one trie; a branch that more documents hold is split into pairs of chunks
+GROUP = 2048  # sets in one trie; a branch that more documents hold is split into pairs of chunks
 FLUSH = 1 << 21
 _NONE = -1
 
@@ -100,7 +100,7 @@ def _sampled(words: int, buckets: int):
             met = np.bincount(owner[np.repeat(counts > 1, counts)], minlength=len(docs))
             who = np.where(counts == 1, docs[owner[starts]], _NONE)
             none = pa.nulls(len(docs), pa.binary())
-            home = (mix(docs.view(U), 78) % U(buckets)).astype(np.int64)
+            home = bucket_of(docs, buckets)
             yield pa.RecordBatch.from_arrays([pa.array(home), none, none, *map(pa.array, (docs, n, one.view(np.int64), two.view(np.int64), few, met))], names=["bucket", *kinds, *FACT_NAMES])
             for batch in postings(grams[starts], [who], buckets, kinds):
                 blank = [pa.nulls(batch.num_rows, pa.int64())] * len(FACT_NAMES)
@@ -126,25 +126,55 @@ def _sampled(words: int, buckets: int):
 FACT_NAMES = [part.split()[0] for part in FACTS.split(", ")]
 
 
-def _met(batches):
-    """Facts as they come, and for each document how many of its n-grams here another document holds."""
-    keys: list[bytes] = []
+def _met(buckets: int):
+    """Facts as they come, and for each document how many of its n-grams here another document holds, packed."""
+    kinds = ["holder", "times"]
+
+    def run(batches):
+        keys: list[bytes] = []
+        docs: list[bytes] = []
+        for batch in batches:
+            told = batch.filter(batch.column(3).is_valid())
+            if told.num_rows:
+                none = pa.nulls(told.num_rows, pa.binary())
+                yield pa.RecordBatch.from_arrays([told.column(0), none, none, *told.columns[3:]], names=["bucket", *kinds, *FACT_NAMES])
+            sent = batch.filter(batch.column(1).is_valid())
+            keys += sent.column(1).to_pylist()
+            docs += sent.column(2).to_pylist()
+        key, doc = np.frombuffer(b"".join(keys), U), np.frombuffer(b"".join(docs), np.int64)
+        order = np.argsort(key, kind="stable")
+        _, counts = _runs(key[order])
+        met, times = np.unique(doc[order][np.repeat(counts > 1, counts)], return_counts=True)
+        for batch in postings(met[met != _NONE], [times[met != _NONE]], buckets, kinds):
+            blank = [pa.nulls(batch.num_rows, pa.int64())] * len(FACT_NAMES)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *blank], names=["bucket", *kinds, *FACT_NAMES])
+
+    return run
+
+
+def _totals(batches):
+    """One row for each document: its facts with all counts of shared n-grams added."""
+    facts: list[list] = [[] for _ in FACT_NAMES]
     docs: list[bytes] = []
+    times: list[bytes] = []
     for batch in batches:
         told = batch.filter(batch.column(3).is_valid())
-        if told.num_rows:
-            yield pa.RecordBatch.from_arrays(told.columns[3:], names=FACT_NAMES)
+        for column, values in zip(facts, told.columns[3:], strict=True):
+            column.append(values.to_numpy())
         sent = batch.filter(batch.column(1).is_valid())
-        keys += sent.column(1).to_pylist()
-        docs += sent.column(2).to_pylist()
-    key, doc = np.frombuffer(b"".join(keys), U), np.frombuffer(b"".join(docs), np.int64)
-    order = np.argsort(key, kind="stable")
-    _, counts = _runs(key[order])
-    met, times = np.unique(doc[order][np.repeat(counts > 1, counts)], return_counts=True)
-    times = times[met != _NONE]
-    met = met[met != _NONE]
-    zero = np.zeros(len(met), np.int64)
-    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (met, zero, zero, zero, zero, times)], names=FACT_NAMES)
+        docs += sent.column(1).to_pylist()
+        times += sent.column(2).to_pylist()
+    if not any(map(len, facts[0])):
+        return
+    doc, n, one, two, few, met = map(np.concatenate, facts)
+    known, at = np.unique(doc, return_inverse=True)
+    first = np.zeros(len(known), np.int64)
+    first[at] = np.arange(len(doc))
+    sums = [np.zeros(len(known), np.int64) for _ in range(2)]
+    np.add.at(sums[0], at, few)
+    np.add.at(sums[1], at, met)
+    np.add.at(sums[1], np.searchsorted(known, np.frombuffer(b"".join(docs), np.int64)), np.frombuffer(b"".join(times), np.int64))
+    yield pa.RecordBatch.from_arrays([pa.array(c) for c in (known, n[first], one[first], two[first], *sums)], names=FACT_NAMES)
 
 
 def _whole(words: int, buckets: int):
@@ -192,6 +222,7 @@ def _branches(percent: int):
         weight = np.add.reduceat(weight, starts) if len(starts) else weight
         doc, n, element, held = (c[starts] for c in (doc, n, element, held))
         first, count = _runs(doc)
+        steps, weight32 = np.diff(held, prepend=0).astype(np.int32), weight.astype(np.int32)
         out: list[list] = [[] for _ in BRANCH_NAMES]
         for a, size in zip(first.tolist(), count.tolist(), strict=True):
             b, of = a + size, int(n[a])
@@ -203,7 +234,7 @@ def _branches(percent: int):
                 chunks = -(-int(held[at]) // GROUP)
                 mine = int(doc[at]) % chunks
                 for other in range(chunks):
-                    for column, value in zip(out, (int(element[at]), int(held[at]), min(mine, other) * chunks + max(mine, other), int(doc[at]), of, element[at:b].tobytes(), held[at:b].tobytes(), weight[at:b].tobytes()), strict=True):
+                    for column, value in zip(out, (int(element[at]), int(held[at]), min(mine, other) * chunks + max(mine, other), int(doc[at]), of, element[at:b].tobytes(), steps[at:b].tobytes(), weight32[at:b].tobytes()), strict=True):
                         column.append(value)
                 lacking += int(weight[at])
             if len(out[0]) >= 2000:
@@ -214,7 +245,7 @@ def _branches(percent: int):
     return run
 
 
-BRANCH = "element long, held long, chunk long, doc long, n long, elements binary, helds binary, weights binary"
+BRANCH = "element long, held long, chunk long, doc long, n long, elements binary, steps binary, weights binary"
 BRANCH_NAMES = [part.split()[0] for part in BRANCH.split(", ")]
 BRANCH_TYPES = [pa.int64()] * 5 + [pa.binary()] * 3
 
@@ -307,28 +338,38 @@ def _links(percent: int):
 
     def run(batches):
         sys.setrecursionlimit(100_000)
-        now, members = None, []
+        now, members = (0, 0, 0), []
         for batch in batches:
             columns = [c.to_pylist() for c in batch.columns]
             out: list[tuple[int, int]] = []
-            for element, held, chunk, doc, n, keys, helds, weights in zip(*columns, strict=True):
-                if (element, held, chunk) != now:
-                    out += _joined(members, percent)
-                    now, members = (element, held, chunk), []
-                members.append((doc, n, keys, helds, weights))
+            for element, held, chunk, doc, n, keys, steps, weights in zip(*columns, strict=True):
+                if (held, element, chunk) != now:
+                    out += _joined(now[0], members, percent)
+                    now, members = (held, element, chunk), []
+                members.append((doc, n, keys, steps, weights))
             yield _pairs(out)
-        yield _pairs(_joined(members, percent))
+        yield _pairs(_joined(now[0], members, percent))
 
     return run
 
 
-def _joined(members: list[tuple], percent: int) -> list[tuple[int, int]]:
+def _joined(held: int, members: list[tuple], percent: int) -> list[tuple[int, int]]:
     if len(members) < 2:
         return []
+    sizes = np.array([len(keys) // 8 for _, _, keys, _, _ in members])
+    ends = np.cumsum(sizes)
+    keys = np.frombuffer(b"".join(m[2] for m in members), "<i8")
+    steps = np.frombuffer(b"".join(m[3] for m in members), "<i4").astype(np.int64)
+    steps[ends - sizes] = held  # all sets start with the branch's element
+    helds = np.cumsum(steps)
+    helds -= np.repeat(helds[ends - sizes] - held, sizes)
+    order = np.lexsort((keys, helds))
+    fresh = np.r_[False, (keys[order][1:] != keys[order][:-1]) | (helds[order][1:] != helds[order][:-1])]
+    ranks = np.empty(len(keys), np.int64)
+    ranks[order] = np.cumsum(fresh)  # places in the global order
     trie, out = Trie(percent), []
-    for doc, n, keys, helds, weights in members:
-        ordered = list(zip(np.frombuffer(helds, "<i8").tolist(), np.frombuffer(keys, "<i8").tolist(), strict=True))
-        weighed = np.frombuffer(weights, "<i8").tolist()
+    for (doc, n, _, _, weights), end, size in zip(members, ends.tolist(), sizes.tolist(), strict=True):
+        ordered, weighed = ranks[end - size : end].tolist(), np.frombuffer(weights, "<i4").tolist()
         out += [(doc, other) for other in trie.link(doc, n, ordered, weighed)]
         trie.put(doc, n, ordered, weighed)
     return out
@@ -351,10 +392,8 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, doc_i
     buckets = 4 * parts
     texts = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).where("doc is not null")
     sampled = texts.mapInArrow(_sampled(words, buckets), "bucket long, key binary, holder binary, " + FACTS)
-    facts = settle(
-        sampled.repartition(parts, "bucket").mapInArrow(_met, FACTS).groupBy("doc").agg(F.max("n").alias("n"), F.sum("one").alias("one"), F.sum("two").alias("two"), F.sum("few").alias("few"), F.sum("met").alias("met")),
-        "shingle-facts",
-    )
+    met = sampled.repartition(parts, "bucket").mapInArrow(_met(buckets), "bucket long, holder binary, times binary, " + FACTS)
+    facts = settle(met.repartition(parts, "bucket").mapInArrow(_totals, FACTS), "shingle-facts")
     classes = facts.where("n > 0").groupBy("one", "two", "n").agg(F.min("doc").alias("class_id"), F.max(F.expr("few - met")).alias("alone"))
     classes = settle(classes, "shingle-classes")
     left = classes.where(f"100 * (n - alone) >= {percent} * n").select(F.col("class_id").alias("doc"), "n")
