@@ -28,7 +28,7 @@ ANCHOR, NARROW = 48, 160  # bytes of an anchor; of a second one where too many c
 PIECE = 4 << 20  # longer texts go through in pieces that overlap by a window
 PLACE = 23  # bits of a place within a batch of pieces
 BLOCK = 1 << 20  # bytes put into one transform, or one anchor's contexts if these are more
-CROWD = 6000  # contexts of an anchor from which on they are dealt out by a second anchor
+CROWD = 1500  # contexts of an anchor from which on they are dealt out by a second anchor
 FLUSH = 1 << 19
 
 
@@ -189,7 +189,7 @@ def _by_document(batches):
     order = np.argsort(doc, kind="stable")
     doc, rest = doc[order], [x[order] for x in rest]
     first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.empty(0, np.int64)
-    ends = np.r_[first[1:], len(doc)]
+    ends = np.r_[first[1:], len(doc)][: len(first)]
     for a in range(0, len(first), 500):
         cut = list(zip(first[a : a + 500].tolist(), ends[a : a + 500].tolist(), strict=True))
         yield pa.RecordBatch.from_arrays([pa.array(doc[first[a : a + 500]]), *[pa.array([x[i:j].tobytes() for i, j in cut], pa.binary()) for x in rest]], names=["doc", *WANTED[1:]])
@@ -344,7 +344,7 @@ def _merged(batches):
     doc, start, end = doc[order], start[order], end[order]
     first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.empty(0, np.int64)
     rows: list[tuple] = []
-    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(doc)], strict=True):
+    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(doc)][: len(first)], strict=True):
         reach = np.maximum.accumulate(end[a:b])
         fresh = np.r_[True, start[a + 1 : b] > reach[:-1]]
         rows.append((int(doc[a]), start[a:b][fresh].tobytes(), reach[np.r_[fresh[1:], True]].tobytes()))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.shared import documents_of, ready, settle
 
-CACHE = 300_000  # chunks of text whose ids a worker keeps
+CACHE = 500_000  # chunks of text whose ids a worker keeps
 BLOCK = 16_384  # pieces evolved together
 FAN = 16  # blocks that meet at the next level
 HANDED = 64  # bins that a block hands on
@@ -40,49 +40,59 @@ class Chunks:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.specials = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        words = self.tokenizer.get_vocab()
+        self.closing = np.zeros(max(words.values()) + 1, bool)
+        self.closing[[i for w, i in words.items() if w.endswith("</w>")]] = True
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.ids, self.first, self.size = [np.zeros(1, np.uint32)], [0], [1]  # entry 0: the end token
-        self.table = None
+        self.known: dict[bytes, int] = {b"\n ": 0, b" ": 1}
+        # entry 0 is the end token, entry 1 has no tokens
+        self.ids, self.first, self.size = np.zeros(1, np.uint32), np.array([0, 1]), np.array([1, 0])
 
     def whole(self, text: bytes) -> list[int]:
         return self.tokenizer.encode(text.decode("utf-8"), add_special_tokens=False).ids
 
-    def learn(self, chunks: set[bytes]) -> None:
-        fresh = list(chunks)
-        at = self.first[-1] + self.size[-1]
-        got = [e.ids for e in self.tokenizer.encode_batch_fast([c.decode("utf-8") for c in fresh], add_special_tokens=False)]
-        for chunk, ids in zip(fresh, got, strict=True):
-            self.known[chunk] = len(self.first)
-            self.first.append(at)
-            self.size.append(len(ids))
-            at += len(ids)
-        self.ids.append(np.fromiter((i for ids in got for i in ids), np.uint32))
-        self.table = None
+    def encoded(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks and how many each has. Chunks of letters are one word, which ends with a closing id, so
+        many go through at a time."""
+        if chunks and all(map(str.isalpha, chunks)):
+            joined = [self.tokenizer.encode(" ".join(chunks[i : i + 500]), add_special_tokens=False).ids for i in range(0, len(chunks), 500)]
+            ids = np.fromiter((i for got in joined for i in got), np.uint32)
+            ends = np.flatnonzero(self.closing[ids]) + 1
+            if len(ends) == len(chunks):
+                return ids, np.diff(np.r_[0, ends])
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+        return np.fromiter((i for ids in got for i in ids), np.uint32), np.array([len(ids) for ids in got], np.int64)
+
+    def learn(self, chunks: list[bytes]) -> None:
+        texts = [c[:-1].decode("utf-8") for c in chunks]
+        letters = [t.isalpha() for t in texts]
+        for kind in (True, False):
+            fresh = [(c, t) for c, t, alpha in zip(chunks, texts, letters, strict=True) if alpha == kind]
+            ids, size = self.encoded([t for _, t in fresh])
+            start = len(self.first)
+            self.known.update((c, start + i) for i, (c, _) in enumerate(fresh))
+            self.first = np.r_[self.first, len(self.ids) + np.cumsum(size) - size].astype(np.int64)
+            self.size = np.r_[self.size, size].astype(np.int64)
+            self.ids = np.r_[self.ids, ids]
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, each closed by id 0, and where each text's ids end."""
+        """Ids of all texts, which have no line feeds, each closed by id 0; and where each text's ids end."""
         odd = {i for i, t in enumerate(texts) if b"<" in t and any(s in t.translate(_FOLD) for s in self.specials)}
-        spread = _borders(b"\n".join(b"" if i in odd else t for i, t in enumerate(texts)))
-        lines = spread.split(b"\n")
-        chunks = b" \n ".join(lines).split(b" ")
+        data = _borders(b"".join((b"" if i in odd else t) + b" \n " for i, t in enumerate(texts)))
+        offsets = np.r_[0, np.flatnonzero(data == 32) + 1].astype(np.int64)
+        parted = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+        chunks = parted.dictionary.to_pylist()
         if len(self.known) > CACHE:
             self.clear()
-        self.known[b"\n"] = 0
-        known = self.known
-        if missing := set(chunks).difference(known):
+        if missing := [c for c in chunks if c not in self.known]:
             self.learn(missing)
-        if self.table is None:
-            self.table = np.concatenate(self.ids), np.array(self.first), np.array(self.size)
-            self.ids = [self.table[0]]
-        ids, first, size = self.table
-        which = np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
-        which = np.r_[which, 0]
-        sizes = size[which]
+        entry = np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
+        which = entry[parted.indices.to_numpy()]
+        sizes = self.size[which]
         ends = np.cumsum(sizes)
-        out = ids[np.repeat(first[which] - (ends - sizes), sizes) + np.arange(ends[-1])]
+        out = self.ids[np.repeat(self.first[which] - (ends - sizes), sizes) + np.arange(ends[-1])]
         closes = ends[which == 0]
         if not odd:
             return out, closes
@@ -90,17 +100,26 @@ class Chunks:
         return np.concatenate(parts).astype(np.uint32), np.cumsum([len(p) for p in parts])
 
 
+_KEPT: dict[str, Chunks] = {}
+
+
+def chunks_of(path: str) -> Chunks:
+    """The worker's chunks, kept from task to task."""
+    if path not in _KEPT:
+        _KEPT[path] = Chunks(path)
+    return _KEPT[path]
+
+
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def _borders(joined: bytes) -> bytes:
+def _borders(joined: bytes) -> np.ndarray:
     """A-Z lower-cased, with a space between a letter and a full stop or comma that ends a chunk."""
     data = np.frombuffer(joined.translate(_FOLD), np.uint8)
     mark = (data == 46) | (data == 44)
     after = np.r_[data[1:], np.uint8(32)]
     before = np.r_[np.uint8(32), data[:-1]]
-    at = np.flatnonzero(mark & ((after == 32) | (after == 10)) & (before >= 97) & (before <= 122))
-    return np.insert(data, at, 32).tobytes()
+    return np.insert(data, np.flatnonzero(mark & (after == 32) & (before >= 97) & (before <= 122)), 32)
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -108,9 +127,9 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 def _pieces(path: str, most: int):
     def run(batches):
-        chunks = Chunks(path)
-        for ids, texts in documents_of(batches):
-            # a line feed only parts chunks, so it may stand for the border between texts
+        chunks = chunks_of(path)
+        for ids, texts in documents_of(batches, 4 << 20):
+            # a line feed only parts chunks, as a space does
             tokens, ends = chunks([t.replace(b"\n", b" ") for t in texts])
             tokens = np.ascontiguousarray(tokens, "<u4")
             rows = []
