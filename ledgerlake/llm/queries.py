@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import bwt_repeats, gga_packing, trie_join
+from ledgerlake.llm import bwt_repeats, gga_packing, line_runs, trie_join
 from ledgerlake.llm.shared import read_table
 
 WORD_PIECES = "word_bpe_49k.json"
@@ -43,3 +43,13 @@ def op7_bwt_repeats(spark: SparkSession, sf: str) -> DataFrame:
 def op4_gga_packing(spark: SparkSession, sf: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
     return gga_packing.pack(read_table(spark, sf, "documents"), tokenizer_path())
+
+
+@query
+def op10_line_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents without the later occurrences of repeated runs of lines."""
+    done = line_runs.without_repeated_lines(read_table(spark, sf, "documents").select("doc_id", "text").where("doc_id is not null"))
+    return done.select("doc_id", "n_lines", "n_removed", line_runs.digest(done.kept_text).alias("kept_sha256"))
+
+
+ORACLES["op10_line_runs"] = line_runs.SQL
