@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import bwt_repeats, gga_packing, line_runs, trie_join
+from ledgerlake.llm import budget_mixing, bwt_repeats, chat_pairs, gga_packing, line_runs, trie_join
 from ledgerlake.llm.shared import read_table
 
 WORD_PIECES = "word_bpe_49k.json"
@@ -53,3 +53,21 @@ def op10_line_runs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 ORACLES["op10_line_runs"] = line_runs.SQL
+
+
+@query
+def op1_chat_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Every conversation's last answer against its successor's."""
+    return chat_pairs.formatted(chat_pairs.next_answers(read_table(spark, sf, "conversations")))
+
+
+ORACLES["op1_chat_pairs"] = chat_pairs.SQL
+
+
+@query
+def op5_budget_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    """As many tokens as there are, by weight, with at most three epochs of a source."""
+    return budget_mixing.mixture(read_table(spark, sf, "documents"), budget_mixing.standard_levels(), share=1.0, epochs=3, seed=17)
+
+
+ORACLES["op5_budget_mixing"] = budget_mixing.sql(1.0, 3, 17)
