@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import budget_mixing, bwt_repeats, chat_pairs, gga_packing, line_runs, trie_join
+from ledgerlake.llm import budget_mixing, bwt_repeats, chat_pairs, gga_packing, line_runs, random_secrets, trie_join
 from ledgerlake.llm.shared import read_table
 
 WORD_PIECES = "word_bpe_49k.json"
@@ -71,3 +71,9 @@ def op5_budget_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 ORACLES["op5_budget_mixing"] = budget_mixing.sql(1.0, 3, 17)
+
+
+@query
+def op9_random_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    """Secrets in all documents."""
+    return random_secrets.secrets(read_table(spark, sf, "documents"))
