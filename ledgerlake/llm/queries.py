@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import budget_mixing, bwt_repeats, chat_pairs, gga_packing, line_runs, random_secrets, trie_join
+from ledgerlake.llm import bitsliced_topk, budget_mixing, bwt_repeats, cell_dedup, chat_pairs, gga_packing, line_runs, random_secrets, trie_join
 from ledgerlake.llm.shared import read_table
 
 WORD_PIECES = "word_bpe_49k.json"
@@ -77,3 +77,15 @@ ORACLES["op5_budget_mixing"] = budget_mixing.sql(1.0, 3, 17)
 def op9_random_secrets(spark: SparkSession, sf: str) -> DataFrame:
     """Secrets in all documents."""
     return random_secrets.secrets(read_table(spark, sf, "documents"))
+
+
+@query
+def op2_cell_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Cosine 0.93 or more among vectors of one label."""
+    return cell_dedup.near_duplicates(read_table(spark, sf, "embeddings"), 0.93)
+
+
+@query
+def op8_bitsliced_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """The ten best rows for every hundredth vector."""
+    return bitsliced_topk.top_scores(read_table(spark, sf, "embeddings"), k=10, every=100)
