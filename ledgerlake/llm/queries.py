@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlake.llm import bitsliced_topk, budget_mixing, bwt_repeats, cell_dedup, chat_pairs, gga_packing, line_runs, random_secrets, trie_join
+from ledgerlake.llm import bitsliced_topk, budget_mixing, bwt_repeats, cell_dedup, chat_pairs, gga_packing, line_runs, random_secrets, toxicity, trie_join
 from ledgerlake.llm.shared import read_table
 
 WORD_PIECES = "word_bpe_49k.json"
@@ -89,3 +90,11 @@ def op2_cell_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op8_bitsliced_topk(spark: SparkSession, sf: str) -> DataFrame:
     """The ten best rows for every hundredth vector."""
     return bitsliced_topk.top_scores(read_table(spark, sf, "embeddings"), k=10, every=100)
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of all documents by a model of the labels that are not held out."""
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, read_table(spark, sf, "labels"))
+    return toxicity.scored(docs, model).select("doc_id", (~toxicity.in_training()).alias("held_out"), "score", "predicted")
