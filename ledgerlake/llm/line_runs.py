@@ -113,11 +113,11 @@ def _kept(batches):
         out = []
         for text, starts in zip(batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
             whole = (text or "").encode()
-            owner, number, _ = places([whole])
-            lines = len(np.unique(number))
+            lines = sum(bool(line.strip()) for line in whole.split(b"\n"))
             if starts is None:
                 out.append((text, lines, 0))
                 continue
+            _, number, _ = places([whole])
             at = np.frombuffer(starts, "<i8")
             gone = set(np.unique(number[(at[:, None] + np.arange(RUN)).ravel()]).tolist())
             out.append((b"\n".join(x for i, x in enumerate(whole.split(b"\n")) if i not in gone).decode(), lines, len(gone)))
@@ -145,7 +145,7 @@ def without_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str =
     inner = [f"c{i}" for i in range(len(rest))]
     # neutral names meanwhile, so that no column of the input clashes with ours
     plain = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(rest, inner, strict=True)], F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("whole"))
-    joined = plain.join(marks, "doc", "left").select(*inner, "whole", "starts")
+    joined = plain.join(marks.hint("merge"), "doc", "left").select(*inner, "whole", "starts")
     shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in joined.select(*inner).schema.fields)
     done = joined.mapInArrow(_kept, shape + ", kept_text string, n_lines long, n_removed long")
     return done.select(*[F.col(n).alias(c) for c, n in zip(rest, inner, strict=True)], "kept_text", "n_lines", "n_removed")
