@@ -388,6 +388,8 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, doc_i
     """
     spark = docs.sparkSession
     ready(spark)
+    # let the join that fetches the remaining texts filter them by a Bloom filter before they are moved, at any size
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "0")
     parts = deals(spark)
     buckets = 4 * parts
     texts = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).where("doc is not null")
@@ -397,7 +399,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, doc_i
     classes = facts.where("n > 0").groupBy("one", "two", "n").agg(F.min("doc").alias("class_id"), F.max(F.expr("few - met")).alias("alone"))
     classes = settle(classes, "shingle-classes")
     left = classes.where(f"100 * (n - alone) >= {percent} * n").select(F.col("class_id").alias("doc"), "n")
-    chosen = texts.join(left, "doc", "left_semi").select("doc", "text")
+    chosen = texts.join(left.hint("merge"), "doc", "left_semi").select("doc", "text")
     whole = chosen.mapInArrow(_whole(words, buckets), packed("key", "doc"))
     elements = whole.repartition(parts, "bucket").mapInArrow(_elements, "doc long, element long, held long, weight long")
     sized = elements.join(left, "doc").select("doc", "n", "element", "held", "weight")
