@@ -104,7 +104,8 @@ _KEPT: dict[str, Chunks] = {}
 
 
 def chunks_of(path: str) -> Chunks:
-    """The worker's chunks, kept from task to task."""
+    """The worker's tokenizer, kept from task to task; the chunks that it knows go with the task, since idle workers
+    would hold on to them."""
     if path not in _KEPT:
         _KEPT[path] = Chunks(path)
     return _KEPT[path]
@@ -140,6 +141,7 @@ def _pieces(path: str, most: int):
             columns = list(zip(*rows, strict=True))
             types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        chunks.clear()
 
     return run
 
