@@ -369,7 +369,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", t
     met = settle(sent.repartition(parts, "bucket").mapInArrow(_met_runs(length, buckets), MET), "repeat-runs")
     wanted = met.where("want_doc is not null").select("bucket", *WANTED)
     listed = wanted.repartition(parts, "bucket").mapInArrow(_by_document, "doc long, " + ", ".join(f"{c} binary" for c in WANTED[1:]))
-    contexts = texts.join(listed, "doc").mapInArrow(_contexts(length), CONTEXT)
+    contexts = texts.join(listed.hint("merge"), "doc").mapInArrow(_contexts(length), CONTEXT)
     spread = contexts.repartition(parts, "gram").sortWithinPartitions("gram")
     found = spread.select("gram", "doc", "start", "count", "open", "bytes").mapInArrow(_expanded(length, buckets), "bucket long, " + ", ".join(f"{c} binary" for c in SPAN))
     spans = met.where("span_doc is not null").select("bucket", *SPAN).unionByName(found)
@@ -398,4 +398,4 @@ def without_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     """Per document: bytes, removed bytes, maximal removed runs, and the digest of what is left (see repeated_spans)."""
     spans = repeated_spans(docs, length)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("binary").alias("text")).where("doc is not null")
-    return texts.join(spans, "doc", "left").select("doc", "text", "starts", "ends").mapInArrow(_digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return texts.join(spans.hint("merge"), "doc", "left").select("doc", "text", "starts", "ends").mapInArrow(_digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
