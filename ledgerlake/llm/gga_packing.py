@@ -278,7 +278,8 @@ def _best(most: int):
     return run
 
 
-INSTANCE = "block long, docs binary, pieces binary, lengths binary"
+ITEM = {"doc_id": "<i8", "piece": "<i4", "length": "<i4", "start": "<i8", "ids_crc32": "<i8"}
+INSTANCE = "block long, " + ", ".join(f"{name} binary" for name in ITEM)
 
 
 def _instances(batches):
@@ -286,21 +287,22 @@ def _instances(batches):
     now, held = None, []
 
     def done():
-        docs, pieces, lengths = zip(*held, strict=True)
-        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in ((now, pa.int64()), (np.array(docs, "<i8").tobytes(), pa.binary()), (np.array(pieces, "<i4").tobytes(), pa.binary()), (np.array(lengths, "<i4").tobytes(), pa.binary()))], names=["block", "docs", "pieces", "lengths"])
+        columns = zip(*held, strict=True)
+        packed = [pa.array([np.array(c, kind).tobytes()], pa.binary()) for c, kind in zip(columns, ITEM.values(), strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), *packed], names=["block", *ITEM])
 
     for batch in batches:
-        for block, doc, piece, length in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+        for block, *item in zip(*[c.to_pylist() for c in batch.columns], strict=True):
             if block != now and held:
                 yield done()
                 held = []
             now = block
-            held.append((doc, piece, length))
+            held.append(item)
     if held:
         yield done()
 
 
-PLACED = "doc_id long, piece int, length long, block long, bin long, offset long, handed boolean"
+PLACED = "doc_id long, piece int, length long, start long, ids_crc32 long, block long, bin long, offset long, handed boolean"
 
 
 def _placed(most: int, last: bool):
@@ -308,8 +310,9 @@ def _placed(most: int, last: bool):
 
     def run(batches):
         for batch in batches:
-            for block, docs, pieces, lengths, chosen in zip(*[batch.column(c).to_pylist() for c in ("block", "docs", "pieces", "lengths", "packing")], strict=True):
-                sizes, into = np.frombuffer(lengths, "<i4").astype(np.int64), np.frombuffer(chosen, "<i4").astype(np.int64)
+            for block, chosen, *blobs in zip(*[batch.column(c).to_pylist() for c in ("block", "packing", *ITEM)], strict=True):
+                item = {name: np.frombuffer(blob, kind) for blob, (name, kind) in zip(blobs, ITEM.items(), strict=True)}
+                sizes, into = item["length"].astype(np.int64), np.frombuffer(chosen, "<i4").astype(np.int64)
                 fill = np.bincount(into, sizes)
                 open_ = np.zeros(len(fill), bool)
                 if not last:
@@ -322,8 +325,8 @@ def _placed(most: int, last: bool):
                 offset = np.empty(len(sizes), np.int64)
                 offset[order] = ends - sizes[order] - base
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.frombuffer(docs, "<i8")), pa.array(np.frombuffer(pieces, "<i4")), pa.array(sizes), pa.array(np.full(len(sizes), block)), pa.array(into), pa.array(offset), pa.array(open_[into])],
-                    names=["doc_id", "piece", "length", "block", "bin", "offset", "handed"],
+                    [pa.array(item["doc_id"]), pa.array(item["piece"]), pa.array(sizes), pa.array(item["start"]), pa.array(item["ids_crc32"]), pa.array(np.full(len(sizes), block)), pa.array(into), pa.array(offset), pa.array(open_[into])],
+                    names=[part.split()[0] for part in PLACED.split(", ")],
                 )
 
     return run
@@ -332,8 +335,8 @@ def _placed(most: int, last: bool):
 def _packed_blocks(items: DataFrame, blocks: int, most: int, level: int, last: bool) -> DataFrame:
     """The pieces (doc_id, piece, length, block) with bins, by the best packing that the islands find for each block."""
     sorted_items = items.repartition(blocks, "block").sortWithinPartitions("block", F.desc("length"), "doc_id", "piece")
-    instances = settle(sorted_items.select("block", "doc_id", "piece", "length").mapInArrow(_instances, INSTANCE), f"packing-{level}")
-    islands = instances.select("block", "lengths", F.explode(F.expr(f"sequence(0, {ISLANDS - 1})")).alias("island"), F.expr("cast(null as array<binary>)").alias("people"))
+    instances = settle(sorted_items.select("block", *ITEM).mapInArrow(_instances, INSTANCE), f"packing-{level}")
+    islands = instances.select("block", F.col("length").alias("lengths"), F.explode(F.expr(f"sequence(0, {ISLANDS - 1})")).alias("island"), F.expr("cast(null as array<binary>)").alias("people"))
     shape = "block long, island int, lengths binary, people array<binary>"
     for epoch in range(EPOCHS):
         if epoch:
@@ -357,20 +360,18 @@ def pack(docs: DataFrame, tokenizer: str, most: int = 2048, doc_id: str = "doc_i
     pieces = settle(texts.mapInArrow(_pieces(tokenizer, most), PIECES), "pieces")
     short = pieces.where(F.col("length") < most)
     blocks = max(1, -(-short.count() // BLOCK))
-    items = short.select("doc_id", "piece", "length", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(blocks)).alias("block"))
+    items = short.select(*ITEM, F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(blocks)).alias("block"))
     kept, level = None, 0
     while True:
         last = blocks == 1
         placed = _packed_blocks(items, blocks, most, level, last)
         # numbers of one level do not meet those of another, nor those of full pieces, which are odd
         number = ((F.lit(level).cast("long") + F.lit(64) * F.col("block")) * F.lit(1 << 24) + F.col("bin")) * 2
-        done = placed.where("not handed").select("doc_id", "piece", "length", number.alias("sequence_id"), "offset")
+        done = placed.where("not handed").select("doc_id", "piece", "start", "length", "ids_crc32", number.alias("sequence_id"), "offset")
         kept = done if kept is None else kept.unionByName(done)
         if last:
             break
         blocks, level = -(-blocks // FAN), level + 1
-        items = placed.where("handed").select("doc_id", "piece", "length", F.expr(f"block div {FAN}").alias("block"))
-    facts = pieces.where(F.col("length") < most).select("doc_id", "piece", "start", "ids_crc32")
+        items = placed.where("handed").select(*ITEM, F.expr(f"block div {FAN}").alias("block"))
     full = pieces.where(F.col("length") == most).select("*", (F.monotonically_increasing_id() * 2 + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    joined = kept.join(facts, ["doc_id", "piece"])
-    return joined.select(full.columns).unionByName(full)
+    return kept.unionByName(full)
