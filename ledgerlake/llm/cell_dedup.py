@@ -12,6 +12,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,16 +68,20 @@ def _dealt(centres: np.ndarray, least: float):
     between = centres[:, None, :] - centres[None, :, :]
     size = np.linalg.norm(between, axis=2)
 
-    def run(batches):
+    def by_length(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
+            lengths = pc.list_value_length(batch.column("v"))
+            for size in pc.unique(lengths):
+                yield batch.filter(pc.equal(lengths, size))
+
+    def run(batches):
+        for batch in by_length(batches):
             rows = _unit(_matrix(batch.column("v")))
             near = rows @ centres.T if rows.shape[1] == centres.shape[1] else np.zeros((len(rows), 1))
             home = np.argmax(near, axis=1)
             # x.u for all cells at once; equal centres are never told apart
             off = near[np.arange(len(rows)), home][:, None] - near
-            apart = size[home][:, : near.shape[1]]
+            apart = size[home][:, : near.shape[1]]  # one cell, if the length is not the centres'
             guest = (off <= reach * apart) & (np.arange(near.shape[1])[None, :] > home[:, None])
             who, cell = np.nonzero(guest)
             pick = np.r_[np.arange(len(rows)), who]
