@@ -32,8 +32,8 @@ def denom_cut(coin: Column, native: str = "uluna") -> tuple[Column, Column]:
     )
     currency = (
         F.when(is_native, F.lit(native))
-        .when(is_pool, F.substring(coin, at_g, F.lit(99)))
-        .when(is_ibc, F.substring(coin, at_i, F.lit(99)))
+        .when(is_pool, F.substring(coin, at_g, F.length(coin)))
+        .when(is_ibc, F.substring(coin, at_i, F.length(coin)))
         .otherwise(F.lit(native))
     )
     return amount.try_cast("decimal(38,0)"), currency

@@ -46,9 +46,10 @@ def tombstoned(df: DataFrame, flagged: DataFrame, key: str) -> DataFrame:
     """Drop every row whose key was ever flagged, with ``NOT IN`` null rules.
 
     A null among the flagged keys empties the result, and a row with a null key survives only an empty list. Both
-    are decided by two scalar aggregates, so the join itself stays a plain anti join that can shuffle.
+    are decided by one scalar aggregate, so the join itself stays a plain anti join that can shuffle.
     """
-    flags = flagged.agg(F.count(F.lit(1))).scalar()
-    null_flags = flagged.agg(F.count_if(F.col(key).isNull())).scalar()
-    kept = df.join(flagged.select(key).distinct(), key, "left_anti").select(*df.columns)
-    return kept.where((flags == 0) | ((null_flags == 0) & F.col(key).isNotNull()))
+    counts = F.struct(F.count(F.lit(1)).alias("all"), F.count_if(F.col(key).isNull()).alias("nulls"))
+    kept = df.join(flagged.select(key), key, "left_anti").select(*df.columns)
+    counted = kept.withColumn("_flags", flagged.agg(counts).scalar())
+    empty, plain = F.col("_flags.all") == 0, F.col("_flags.nulls") == 0
+    return counted.where(empty | (plain & F.col(key).isNotNull())).drop("_flags")

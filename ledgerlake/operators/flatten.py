@@ -54,20 +54,33 @@ def _children(path: Column, node: Column) -> Column:
     return F.coalesce(items, fields, F.filter(F.array(entry(F.lit(""), nothing, nothing, node)), lambda _: F.lit(False)))
 
 
-def flatten_recursive(df: DataFrame, root: Column, max_depth: int) -> DataFrame:
-    """Every node below ``root`` down to ``max_depth`` as (path, key, index, value).
+def _depth(node: Column) -> Column:
+    """How many brackets of a VARIANT are open at once, from its JSON text without strings and scalars."""
+    brackets = F.regexp_replace(F.to_json(node), r'"(?:[^"\\]++|\\.)*+"|[^\[\]{}]', "")
+    start = F.struct(F.lit(0).alias("open"), F.lit(0).alias("most"))
 
-    The levels are walked inside the row, so the payload is read and parsed once, and exploded once at the end.
+    def step(state: Column, bracket: Column) -> Column:
+        now = state["open"] + F.when(bracket.isin("[", "{"), 1).otherwise(-1)
+        return F.struct(now.alias("open"), F.greatest(state["most"], now).alias("most"))
+
+    return F.aggregate(F.filter(F.split(brackets, ""), lambda c: c != ""), start, step, lambda state: state["most"])
+
+
+def flatten_recursive(df: DataFrame, root: Column) -> DataFrame:
+    """Every node below ``root``, however deep, as (path, key, index, value).
+
+    The levels are walked inside the row, as many as the row's own value has, so the payload is read once and exploded
+    once at the end. A scalar or null root has no nodes and its row goes.
     """
+    top = _children(F.lit(""), root)
+    start = F.struct(top.alias("nodes"), top.alias("level"))
 
-    def below(level: Column, depth: int) -> Column:
-        if depth == max_depth:
-            return level
-        deeper = F.flatten(F.transform(level, lambda n: _children(n["path"], n["value"])))
-        return F.concat(level, let(deeper, lambda nodes: below(nodes, depth + 1)))
+    def step(state: Column, _: Column) -> Column:
+        deeper = F.flatten(F.transform(state["level"], lambda n: _children(n["path"], n["value"])))
+        return let(deeper, lambda d: F.struct(F.concat(state["nodes"], d).alias("nodes"), d.alias("level")))
 
-    nodes = let(_children(F.lit(""), root), lambda nodes: below(nodes, 1))
-    return df.select("*", F.inline(nodes))
+    levels = F.sequence(F.lit(1), F.greatest(_depth(root), F.lit(1)))
+    return df.select("*", F.inline(F.aggregate(levels, start, step, lambda state: state["nodes"])))
 
 
 def split_rows(df: DataFrame, text: Column, separator: str, value: str = "value", index: str = "index") -> DataFrame:

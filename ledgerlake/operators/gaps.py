@@ -32,15 +32,13 @@ def fill_gaps(gaps: DataFrame, low: str, high: str, out: str) -> DataFrame:
 
 
 def missing_ids(universe: DataFrame, present: DataFrame, column: str) -> DataFrame:
-    """Numbers of ``universe`` that ``present`` lacks, each once."""
-    return universe.select(column).distinct().join(present.select(column).distinct(), column, "left_anti")
+    """Numbers of ``universe`` that ``present`` lacks, as often as ``universe`` holds them."""
+    return universe.select(column).join(present.select(column), column, "left_anti")
 
 
-def pages(count: Column, size: int, first: int = 1, most: int | None = None) -> Column:
+def pages(count: Column, size: int, first: int = 1) -> Column:
     """Page numbers that ``count`` items need, as an array (empty where no page is needed)."""
     last = F.ceil(count / F.lit(size)).cast("bigint")
-    if most is not None:
-        last = F.least(last, F.lit(most).cast("bigint"))
     return F.when(last >= first, F.sequence(F.lit(first).cast("bigint"), last)).otherwise(
         F.array().cast("array<bigint>")
     )

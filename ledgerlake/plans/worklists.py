@@ -11,13 +11,12 @@ from pyspark.sql import functions as F
 from ledgerlake.functions import vlong, vstr, vvar
 from ledgerlake.operators.flatten import flatten_array_outer
 from ledgerlake.operators.gaps import missing_ids, pages
-from ledgerlake.operators.ordered import id_chunk, ntiles, row_numbers
+from ledgerlake.operators.ordered import id_chunk, row_numbers
 from ledgerlake.sources.numbers import numbers
 
-# First block the current node serves, transactions per page, most pages asked per block.
+# First block the current node serves, transactions per page.
 FIRST_SERVED_BLOCK = 4109598
 PAGE_SIZE = 100
-MOST_PAGES = 50
 # Fixed value: blocks kept between the chain's head and the newest request.
 HEAD_LAG = 500
 
@@ -57,7 +56,7 @@ def _rpc(method: str, params: str) -> Column:
 
 
 def missing_block_requests(universe: DataFrame, by_date: DataFrame, landed: DataFrame) -> DataFrame:
-    """One ``block`` request per block that has not landed since the third-newest full day."""
+    """One ``block`` request per block that has not landed since the third-newest full day (with fewer: ever)."""
     missing = missing_ids(_since(universe, by_date), landed.select(F.col("block_number").alias("block_id")), "block_id")
     return missing.select("block_id", _rpc("block", "concat('\"', cast(block_id as string), '\"')").alias("request"))
 
@@ -70,8 +69,9 @@ def missing_search_requests(universe: DataFrame, by_date: DataFrame, landed: Dat
 
 
 def _since(universe: DataFrame, by_date: DataFrame) -> DataFrame:
+    """With fewer than three full days every block is asked for."""
     first = third_newest_day(by_date)
-    return universe.where(F.lit(False)) if first is None else universe.where(F.col("block_id") >= first)
+    return universe if first is None else universe.where(F.col("block_id") >= first)
 
 
 def missing_page_requests(silver_blocks: DataFrame, by_date: DataFrame, landed: DataFrame) -> DataFrame:
@@ -81,33 +81,34 @@ def missing_page_requests(silver_blocks: DataFrame, by_date: DataFrame, landed:
     a first-page marker are ignored.
     """
     first = third_newest_day(by_date)
-    recent = F.lit(False) if first is None else F.col("block_id") > first
+    recent = F.lit(True) if first is None else F.col("block_id") > first
     busy = silver_blocks.where(
         (F.col("block_id") > FIRST_SERVED_BLOCK) & (F.col("tx_count") > PAGE_SIZE) & recent
     )
     wanted = busy.select(
-        "block_id", F.explode(pages(F.col("tx_count"), PAGE_SIZE, 2, MOST_PAGES)).alias("id")
+        "block_id", F.explode(pages(F.col("tx_count"), PAGE_SIZE, 2)).alias("id")
     ).distinct()
     answered = landed.where(~F.coalesce(F.to_json("metadata").startswith('"1",'), F.lit(False))).select(
         F.col("block_number").alias("block_id"), vlong("metadata", "request.params[2]").alias("id")
     )
-    missing = wanted.join(answered.distinct(), ["block_id", "id"], "left_anti")
+    missing = wanted.join(answered, ["block_id", "id"], "left_anti")
     text = "concat('\"tx.height=', cast(block_id as string), '\",true, \"', cast(id as string), '\" ,\"100\" ,\"asc\"')"
     return missing.select("block_id", "id", _rpc("tx_search", text).alias("request"))
 
 
-def batched_calls(missing: DataFrame, column: str, newest: int, method: str, params: Column, groups: int = 10):
-    """The ``newest`` numbers in ``groups`` even batches, each batch one array of request texts.
+def batched_calls(missing: DataFrame, column: str, size: int, method: str, params: Column):
+    """All missing numbers in batches of ``size`` request texts; batch 1 holds the newest, the last one may be shorter.
 
-    The report limit comes first, so a batch never holds more than ``newest`` requests.
+    A caller with a limited budget takes batches from 1 upward and comes back for the rest.
     """
-    top = missing.orderBy(F.desc(column)).limit(newest)
-    tiled = ntiles(top, [column], id_chunk(F.col(column), 1000), groups, "grp")
+    backwards = missing.select(column).distinct().withColumn("_back", -F.col(column))
+    numbered = row_numbers(backwards, [], ["_back"], id_chunk(F.col("_back"), 1000), "_row")
+    batches = numbered.withColumn("grp", F.floor((F.col("_row") - 1) / size) + 1)
     call = F.to_json(
         F.struct(F.col(column).alias("id"), F.lit("2.0").alias("jsonrpc"), F.lit(method).alias("method"), params.alias("params"))
     )
     ordered = F.sort_array(F.collect_list(F.struct(F.col(column).alias("n"), call.alias("call"))))
-    return tiled.groupBy("grp").agg(F.transform(ordered, lambda c: c["call"]).alias("calls"))
+    return batches.groupBy("grp").agg(F.transform(ordered, lambda c: c["call"]).alias("calls"))
 
 
 def block_params(column: str = "block_id") -> Column:
@@ -123,20 +124,17 @@ def search_params(column: str = "block_id") -> Column:
     )
 
 
-def header_ranges(blocks: DataFrame, known: DataFrame | None, width: int = 20, per_call: int = 100, calls: int = 6):
-    """Header requests for runs of ``width`` block numbers, ``per_call`` runs per call, fewer than ``calls`` calls.
+def header_ranges(blocks: DataFrame, known: DataFrame | None, width: int = 20, per_call: int = 100):
+    """Header requests for runs of ``width`` pending block numbers, ``per_call`` runs per call, as many calls as needed.
 
-    The block numbers are ordered as text, as the published request list is. Only the rows that the call limit
-    keeps are numbered; numbers are cut off at ``(calls - 1) * per_call * width`` rows.
+    Blocks are ordered by number; for heights of equally many digits that is also their order as text.
     """
     pending = blocks.select("block_id").distinct()
     if known is not None:
-        pending = pending.join(known.select("block_id").distinct(), "block_id", "left_anti")
-    texts = pending.select(F.col("block_id").cast("string").alias("block_id"))
-    head = texts.orderBy("block_id").limit((calls - 1) * per_call * width)
-    numbered = row_numbers(head, [], ["block_id"], F.substring("block_id", 1, 3), "rn")
+        pending = pending.join(known.select("block_id"), "block_id", "left_anti")
+    numbered = row_numbers(pending, [], ["block_id"], id_chunk(F.col("block_id"), 1000), "rn")
     runs = numbered.groupBy(F.floor((F.col("rn") - 1) / width).alias("run")).agg(
-        F.min("block_id").alias("min_block"), F.max("block_id").alias("max_block")
+        F.min("block_id").cast("string").alias("min_block"), F.max("block_id").cast("string").alias("max_block")
     )
     call = F.to_json(
         F.struct(
@@ -166,12 +164,10 @@ def land_responses(results: DataFrame, run) -> DataFrame:
     )
 
 
-def repair_list(seed: DataFrame, answered: DataFrame | None, most: int = 20) -> DataFrame:
-    """Transaction ids still without a repair response, a few at a time, in id order."""
+def repair_list(seed: DataFrame, answered: DataFrame | None) -> DataFrame:
+    """All transaction ids still without a repair response."""
     wanted = seed.select("tx_id").distinct()
     if answered is not None:
         done = answered.where(vstr("data", "data.tx_response.height").isNotNull()).select("tx_id")
         wanted = wanted.join(done, "tx_id", "left_anti")
-    return wanted.orderBy("tx_id").limit(most)
-
-
+    return wanted

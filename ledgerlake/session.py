@@ -27,19 +27,33 @@ def get_session(master: str | None = None, **conf: str) -> SparkSession:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; one is chosen only where the setting is absent."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    """The folder named by ``spark.checkpoint.dir``, which all executors share."""
+    context = spark.sparkContext
+    root = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="ledgerlake-")
-        spark.sparkContext.setCheckpointDir(root)
+        root = _own_root(context.master)
+        context.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def _own_root(master: str) -> str:
+    """A folder of this machine, for sessions whose executors are threads of the driver; an error on a cluster."""
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="ledgerlake-")
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder name under the shared root, so runs never collide."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder that its owner needs no longer, through the file system that holds it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def settle(df, label: str = "stage"):
     """Write ``df`` once in the shared folder and read it back.
 

@@ -91,7 +91,7 @@ def test_coins(spark, coin, amount, denom):
 
 
 def test_denom_cut(spark):
-    cases = {"5uluna": (5, "uluna"), "5gamm/pool/1": (5, "gamm/pool/1"), "5ibc/AB": (5, "ibc/AB"), "5": (5, "uluna")}
+    cases = {"5uluna": (5, "uluna"), "5gamm/pool/1": (5, "gamm/pool/1"), "5ibc/AB": (5, "ibc/AB"), "5": (5, "uluna"), "7ibc/" + "A" * 150: (7, "ibc/" + "A" * 150), "8gamm/pool/" + "1" * 150: (8, "gamm/pool/" + "1" * 150)}
     amount, currency = denom_cut(F.col("c"))
     rows = spark.createDataFrame([(c,) for c in cases], "c string").select("c", amount.alias("a"), currency.alias("d")).collect()
     assert {r["c"]: (int(r["a"]), r["d"]) for r in rows} == cases
@@ -167,7 +167,15 @@ def test_prefix_regroup_orders_by_text(spark):
 
 def test_flatten_recursive_paths(spark):
     df = spark.createDataFrame([('{"a":[{"b":1},2]}',)], "j string").withColumn("j", F.parse_json("j"))
-    rows = flatten_recursive(df, F.col("j"), 4).select("path", "key", "index").collect()
+    rows = flatten_recursive(df, F.col("j")).select("path", "key", "index").collect()
     assert sorted((r["path"], r["key"], r["index"]) for r in rows) == [
         ("a", "a", None), ("a[0]", None, 0), ("a[0].b", "b", None), ("a[1]", None, 1)
     ]
+
+
+def test_flatten_recursive_has_no_depth_limit(spark):
+    deep = '{"k]":["' + '\\\\\\"{[[[' + '",' + '{"a":' * 40 + "[1]" + "}" * 40 + "]}"
+    df = spark.createDataFrame([(1, deep), (2, "7"), (3, None), (4, "[]"), (5, '"x{[" ')], "i int, j string").withColumn("j", F.parse_json("j"))
+    rows = flatten_recursive(df, F.col("j")).select("i", "path").collect()
+    assert {r["i"] for r in rows} == {1}
+    assert len(rows) == 1 + 2 + 40 + 1 and max(len(r["path"]) for r in rows) == len("k][1]" + ".a" * 40 + "[0]")

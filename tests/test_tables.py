@@ -11,7 +11,7 @@ from ledgerlake.incremental.table import date_part, hash_part
 from ledgerlake.operators.dedupe import latest_by
 from ledgerlake.plans import chain_silver
 from ledgerlake.run import Run
-from ledgerlake.session import new_folder, shared_root
+from ledgerlake.session import _own_root, new_folder, shared_root
 from workload.chainlike import RUN, Chain
 
 SCHEMA = "k bigint, d date, v string"
@@ -30,7 +30,13 @@ def new_table(spark, part=None):
 
 
 def test_shared_root_is_the_named_folder(spark):
-    assert shared_root(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir", shared_root(spark)).rstrip("/")
+    assert shared_root(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
+
+
+def test_cluster_without_shared_folder_is_an_error():
+    for master in ["yarn", "spark://host:7077", "k8s://host", "local-cluster[2,1,1024]"]:
+        with pytest.raises(RuntimeError):
+            _own_root(master)
 
 
 def test_upsert_is_idempotent_and_keeps_other_partitions(spark):

@@ -420,15 +420,32 @@ def worklist_missing(spark, sf):
 
 
 @query(f"""
-WITH {O}, {SINCE}, p AS (SELECT block, unnest(generate_series(2, least(50, CAST(ceil(n * 60 / 100.0) AS BIGINT)))) AS page FROM days
-  WHERE n * 60 > 100 AND block > (SELECT b FROM third)),
+WITH {O}, s AS (SELECT min(block) AS lo, max(block) AS hi FROM o), u AS (SELECT unnest(generate_series(lo, hi)) AS block_id FROM s)
+SELECT block_id, '{{"jsonrpc": "2.0","method": "block", "params":["' || block_id || '"],"id":"' || block_id || '"}}' AS request
+FROM u WHERE block_id NOT IN (SELECT block FROM o WHERE priority = '1-URGENT')
+""")
+def worklist_young_chain(spark, sf):
+    """With a single full day every block since the first one is asked for."""
+    ends = cl.orders(spark, sf).agg(F.min("block").alias("lo"), F.max("block").alias("hi")).first()
+    by_date = worklists.max_block_by_date(
+        cl.orders(spark, sf).select(F.col("block").alias("block_height"), F.to_date(F.lit("2024-01-01")).alias("block_timestamp"))
+    )
+    universe = numbers(spark, ends["hi"], ends["lo"], "block_id")
+    landed = _urgent(spark, sf).select(F.col("block").alias("block_number"))
+    return worklists.missing_block_requests(universe, by_date, landed).select("block_id", "request")
+
+
+@query(f"""
+WITH {O}, {SINCE}, p AS (SELECT block, unnest(generate_series(2, CAST(ceil(n * 2000 / 100.0) AS BIGINT))) AS page FROM days
+  WHERE n * 2000 > 100 AND block > (SELECT b FROM third)),
 a AS (SELECT DISTINCT block, 2 AS page FROM o WHERE priority = '1-URGENT')
 SELECT block AS block_id, page AS id, '{{"jsonrpc": "2.0","method": "tx_search", "params":["tx.height=' || block || '",true, "' || page ||
   '" ,"100" ,"asc"],"id":"' || block || '"}}' AS request
 FROM p WHERE (block, page) NOT IN (SELECT block, page FROM a)
 """)
 def worklist_pages(spark, sf):
-    blocks = cl._days(spark, sf).select(F.col("block").alias("block_id"), (F.col("n") * 60).alias("tx_count"))
+    """Blocks of thousands of transactions: all of their pages are asked for."""
+    blocks = cl._days(spark, sf).select(F.col("block").alias("block_id"), (F.col("n") * 2000).alias("tx_count"))
     params = F.array(F.lit("tx.height"), F.lit("true"), F.lit("2"))
     landed = _urgent(spark, sf).select(
         F.col("block").alias("block_number"),
@@ -437,38 +454,42 @@ def worklist_pages(spark, sf):
     return worklists.missing_page_requests(blocks, _months(spark, sf), landed).select("block_id", "id", "request")
 
 
+def _numbered_blocks(spark, sf):
+    """A block for each order, and those of them that have landed."""
+    every = cl.orders(spark, sf).select((F.col("o_orderkey") + 4710578).alias("block_id"), "priority")
+    return every.select("block_id"), every.where(F.col("priority") == cl.URGENT).select("block_id")
+
+
 @query(f"""
-WITH {O}, m AS (SELECT DISTINCT block FROM o WHERE block NOT IN (SELECT block FROM o WHERE priority = '1-URGENT')),
-top AS (SELECT block FROM m ORDER BY block DESC LIMIT 750), t AS (SELECT block, ntile(10) OVER (ORDER BY block) AS grp FROM top)
-SELECT grp, count(*) AS calls, '{{"id":' || min(block) || ',"jsonrpc":"2.0","method":"block","params":["' || min(block) || '"]}}' AS first_call
+WITH {O}, m AS (SELECT o_orderkey + 4710578 AS block FROM o WHERE priority <> '1-URGENT'),
+t AS (SELECT block, (row_number() OVER (ORDER BY block DESC) - 1) // 75 + 1 AS grp FROM m)
+SELECT grp, string_agg('{{"id":' || block || ',"jsonrpc":"2.0","method":"block","params":["' || block || '"]}}', ';' ORDER BY block) AS calls
 FROM t GROUP BY grp
 """)
 def worklist_batches(spark, sf):
-    every = cl.orders(spark, sf).select(F.col("block").alias("block_id"))
-    landed = _urgent(spark, sf).select(F.col("block").alias("block_id"))
+    """All missing blocks, 75 a batch."""
+    every, landed = _numbered_blocks(spark, sf)
     missing = worklists.missing_ids(every, landed, "block_id")
-    batches = worklists.batched_calls(missing, "block_id", 750, "block", worklists.block_params())
-    return batches.select("grp", F.size("calls").cast("bigint").alias("calls"), F.col("calls")[0].alias("first_call"))
+    batches = worklists.batched_calls(missing, "block_id", 75, "block", worklists.block_params())
+    return batches.select("grp", F.array_join("calls", ";").alias("calls"))
 
 
 @query(f"""
-WITH {O}, t AS (SELECT DISTINCT CAST(block AS VARCHAR) AS b FROM o WHERE block NOT IN (SELECT block FROM o WHERE priority = '1-URGENT')),
-n AS (SELECT b, (row_number() OVER (ORDER BY b) - 1) // 20 AS run FROM t QUALIFY row_number() OVER (ORDER BY b) <= 10000),
+WITH {O}, n AS (SELECT o_orderkey + 4710578 AS b, (row_number() OVER (ORDER BY o_orderkey) - 1) // 20 AS run FROM o WHERE priority <> '1-URGENT'),
 r AS (SELECT run, min(b) AS lo, max(b) AS hi FROM n GROUP BY run)
-SELECT run // 100 + 1 AS groupid_out, count(*) AS calls,
-  '{{"jsonrpc":"2.0","id":' || min_by(lo, run) || ',"method":"blockchain","params":["' || min_by(lo, run) || '","' || min_by(hi, run) || '"]}}' AS first_call
+SELECT run // 100 + 1 AS groupid_out,
+  string_agg('{{"jsonrpc":"2.0","id":' || lo || ',"method":"blockchain","params":["' || lo || '","' || hi || '"]}}', ';' ORDER BY run) AS calls
 FROM r GROUP BY 1
 """)
 def worklist_headers(spark, sf):
-    blocks = cl.orders(spark, sf).select(F.col("block").alias("block_id"))
-    known = _urgent(spark, sf).select(F.col("block").alias("block_id"))
-    ranges = worklists.header_ranges(blocks, known)
-    return ranges.select("groupid_out", F.size("call").cast("bigint").alias("calls"), F.col("call")[0].alias("first_call"))
+    """All pending blocks in runs of 20, a hundred runs a call."""
+    every, known = _numbered_blocks(spark, sf)
+    ranges = worklists.header_ranges(every, known)
+    return ranges.select("groupid_out", F.array_join("call", ";").alias("calls"))
 
 
 @query(f"""
 WITH {O} SELECT hash AS tx_id FROM o WHERE status <> 'F' AND hash NOT IN (SELECT hash FROM o WHERE priority = '1-URGENT')
-ORDER BY hash LIMIT 20
 """)
 def worklist_repairs(spark, sf):
     seed = cl.orders(spark, sf).where(F.col("status") != "F").select(F.col("hash").alias("tx_id"))

@@ -273,11 +273,11 @@ def balance_chain_query(spark, sf):
 
 
 @query("""
-SELECT user_id, unnest(generate_series(2, least(50, CAST(ceil(count(*) / 10.0) AS BIGINT)))) AS page FROM events GROUP BY user_id
+SELECT user_id, unnest(generate_series(2, CAST(ceil(count(*) / 2.0) AS BIGINT))) AS page FROM events GROUP BY user_id
 """)
 def pages_theta(spark, sf):
     counts = events(spark, sf).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    return counts.select("user_id", F.explode(pages(F.col("n"), 10, 2, 50)).alias("page"))
+    return counts.select("user_id", F.explode(pages(F.col("n"), 2, 2)).alias("page"))
 
 
 @query("""

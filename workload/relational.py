@@ -180,13 +180,24 @@ SELECT o_orderkey, 'data[' || i // 2 || '].result.block_metas[' || i % 2 || ']'
 FROM orders, range(4) AS r(i)
 """, name="flatten_recursive")
 def flatten_recursive_query(spark, sf):
-    nodes = flatten_recursive(_metas(spark, sf), F.col("j"), 5)
+    nodes = flatten_recursive(_metas(spark, sf), F.col("j"))
     items = nodes.where(F.col("path").like("data%.result.block_metas%") & F.col("index").isNotNull())
     return items.select(
         "o_orderkey", "path", F.col("index").alias("item"), vlong("value", "header.height").alias("height")
     )
 
 
+@query("""
+SELECT o_orderkey, repeat('a.', i) || 'a' AS path FROM orders, range(20) AS r(i) WHERE i <= o_custkey % 20
+""")
+def flatten_recursive_deep(spark, sf):
+    """Objects nested up to twenty levels."""
+    levels = (F.col("o_custkey") % 20 + 1).cast("int")
+    body = F.concat(F.repeat(F.lit('{"a":'), levels), F.lit("1"), F.repeat(F.lit("}"), levels))
+    rows = table(spark, sf, "orders").select("o_orderkey", F.parse_json(body).alias("j"))
+    return flatten_recursive(rows, F.col("j")).select("o_orderkey", "path")
+
+
 @query("""
 SELECT p_partkey, CAST(generate_subscripts(string_split(p_name, ' '), 1) AS INTEGER) AS i,
        unnest(string_split(p_name, ' ')) AS word
@@ -279,11 +290,14 @@ def coin_parse(spark, sf):
 
 @query("""
 SELECT l_orderkey, CAST(l_quantity AS BIGINT) AS amount,
-       CASE l_returnflag WHEN 'A' THEN 'uluna' WHEN 'R' THEN 'gamm/pool/1' ELSE 'ibc/AB' END AS currency
+       CASE l_returnflag WHEN 'A' THEN 'uluna' WHEN 'R' THEN 'gamm/pool/' || repeat('7', 120) || l_partkey ELSE 'ibc/' || repeat('A', 120) || l_partkey END AS currency
 FROM lineitem
 """)
 def multi_coin(spark, sf):
-    denom = F.when(F.col("l_returnflag") == "A", "uluna").when(F.col("l_returnflag") == "R", "gamm/pool/1").otherwise("ibc/AB")
+    """Denominations of over 120 characters, told apart by their ends."""
+    part = F.col("l_partkey").cast("string")
+    pool, ibc = F.concat(F.lit("gamm/pool/" + "7" * 120), part), F.concat(F.lit("ibc/" + "A" * 120), part)
+    denom = F.when(F.col("l_returnflag") == "A", "uluna").when(F.col("l_returnflag") == "R", pool).otherwise(ibc)
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey", F.concat(F.col("l_quantity").cast("bigint").cast("string"), denom).alias("coin")
     )
