@@ -1,37 +1,48 @@
 """Keyed Parquet tables with upserts, without a table format.
 
 The table is partitioned by ``_part``. A batch rewrites only the partitions it touches, through Spark's dynamic
-partition overwrite: new files are staged and moved in when the job commits, so a lost executor or a failed job
+partition overwrite: new files are staged and moved in when the job commits, so a lost executor or a failed task
 leaves the old files in place. With an event date as partition, a daily batch touches a day or two, whatever the
 size of the table.
+
+An upsert is not atomic: partitions move in one by one, and partitions that the batch emptied go last. A driver that is
+lost in between leaves some of them old; running the same batch again ends in the same table as a run without failure
+(for rows whose keys are not null).
+
+Keys compare as in SQL: a row with a null in its key matches nothing, so it is always inserted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from ledgerlake.session import settle
+from ledgerlake.session import discard, new_folder
 
 PART = "_part"
 
 
 class KeyedTable:
-    """``keys`` identify a row; ``part`` is an expression over the row (a date, an id range, a key hash)."""
+    """``keys`` identify a row; ``part`` is an expression over the row (a date, an id range, a key hash).
+
+    ``moves`` says whether a key's partition may change between batches. Where it never does (a hash of the key, the
+    time of a block), an upsert reads the partitions of its batch and nothing else; otherwise it first reads the key
+    columns of the whole table to find old versions.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], part: Column):
-        self.spark, self.path, self.keys, self.part = spark, path, list(keys), part
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], part: Column, moves: bool = True):
+        self.spark, self.path, self.keys, self.part, self.moves = spark, path, list(keys), part, moves
 
     # ---- reading
 
     def _stored(self) -> DataFrame | None:
-        try:
-            return self.spark.read.option("mergeSchema", "true").parquet(self.path)
-        except AnalysisException:
-            return None
+        """None where no partition was ever written; a table that cannot be read is an error."""
+        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{PART}=*")
+        found = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern)
+        return self.spark.read.option("mergeSchema", "true").parquet(self.path) if found else None
 
     def read(self) -> DataFrame | None:
         stored = self._stored()
@@ -47,18 +58,19 @@ class KeyedTable:
 
     def delete_insert(self, batch: DataFrame) -> None:
         """Delete the stored rows whose key is in the batch, then insert the batch; its own duplicates survive."""
-        self._upsert(settle(self._placed(batch), "batch"))
+        with self._staged(batch) as staged:
+            self._upsert(staged)
 
     def merge(self, batch: DataFrame, keep: Sequence[str] = ()) -> None:
         """Update matched rows and insert new ones; columns in ``keep`` hold their first value.
 
         A key that occurs twice in the batch is an error, as it is in SQL's MERGE.
         """
-        staged = settle(self._placed(batch), "batch")
-        twice = staged.groupBy(*self.keys).count().where(F.col("count") > 1).take(1)
-        if twice:
-            raise ValueError(f"duplicate merge key in batch: {twice[0]}")
-        self._upsert(staged, keep)
+        with self._staged(batch) as staged:
+            twice = staged.dropna(subset=self.keys).groupBy(*self.keys).count().where(F.col("count") > 1).take(1)
+            if twice:
+                raise ValueError(f"duplicate merge key in batch: {twice[0]}")
+            self._upsert(staged, keep)
 
     def delete_where(self, condition: Column) -> None:
         """Remove rows after an upsert, e.g. soft-deleted ones; only partitions that hold such rows are rewritten."""
@@ -74,6 +86,17 @@ class KeyedTable:
 
     # ---- internals
 
+    @contextmanager
+    def _staged(self, batch: DataFrame):
+        """The batch, written once in the shared folder for the time of its upsert."""
+        path = new_folder(self.spark, "batch")
+        placed = self._placed(batch)
+        placed.write.parquet(path)
+        try:
+            yield self.spark.read.schema(placed.schema).parquet(path)
+        finally:
+            discard(self.spark, path)
+
     def _placed(self, batch: DataFrame) -> DataFrame:
         """The leading letter keeps partition names text, whatever they are made of."""
         return batch.withColumn(PART, F.concat(F.lit("p"), F.coalesce(self.part.cast("string"), F.lit("-"))))
@@ -85,7 +108,7 @@ class KeyedTable:
     def _same_key(self, left: str, right: str) -> Column:
         same = None
         for key in self.keys:
-            part = F.col(f"{left}.{key}").eqNullSafe(F.col(f"{right}.{key}"))
+            part = F.col(f"{left}.{key}") == F.col(f"{right}.{key}")
             same = part if same is None else same & part
         return same
 
@@ -94,18 +117,19 @@ class KeyedTable:
         if stored is None:
             self._write(staged, "overwrite")
             return
-        batch_keys = staged.select(*self.keys).distinct()
-        # Only key columns of the stored table are read to find the partitions that hold old versions.
-        matched = stored.select(*self.keys, PART).alias("s")
-        old_parts = set(self._parts(matched.join(batch_keys.alias("b"), self._same_key("s", "b"), "left_semi")))
+        batch_keys = staged.select(*self.keys)
         new_parts = set(self._parts(staged))
+        old_parts = new_parts
+        if self.moves:
+            matched = stored.select(*self.keys, PART).alias("s")
+            old_parts = set(self._parts(matched.join(batch_keys.alias("b"), self._same_key("s", "b"), "left_semi")))
         old = stored.where(F.col(PART).isin(sorted(old_parts | new_parts)))
         if keep:
-            first = stored.where(F.col(PART).isin(sorted(old_parts))).select(*self.keys, *keep)
+            first = stored.where(F.col(PART).isin(sorted(old_parts))).select(*self.keys, *keep, F.lit(True).alias("_met"))
             joined = staged.alias("s").join(first.alias("o"), self._same_key("s", "o"), "left")
             staged = joined.select(
                 *[
-                    F.coalesce(F.col(f"o.{c}"), F.col(f"s.{c}")).alias(c) if c in keep else F.col(f"s.{c}")
+                    F.when(F.col("o._met"), F.col(f"o.{c}")).otherwise(F.col(f"s.{c}")).alias(c) if c in keep else F.col(f"s.{c}")
                     for c in staged.columns
                 ]
             )
@@ -123,10 +147,8 @@ class KeyedTable:
 
     def _remove(self, parts) -> None:
         """Drop partitions that no longer hold a row (an overwrite leaves partitions without new rows alone)."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path
         for part in parts:
-            folder = path(f"{self.path}/{PART}={part}")
-            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+            discard(self.spark, f"{self.path}/{PART}={part}")
 
 
 def hash_part(buckets: int, *keys: str) -> Column:

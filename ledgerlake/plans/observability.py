@@ -1,4 +1,8 @@
-"""Completeness reports: one row per run, appended to a log that the next run reads."""
+"""Completeness reports.
+
+A run gives one summary row, appended to a log that the next run reads, and the impacted blocks one per row. The
+summary holds counts and the lowest impacted block, never a list, so its size does not depend on what is missing.
+"""
 
 from __future__ import annotations
 
@@ -20,8 +24,8 @@ def last_report(log: DataFrame | None):
     if log is None:
         return None, None
     seen = log.agg(F.max("max_block_timestamp").alias("seen")).first()["seen"]
-    rows = log.orderBy(F.desc("test_timestamp")).select(F.array_min("blocks_impacted_array").alias("low")).take(1)
-    return seen, rows[0]["low"] if rows else None
+    last = log.agg(F.max_by("first_impacted_block", "test_timestamp").alias("low")).first()
+    return seen, last["low"]
 
 
 def blocks_to_check(blocks: DataFrame, run: Run, log: DataFrame | None = None, full: bool = False) -> DataFrame:
@@ -46,13 +50,26 @@ def block_gaps(checked: DataFrame, width: int = 100_000) -> DataFrame:
     return sequence_gaps(ids, "block_id", width=width).select("prev_block_id", "block_id", "gap")
 
 
-def blocks_completeness(
+def _checked(blocks: DataFrame, run: Run, log: DataFrame | None, full: bool, first_block: int) -> DataFrame:
+    served = blocks.where(F.col("block_id") > first_block)
+    return blocks_to_check(served, run, log, full).select("block_id", "block_timestamp")
+
+
+def impacted_blocks(
     blocks: DataFrame, run: Run, log: DataFrame | None = None, full: bool = False, first_block: int = FIRST_SERVED_BLOCK
 ) -> DataFrame:
-    """One report row. Every number between the lowest and the highest block is either present or inside a gap."""
-    checked = blocks_to_check(blocks.where(F.col("block_id") > first_block), run, log, full).select(
-        "block_id", "block_timestamp"
+    """One row per missing block, with the present blocks on both sides of its gap."""
+    gaps = block_gaps(_checked(blocks, run, log, full, first_block)).withColumnRenamed("block_id", "next_block_id")
+    return fill_gaps(gaps, "prev_block_id", "next_block_id", "block_id").select(
+        F.lit("blocks").alias("test_name"), "block_id", "prev_block_id", "next_block_id", run.clock.alias("test_timestamp")
     )
+
+
+def blocks_completeness(
+    blocks: DataFrame, run: Run, log: DataFrame | None = None, full: bool = False, first_block: int = FIRST_SERVED_BLOCK
+) -> DataFrame:
+    """The summary row. Every number between the lowest and the highest block is either present or inside a gap."""
+    checked = _checked(blocks, run, log, full, first_block)
     gaps = block_gaps(checked)
     seen = checked.agg(
         F.min("block_id").alias("min_block"),
@@ -63,18 +80,15 @@ def blocks_completeness(
     )
     details = gaps.agg(
         F.coalesce(F.sum("gap"), F.lit(0)).alias("blocks_impacted_count"),
-        F.sort_array(F.collect_set(F.struct("prev_block_id", "block_id"))).alias("test_failure_details"),
-    )
-    missing = fill_gaps(gaps, "prev_block_id", "block_id", "missing").agg(
-        F.sort_array(F.collect_list("missing")).alias("blocks_impacted_array")
+        (F.min("prev_block_id") + 1).alias("first_impacted_block"),
     )
     one = F.lit(1).alias("one")
-    joined = seen.select(one, "*").join(details.select(one, "*"), "one").join(missing.select(one, "*"), "one")
+    joined = seen.select(one, "*").join(details.select(one, "*"), "one")
     return joined.select(
         F.lit("blocks").alias("test_name"),
         "min_block", "max_block", "min_block_timestamp", "max_block_timestamp",
         (F.col("present") + F.col("blocks_impacted_count")).alias("blocks_tested"),
-        "blocks_impacted_count", "blocks_impacted_array", "test_failure_details",
+        "blocks_impacted_count", "first_impacted_block",
         run.clock.alias("test_timestamp"),
     )
 
@@ -138,7 +152,7 @@ def compared_transactions(counted: DataFrame, declared: DataFrame) -> DataFrame:
     return joined.withColumn("found", F.coalesce("found", F.lit(0))).withColumn("diff", F.col("found") - F.col("num_txs"))
 
 
-def transactions_completeness(
+def block_counts(
     responses: DataFrame,
     blocks: DataFrame,
     declared: DataFrame,
@@ -148,25 +162,32 @@ def transactions_completeness(
     full: bool = False,
     first_block: int = FIRST_SERVED_BLOCK,
 ) -> DataFrame:
-    """One report row: declared transaction counts against the best of three counts of what landed."""
+    """One row per checked block: its declared transactions against the best of three counts of what landed.
+
+    Responses are bound by the blocks under check, whenever they landed.
+    """
     checked = blocks_to_check(blocks, run, log, full).select("block_id", "block_timestamp")
-    if log is not None and not full:
-        _, low = last_report(log)
-        if low is None:
-            recent = run.now.replace(hour=0, minute=0, second=0, microsecond=0) - timedelta(days=14)
-            responses = responses.where(F.col("_inserted_timestamp") >= F.lit(recent))
     counted = counted_transactions(landed_transactions(responses, checked, manual))
     span = checked.agg(F.min("block_timestamp").alias("lo"), F.max("block_timestamp").alias("hi")).first()
     expected = declared.where(
         F.col("block_timestamp").between(F.lit(span["lo"]), F.lit(span["hi"])) & (F.col("block_id") > first_block)
     )
-    compared = compared_transactions(counted, expected)
-    off = F.col("diff") != 0
-    detail = F.struct(
-        F.col("block_id").alias("block"), "block_timestamp", "diff",
+    return compared_transactions(counted, expected)
+
+
+def impacted_transactions(counts: DataFrame, run: Run) -> DataFrame:
+    """The rows of ``block_counts`` whose numbers differ."""
+    return counts.where(F.col("diff") != 0).select(
+        F.lit("transactions").alias("test_name"), "block_id", "block_timestamp", "diff",
         F.col("num_txs").alias("blockchain_num_txs"), F.col("found").alias("bronze_num_txs"),
+        run.clock.alias("test_timestamp"),
     )
-    return compared.agg(
+
+
+def transactions_completeness(counts: DataFrame, run: Run) -> DataFrame:
+    """The summary row of ``block_counts``."""
+    off = F.col("diff") != 0
+    return counts.agg(
         F.lit("transactions").alias("test_name"),
         F.min("block_id").alias("min_block"),
         F.max("block_id").alias("max_block"),
@@ -174,8 +195,7 @@ def transactions_completeness(
         F.max("block_timestamp").alias("max_block_timestamp"),
         F.count(F.lit(1)).alias("blocks_tested"),
         F.count_if(off).alias("blocks_impacted_count"),
-        F.sort_array(F.collect_list(F.when(off, F.col("block_id")))).alias("blocks_impacted_array"),
+        F.min(F.when(off, F.col("block_id"))).alias("first_impacted_block"),
         F.sum(F.abs("diff")).alias("transactions_impacted_count"),
-        F.sort_array(F.collect_list(F.when(off, detail))).alias("test_failure_details"),
         run.clock.alias("test_timestamp"),
     )

@@ -1,7 +1,11 @@
 """Streams that reuse the batch functions.
 
 New files are found by the stream's checkpoint, each micro-batch goes through the same transformation and the same
-upsert as a batch run, and a replayed micro-batch changes nothing because the upsert is keyed.
+upsert as a batch run. A replayed micro-batch changes nothing, because the upsert is keyed; rows whose key holds a null
+match nothing and would be inserted again.
+
+``hourly_counts`` and ``matched_packets`` drop rows that come later than their watermark. They are early views: the
+batch tables (``chain_stats``, ``chain_silver.transfers_ibc``), rebuilt over a lookback, are the ones that count such rows.
 """
 
 from __future__ import annotations

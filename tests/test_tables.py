@@ -54,6 +54,40 @@ def test_key_that_changes_partition_leaves_no_copy(spark):
     assert rows(table.read()) == rows(frame(spark, (1, 5, "A"), (2, 5, "B"), (3, 2, "c")))
 
 
+def test_null_keys_match_nothing(spark):
+    table = new_table(spark)
+    table.merge(frame(spark, (None, 1, "a"), (None, 1, "b"), (1, 1, "c")))
+    table.merge(frame(spark, (None, 1, "d"), (1, 1, "C")))
+    assert sorted(r["v"] for r in table.read().collect()) == ["C", "a", "b", "d"]
+    table.delete_insert(frame(spark, (None, 1, "e"), (1, 1, "D")))
+    assert sorted(r["v"] for r in table.read().collect()) == ["D", "a", "b", "d", "e"]
+
+
+def test_a_kept_null_stays(spark):
+    table = new_table(spark)
+    table.merge(frame(spark, (1, 1, None), (2, 1, "b")))
+    table.merge(frame(spark, (1, 2, "new"), (2, 2, "new"), (3, 2, "new")), keep=["v"])
+    assert {r["k"]: r["v"] for r in table.read().collect()} == {1: None, 2: "b", 3: "new"}
+
+
+def test_a_run_after_a_failure_repairs(spark, monkeypatch):
+    table, batch = new_table(spark), frame(spark, (1, 5, "A"), (2, 5, "B"))
+    table.merge(frame(spark, (1, 1, "a"), (2, 2, "b"), (3, 2, "c")))
+    with monkeypatch.context() as patch:
+        patch.setattr(KeyedTable, "_remove", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            table.merge(batch)
+    table.merge(batch)
+    assert rows(table.read()) == rows(frame(spark, (1, 5, "A"), (2, 5, "B"), (3, 2, "c")))
+
+
+def test_fixed_partitions_read_only_those_of_the_batch(spark, monkeypatch):
+    table = KeyedTable(spark, new_folder(spark, "t"), ["k"], hash_part(4, "k"), moves=False)
+    table.merge(frame(spark, *[(k, 1, "a") for k in range(20)]))
+    table.merge(frame(spark, (3, 9, "b"), (50, 1, "c")))
+    assert rows(table.read()) == rows(frame(spark, *[(k, 1, "a") for k in range(20) if k != 3], (3, 9, "b"), (50, 1, "c")))
+
+
 def test_merge_refuses_duplicates_but_delete_insert_keeps_them(spark):
     twice = [(1, 1, "a"), (1, 1, "b")]
     with pytest.raises(ValueError):
@@ -72,11 +106,12 @@ def test_kept_columns_and_new_columns(spark):
 
 
 def test_null_partition_and_null_key(spark):
+    """A null key matches no stored row, as in SQL's MERGE, so both rows without a key stay."""
     table = new_table(spark)
     data = spark.createDataFrame([(None, None, "a"), (1, None, "b")], SCHEMA)
     table.merge(data)
     table.merge(spark.createDataFrame([(None, None, "A")], SCHEMA))
-    assert sorted((r["k"] is None, r["v"]) for r in table.read().collect()) == [(False, "b"), (True, "A")]
+    assert sorted((r["k"] is None, r["v"]) for r in table.read().collect()) == [(False, "b"), (True, "A"), (True, "a")]
 
 
 def test_delete_where_empties_a_partition(spark):

@@ -353,35 +353,60 @@ def block_metadata(spark, sf):
 WITH {O}, r AS (SELECT min(block) AS lo, max(block) AS hi, min(ts) AS lo_ts, max(ts) AS hi_ts, count(*) AS n FROM days),
 m AS (SELECT unnest(generate_series(lo, hi)) AS b FROM r), g AS (SELECT b FROM m WHERE b NOT IN (SELECT block FROM days))
 SELECT 'blocks' AS test_name, lo AS min_block, hi AS max_block, lo_ts AS min_block_timestamp, hi_ts AS max_block_timestamp,
-  hi - lo + 1 AS blocks_tested, (SELECT count(*) FROM g) AS blocks_impacted_count,
-  (SELECT coalesce(string_agg(CAST(b AS VARCHAR), ',' ORDER BY b), '') FROM g) AS impacted FROM r
+  hi - lo + 1 AS blocks_tested, (SELECT count(*) FROM g) AS blocks_impacted_count, (SELECT min(b) FROM g) AS first_impacted_block FROM r
 """)
 def blocks_completeness(spark, sf):
     report = observability.blocks_completeness(Chain(spark, sf).blocks, RUN)
     return report.select(
         "test_name", "min_block", "max_block", stamp("min_block_timestamp").alias("min_block_timestamp"),
         stamp("max_block_timestamp").alias("max_block_timestamp"), "blocks_tested", "blocks_impacted_count",
-        F.array_join("blocks_impacted_array", ",").alias("impacted"),
+        "first_impacted_block",
     )
 
 
+@query(f"""
+WITH {O}, busy AS (SELECT block FROM days WHERE n > 2), m AS (SELECT unnest(generate_series(min(block), max(block))) AS block_id FROM busy),
+g AS (SELECT block AS hi, lag(block) OVER (ORDER BY block) AS lo FROM busy)
+SELECT block_id, lo AS prev_block_id, hi AS next_block_id FROM m JOIN g ON block_id > lo AND block_id < hi
+""")
+def missing_block_rows(spark, sf):
+    """Days with at most two orders are left out, so that there are gaps."""
+    busy = cl._days(spark, sf).where("n > 2").select(F.col("block").alias("block_id"))
+    present = Chain(spark, sf).blocks.join(busy, "block_id", "left_semi")
+    return observability.impacted_blocks(present, RUN).select("block_id", "prev_block_id", "next_block_id")
+
+
 @query(f"""
 WITH {O}, b AS (SELECT min(ts) AS lo, max(ts) AS hi FROM days),
 d AS (SELECT block, n, strftime(day, '%Y-%m-%d') || ' 00:00:00.000000' AS stamp FROM days)
 SELECT 'transactions' AS test_name, min(block) AS min_block, max(block) AS max_block, count(*) AS blocks_tested,
   count(*) FILTER (n % 5 = 0) AS blocks_impacted_count, count(*) FILTER (n % 5 = 0) AS transactions_impacted_count,
-  string_agg(CAST(block AS VARCHAR), ',' ORDER BY block) FILTER (n % 5 = 0) AS impacted
+  min(block) FILTER (n % 5 = 0) AS first_impacted_block
 FROM d, b WHERE stamp BETWEEN lo AND hi
 """)
 def transactions_completeness(spark, sf):
-    declared = chain_silver.blockchain(_metas(spark, sf), RUN)
-    report = observability.transactions_completeness(cl.tx_responses(spark, sf), Chain(spark, sf).blocks, declared, RUN)
+    report = observability.transactions_completeness(_block_counts(spark, sf), RUN)
     return report.select(
         "test_name", "min_block", "max_block", "blocks_tested", "blocks_impacted_count", "transactions_impacted_count",
-        F.array_join("blocks_impacted_array", ",").alias("impacted"),
+        "first_impacted_block",
     )
 
 
+def _block_counts(spark, sf):
+    declared = chain_silver.blockchain(_metas(spark, sf), RUN)
+    return observability.block_counts(cl.tx_responses(spark, sf), Chain(spark, sf).blocks, declared, RUN)
+
+
+@query(f"""
+WITH {O}, b AS (SELECT min(ts) AS lo, max(ts) AS hi FROM days),
+d AS (SELECT block, n, strftime(day, '%Y-%m-%d') || ' 00:00:00.000000' AS stamp FROM days)
+SELECT block AS block_id, -1 AS diff, n + 1 AS blockchain_num_txs, n AS bronze_num_txs FROM d, b WHERE stamp BETWEEN lo AND hi AND n % 5 = 0
+""")
+def impacted_transaction_rows(spark, sf):
+    rows = observability.impacted_transactions(_block_counts(spark, sf), RUN)
+    return rows.select("block_id", F.col("diff").cast("int").alias("diff"), "blockchain_num_txs", "bronze_num_txs")
+
+
 # ---------------------------------------------------------------- work-lists
 
 
