@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.binding import let
+from ledgerlake.functions.binding import let, runs
 from ledgerlake.functions.variants import varray, vmap
 
 
@@ -111,14 +111,14 @@ def prefix_regroup(entries: Column) -> Column:
     )
 
     def regrouped(parts: Column) -> Column:
-        indexes = F.sort_array(F.array_distinct(F.transform(parts, lambda p: p["i"])))
+        # values need not be orderable, so positions are sorted and values looked up
+        order = F.sort_array(F.transform(parts, lambda p, n: F.struct(p["i"].alias("i"), n.alias("n"))))
+        field = lambda o: F.struct(F.get(parts, o["n"])["k"], F.get(parts, o["n"])["v"])
         return F.transform(
-            indexes,
-            lambda i: F.struct(
-                i.alias("array_index"),
-                F.map_from_entries(
-                    F.transform(F.filter(parts, lambda p: p["i"] == i), lambda p: F.struct(p["k"], p["v"]))
-                ).alias("fields"),
+            runs(order, lambda o: o["i"]),
+            lambda run: F.struct(
+                F.get(run, F.lit(0))["i"].alias("array_index"),
+                F.map_from_entries(F.transform(run, field)).alias("fields"),
             ),
         )
 

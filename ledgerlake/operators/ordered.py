@@ -4,7 +4,8 @@ A plain window sends all rows of a key to one task. Here every key is cut into c
 that is monotone in the first order column (an hour of a timestamp, an id divided by a width). Windows run inside
 a slot = (key, chunk); what must cross chunks is one small row per slot, pre-aggregated on the map side, scanned
 per key and joined back on the slot. The join and the window share one shuffle, and the slot is a struct, so null
-keys form a group of their own as they do in a window.
+keys form a group of their own as they do in a window. Without keys, slots are scanned in two levels: inside blocks of
+neighbouring chunks, and one row per block across, so no task sees a row for every chunk of the table.
 
 ``order`` is a list of column names, ascending, and must be total where the result depends on ties.
 """
@@ -15,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SLOT = "_slot"
 
@@ -38,10 +40,55 @@ def _across(keys: Sequence[str], forward: bool = True):
     return window.orderBy(chunk.asc() if forward else chunk.desc())
 
 
-def _with_carry(base: DataFrame, summary: Column, carry: Column) -> DataFrame:
-    """Add ``_carry`` to ``base``: ``summary`` (named ``_sum``) aggregates a slot, ``carry`` scans a key's slots."""
-    slots = base.groupBy(SLOT).agg(summary.alias("_sum")).withColumn("_carry", carry)
-    return base.join(slots.select(SLOT, "_carry"), SLOT)
+def _scanned(scan: str, value: str, window) -> Column:
+    """What the rows before this one in ``window`` amount to."""
+    if scan == "lag":
+        return F.lag(value).over(window)
+    earlier = window.rowsBetween(Window.unboundedPreceding, -1)
+    return F.sum(value).over(earlier) if scan == "sum" else F.last(value, ignorenulls=True).over(earlier)
+
+
+def _block_of(slots: DataFrame) -> Column | None:
+    """A coarser chunk of a slot: ten thousand numbers or a year of times; None for other kinds of chunks."""
+    kind = slots.schema[SLOT].dataType["chunk"].dataType
+    chunk = F.col(f"{SLOT}.chunk")
+    if isinstance(kind, T.IntegralType):
+        return F.floor(chunk / 10_000)
+    return F.year(chunk) if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)) else None
+
+
+def _two_levels(slots: DataFrame, block: Column, scan: str, forward: bool) -> DataFrame:
+    """``slots`` of a table without keys, with ``_carry``."""
+    placed = slots.withColumn("_block", block)
+    at, place = F.col(f"{SLOT}.chunk"), F.col("_block")
+    inside = Window.partitionBy("_block").orderBy(at.asc() if forward else at.desc())
+    across = Window.orderBy(place.asc() if forward else place.desc())
+    last = F.max_by if forward else F.min_by
+    ends = F.struct(at) if scan == "lag" else F.when(F.col("_sum").isNotNull(), F.struct(at))
+    whole = F.sum("_sum") if scan == "sum" else last("_sum", ends)
+    blocks = placed.groupBy("_block").agg(whole.alias("_whole")).withColumn("_before", _scanned(scan, "_whole", across))
+    left, right = placed.withColumn("_inside", _scanned(scan, "_sum", inside)).alias("l"), blocks.alias("r")
+    joined = left.join(right, F.col("l._block").eqNullSafe(F.col("r._block"))).select("l.*", "r._before")
+    zero = F.lit(0).cast("bigint")
+    both = F.coalesce("_inside", zero) + F.coalesce("_before", zero) if scan == "sum" else F.coalesce("_inside", "_before")
+    return joined.withColumn("_carry", both)
+
+
+def _with_carry(
+    base: DataFrame, keys: Sequence[str], summary: Column, scan: str, forward: bool = True
+) -> DataFrame:
+    """Add ``_carry`` to ``base``: ``summary`` aggregates a slot, ``scan`` combines the slots before it.
+
+    ``scan`` is ``sum`` (0 where there is none before), ``last`` (the nearest that is not null) or ``lag``.
+    """
+    slots = base.groupBy(SLOT).agg(summary.alias("_sum"))
+    block = None if keys else _block_of(slots)
+    if block is None:
+        carried = slots.withColumn("_carry", _scanned(scan, "_sum", _across(keys, forward)))
+    else:
+        carried = _two_levels(slots, block, scan, forward)
+    carry = F.coalesce("_carry", F.lit(0)).alias("_carry") if scan == "sum" else F.col("_carry")
+    return base.join(carried.select(SLOT, carry), SLOT)
 
 
 def _finish(df: DataFrame, out: str, value: Column, *scratch: str) -> DataFrame:
@@ -53,8 +100,7 @@ def running_count(
 ) -> DataFrame:
     """How many rows up to and including this one satisfy ``flag``."""
     base = _slotted(df, keys, chunk, _hit=F.coalesce(flag.cast("int"), F.lit(0)))
-    earlier = _across(keys).rowsBetween(Window.unboundedPreceding, -1)
-    joined = _with_carry(base, F.sum("_hit"), F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
+    joined = _with_carry(base, keys, F.sum("_hit"), "sum")
     local = F.sum("_hit").over(Window.partitionBy(SLOT).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
     return _finish(joined, out, local + F.col("_carry"), "_hit")
 
@@ -73,8 +119,7 @@ def carry_forward(
     """The last non-null ``value`` at or before each row."""
     base = _slotted(df, keys, chunk, _value=value)
     seen = F.when(F.col("_value").isNotNull(), F.struct(*order))
-    earlier = _across(keys).rowsBetween(Window.unboundedPreceding, -1)
-    joined = _with_carry(base, F.max_by("_value", seen), F.last("_sum", ignorenulls=True).over(earlier))
+    joined = _with_carry(base, keys, F.max_by("_value", seen), "last")
     local = F.last("_value", ignorenulls=True).over(
         Window.partitionBy(SLOT).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     )
@@ -87,8 +132,7 @@ def carry_backward(
     """The first non-null ``value`` at or after each row."""
     base = _slotted(df, keys, chunk, _value=value)
     seen = F.when(F.col("_value").isNotNull(), F.struct(*order))
-    later = _across(keys, forward=False).rowsBetween(Window.unboundedPreceding, -1)
-    joined = _with_carry(base, F.min_by("_value", seen), F.last("_sum", ignorenulls=True).over(later))
+    joined = _with_carry(base, keys, F.min_by("_value", seen), "last", forward=False)
     backwards = [F.col(c).desc() for c in order]
     local = F.last("_value", ignorenulls=True).over(
         Window.partitionBy(SLOT).orderBy(*backwards).rowsBetween(Window.unboundedPreceding, 0)
@@ -101,7 +145,7 @@ def previous_value(
 ) -> DataFrame:
     """``value`` of the row just before; null for the first row of a key."""
     base = _slotted(df, keys, chunk, _value=F.struct(value.alias("v")))
-    joined = _with_carry(base, F.max_by("_value", F.struct(*order)), F.lag("_sum").over(_across(keys)))
+    joined = _with_carry(base, keys, F.max_by("_value", F.struct(*order)), "lag")
     local = F.lag("_value").over(Window.partitionBy(SLOT).orderBy(*order))
     return _finish(joined, out, F.coalesce(local, F.col("_carry"))["v"], "_value")
 
@@ -109,8 +153,7 @@ def previous_value(
 def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, out: str) -> DataFrame:
     """1, 2, 3, ... in ``order``."""
     base = _slotted(df, keys, chunk)
-    earlier = _across(keys).rowsBetween(Window.unboundedPreceding, -1)
-    joined = _with_carry(base, F.count(F.lit(1)), F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
+    joined = _with_carry(base, keys, F.count(F.lit(1)), "sum")
     local = F.row_number().over(Window.partitionBy(SLOT).orderBy(*order))
     return _finish(joined, out, (local + F.col("_carry")).cast("bigint"))
 
@@ -118,8 +161,7 @@ def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk:
 def dense_ranks(df: DataFrame, keys: Sequence[str], by: str, chunk: Column, out: str) -> DataFrame:
     """Dense rank by one column; equal values share a slot because ``chunk`` is a function of ``by``."""
     base = _slotted(df, keys, chunk)
-    earlier = _across(keys).rowsBetween(Window.unboundedPreceding, -1)
-    joined = _with_carry(base, F.count_distinct(by), F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
+    joined = _with_carry(base, keys, F.count_distinct(by), "sum")
     local = F.dense_rank().over(Window.partitionBy(SLOT).orderBy(by))
     return _finish(joined, out, (local + F.col("_carry")).cast("bigint"))
 

@@ -9,7 +9,7 @@ from ledgerlake.functions import (
     coin_amount, coin_denom, decode_attr, denom_cut, joined_key, safe_json, surrogate_key, varray, vdec, vlong, vmap, vstr,
     vtime, vvar,
 )
-from ledgerlake.functions.binding import let
+from ledgerlake.functions.binding import let, runs
 from ledgerlake.operators.dedupe import first_value_by, latest_by
 from ledgerlake.operators.flatten import flatten_array, split_rows
 from ledgerlake.operators.joins import semi, with_next
@@ -428,22 +428,25 @@ def _event_fields(event: Column) -> Column:
 
 
 def _numbered_fields(pairs: Column) -> Column:
-    def same(items: Column, key: Column) -> Column:
-        return F.size(F.filter(items, lambda q: q["key"] == key))
-
-    return F.transform(
-        pairs,
-        lambda p, i: F.struct(
-            p["key"].alias("key"),
-            p["value"].alias("value"),
-            F.when(
-                same(pairs, p["key"]) > 1,
-                F.concat(F.lit("_"), same(F.slice(pairs, F.lit(1), i), p["key"]).cast("string")),
-            )
-            .otherwise(F.lit(""))
-            .alias("suffix"),
-        ),
-    )
+    """(key, value, suffix): the occurrences of a repeated key are numbered from ``_0``, other keys have no suffix."""
+    order = F.sort_array(F.transform(pairs, lambda p, n: F.struct(p["key"].alias("key"), n.alias("n"))))
+
+    def suffixes(run: Column) -> Column:
+        number = lambda r: F.concat(F.lit("_"), r.cast("string"))
+        return F.transform(
+            run,
+            lambda o, r: F.struct(o["n"].alias("n"), F.when(F.size(run) > 1, number(r)).otherwise("").alias("suffix")),
+        )
+
+    def numbered(by_place: Column) -> Column:
+        return F.transform(
+            pairs,
+            lambda p, i: F.struct(
+                p["key"].alias("key"), p["value"].alias("value"), F.get(by_place, i)["suffix"].alias("suffix")
+            ),
+        )
+
+    return let(F.sort_array(F.flatten(F.transform(runs(order, lambda o: o["key"]), suffixes))), numbered)
 
 
 def _entries(fields: Column, key, value) -> Column:

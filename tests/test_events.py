@@ -179,3 +179,16 @@ def test_flatten_recursive_has_no_depth_limit(spark):
     rows = flatten_recursive(df, F.col("j")).select("i", "path").collect()
     assert {r["i"] for r in rows} == {1}
     assert len(rows) == 1 + 2 + 40 + 1 and max(len(r["path"]) for r in rows) == len("k][1]" + ".a" * 40 + "[0]")
+
+
+def test_regroup_and_numbering_of_many_fields(spark):
+    """A thousand fields in one event: the work grows with the fields, not with their square."""
+    fields = {f"{i % 250}_f{i}": str(i) for i in range(1000)}
+    row = spark.createDataFrame([(fields,)], "m map<string,string>").select(prefix_regroup(F.col("m")).alias("p")).first()["p"]
+    assert [g["array_index"] for g in row] == sorted(str(i) for i in range(250))
+    assert {f"{g['array_index']}_{k}": v for g in row for k, v in g["fields"].items()} == fields
+    pairs = [("a" if i % 2 else f"k{i}", str(i)) for i in range(1000)] + [(None, "x")]
+    df = spark.createDataFrame([(pairs,)], "p array<struct<key:string,value:string>>")
+    got = df.select(chain_silver._numbered_fields(F.col("p")).alias("n")).first()["n"]
+    assert [(r["key"], r["suffix"]) for r in got[:4]] == [("k0", ""), ("a", "_0"), ("k2", ""), ("a", "_1")]
+    assert got[999]["suffix"] == "_499" and [r["value"] for r in got] == [v for _, v in pairs]

@@ -85,3 +85,22 @@ def test_gaps_of_any_length(spark):
     assert sorted((r["prev_id"], r["id"], r["gap"]) for r in gaps.collect()) == [(2, 5, 2), (5, 25_010, 25_004)]
     filled = [r[0] for r in fill_gaps(gaps, "prev_id", "id", "x").select("x").collect()]
     assert sorted(filled) == [3, 4, *range(6, 25_010)]
+
+
+@pytest.mark.parametrize("width", [1, 37])
+def test_global_orders_in_two_levels(spark, rows, width):
+    """Without keys, over chunks that fill several blocks and a null order value."""
+    wide = rows.selectExpr("id", "if(id = 5, null, t * 40000) as t", "v", "flag")
+    w = Window.orderBy(*ORDER)
+    at = ordered.id_chunk(F.col("t"), width)
+    got = ordered.row_numbers(wide, [], ORDER, at, "n")
+    got = ordered.running_count(got, [], ORDER, at, F.col("flag"), "c")
+    got = ordered.carry_forward(got, [], ORDER, at, F.col("v"), "f")
+    got = ordered.carry_backward(got, [], ORDER, at, F.col("v"), "b")
+    got = ordered.previous_value(got, [], ORDER, at, F.col("v"), "p")
+    before = w.rowsBetween(Window.unboundedPreceding, 0)
+    want = wide.withColumns({
+        "n": F.row_number().over(w), "c": F.sum(F.col("flag").cast("int")).over(before), "f": F.last("v", True).over(before),
+        "b": F.first("v", True).over(w.rowsBetween(0, Window.unboundedFollowing)), "p": F.lag("v").over(w),
+    })
+    same(got, want, ["n", "c", "f", "b", "p"])
