@@ -14,12 +14,19 @@ def pivot_known(
     """One row per grain with a column per wanted key.
 
     The aggregate holds one value per wanted key and is combined on the map side; the attributes of one event are
-    stored next to each other, so nearly all of the reduction happens before the shuffle.
+    stored next to each other, so nearly all of the reduction happens before the shuffle. Of a key that occurs twice in
+    a grain the greatest value is kept; ``repeated_keys`` lists such grains.
     """
     columns = [F.max(F.when(F.col(key) == k, F.col(value))).alias(k) for k in wanted]
     return df.groupBy(*grain).agg(*columns)
 
 
+def repeated_keys(df: DataFrame, grain: Sequence[str], key: str = "attribute_key") -> DataFrame:
+    """(grain, key, n) of keys that a grain holds more than once: a data check for ``pivot_known``."""
+    counted = df.groupBy(*grain, key).agg(F.count(F.lit(1)).alias("n"))
+    return counted.where(F.col("n") > 1)
+
+
 def object_of(
     df: DataFrame, grain: Sequence[str], key: str, value: str, out: str = "j"
 ) -> DataFrame:

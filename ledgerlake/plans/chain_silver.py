@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from ledgerlake.functions.binding import let, runs
 from ledgerlake.operators.dedupe import first_value_by, latest_by
 from ledgerlake.operators.flatten import flatten_array, split_rows
 from ledgerlake.operators.joins import semi, with_next
-from ledgerlake.operators.pivot import object_merge, pivot_known
+from ledgerlake.operators.pivot import object_merge
 from ledgerlake.plans.chain_bronze import LAST_OLD_BLOCK, block_metas, response_blocks, response_transactions
 from ledgerlake.run import Run
 
@@ -509,18 +511,44 @@ EVENT_GRAIN = [
 ]
 
 
-def fee_payer(attributes: DataFrame, out: str) -> DataFrame:
+def _wanted_pairs(wanted: Sequence[str]) -> Column:
+    pairs = F.transform(
+        varray("msg", "attributes"),
+        lambda a: F.struct(decode_attr(vstr(a, "key")).alias("k"), decode_attr(vstr(a, "value")).alias("v")),
+    )
+    return F.filter(pairs, lambda p: p["k"].isin(*wanted) & p["v"].isNotNull())
+
+
+def event_fields(messages: DataFrame, wanted: Sequence[str]) -> DataFrame:
+    """Events of silver.msgs_2 that set any of ``wanted``, with a column for each; read inside the row, no shuffle.
+
+    An event that repeats a key gives its first value, so that first values stand beside each other; such events are
+    listed by ``repeated_fields``.
+    """
+    first = lambda pairs, name: F.get(F.filter(pairs, lambda p: p["k"] == name), F.lit(0))["v"]
+    found = F.filter(F.array(_wanted_pairs(wanted)), lambda pairs: F.size(pairs) > 0)
+    # a generator is a boundary that later filters do not cross, so an event's attributes are decoded once
+    return messages.select("*", F.inline(F.transform(found, lambda p: F.struct(*[first(p, n).alias(n) for n in wanted]))))
+
+
+def repeated_fields(messages: DataFrame, wanted: Sequence[str]) -> DataFrame:
+    """(tx_id, msg_index, msg_type, attribute_key) of events that set a wanted key more than once: a data check."""
+    keys = F.transform(_wanted_pairs(wanted), lambda p: p["k"])
+    rows = messages.select("tx_id", "msg_index", "msg_type", keys.alias("_keys"))
+    often = F.filter(F.array_distinct("_keys"), lambda k: F.size(F.filter("_keys", lambda x: x == k)) > 1)
+    return rows.select("tx_id", "msg_index", "msg_type", F.explode(often).alias("attribute_key"))
+
+
+def fee_payer(messages: DataFrame, out: str) -> DataFrame:
     """tx_id -> address of the first account sequence (``address/number``)."""
-    sequences = attributes.where(F.col("attribute_key") == "acc_seq")
-    address = F.split_part("attribute_value", F.lit("/"), F.lit(1))
-    return first_value_by(sequences, ["tx_id"], address, F.struct("msg_index", "attribute_index"), out)
+    address = F.split_part("acc_seq", F.lit("/"), F.lit(1))
+    return first_value_by(event_fields(messages, ["acc_seq"]), ["tx_id"], address, F.col("msg_index"), out)
 
 
-def transfers(attributes: DataFrame, run: Run) -> DataFrame:
-    """silver.transfers: native transfers; amounts without a digit are dropped."""
-    wanted = attributes.where(F.col("msg_type") == "transfer")
-    events = pivot_known(wanted, EVENT_GRAIN, ["sender", "recipient", "amount"])
-    payers = fee_payer(attributes.where(F.col("msg_type") == "tx"), "payer")
+def transfers(messages: DataFrame, run: Run) -> DataFrame:
+    """silver.transfers from silver.msgs_2: native transfers; amounts without a digit are dropped."""
+    events = event_fields(messages.where(F.col("msg_type") == "transfer"), ["sender", "recipient", "amount"])
+    payers = fee_payer(messages.where(F.col("msg_type") == "tx"), "payer")
     out = events.join(payers, "tx_id").select(
         "block_id", "block_timestamp", "tx_id", "tx_succeeded",
         F.lit("TERRA").alias("transfer_type"),
@@ -538,14 +566,10 @@ def transfers(attributes: DataFrame, run: Run) -> DataFrame:
 PACKET_KEYS = ["packet_sequence", "packet_src_channel", "packet_dst_channel"]
 
 
-def transfers_ibc_packets(attributes: DataFrame, run: Run) -> DataFrame:
-    """silver.transfers_ibc_packets: send, acknowledge and timeout packets."""
-    wanted = attributes.where(
-        F.col("msg_type").isin("send_packet", "acknowledge_packet", "timeout_packet")
-        & F.col("attribute_key").isin(PACKET_KEYS)
-    )
-    grain = [*EVENT_GRAIN[:-1], "msg_type", "_inserted_timestamp"]
-    packets = pivot_known(wanted, grain, PACKET_KEYS)
+def transfers_ibc_packets(messages: DataFrame, run: Run) -> DataFrame:
+    """silver.transfers_ibc_packets from silver.msgs_2: send, acknowledge and timeout packets."""
+    wanted = messages.where(F.col("msg_type").isin("send_packet", "acknowledge_packet", "timeout_packet"))
+    packets = event_fields(wanted, PACKET_KEYS)
     out = packets.select(
         *EVENT_GRAIN[:-1], "msg_type", *PACKET_KEYS, "_inserted_timestamp",
         surrogate_key("tx_id", "msg_index").alias("transfers_ibc_packets_id"),
@@ -553,35 +577,33 @@ def transfers_ibc_packets(attributes: DataFrame, run: Run) -> DataFrame:
     return run.audit(out)
 
 
-def transfers_ibc(attributes: DataFrame, packets: DataFrame, run: Run) -> DataFrame:
-    """silver.transfers_ibc: transfers that left (and were acknowledged) or arrived through a channel.
+def transfers_ibc(messages: DataFrame, packets: DataFrame, run: Run) -> DataFrame:
+    """silver.transfers_ibc from silver.msgs_2: transfers that left (and were acknowledged) or arrived through a channel.
 
     Out: the n-th ``transfer`` of a group belongs to its n-th ``ibc_transfer``. In: matched by group, sub-group and
     receiver. Groups lie inside one transaction.
     """
     nth = Window.partitionBy("tx_id", "msg_group").orderBy("msg_index", "msg_sub_group")
-    moved = attributes.where((F.col("msg_type") == "transfer") & F.col("msg_group").isNotNull())
-    events = pivot_known(moved, EVENT_GRAIN, ["sender", "recipient", "amount"]).withColumn(
+    moved = messages.where((F.col("msg_type") == "transfer") & F.col("msg_group").isNotNull())
+    events = event_fields(moved.select(*EVENT_GRAIN, "msg"), ["sender", "recipient", "amount"]).drop("msg").withColumn(
         "t_rank", F.row_number().over(nth)
     )
     acknowledged = packets.where(F.col("msg_type") == "acknowledge_packet")
     sent = semi(packets.where(F.col("msg_type") == "send_packet"), acknowledged, *PACKET_KEYS)
-    leaving = semi(attributes.where(F.col("msg_type") == "ibc_transfer"), sent, "tx_id", "msg_group")
+    sending = event_fields(messages.where(F.col("msg_type") == "ibc_transfer"), ["sender", "receiver"])
     grain = ["tx_id", "msg_group", "msg_sub_group", "msg_index"]
     out_side = (
-        pivot_known(leaving, grain, ["sender", "receiver"])
+        semi(sending.select(*grain, "sender", "receiver"), sent, "tx_id", "msg_group")
         .withColumn("t_rank", F.row_number().over(nth))
         .select(
             "tx_id", "msg_group", "sender", "t_rank",
             F.col("receiver").alias("out_receiver"), F.lit(True).alias("is_out"),
         )
     )
-    arriving = attributes.where(
-        (F.col("msg_type") == "write_acknowledgement") & (F.col("attribute_key") == "packet_data")
-    )
+    arriving = messages.where(F.col("msg_type") == "write_acknowledgement")
     packet = safe_json("packet_data")
     in_side = (
-        pivot_known(arriving, grain, ["packet_data"])
+        event_fields(arriving, ["packet_data"])
         .withColumn("packet", packet)
         .select(
             "tx_id", "msg_group", "msg_sub_group",
@@ -590,7 +612,7 @@ def transfers_ibc(attributes: DataFrame, packets: DataFrame, run: Run) -> DataFr
             F.lit(True).alias("is_in"),
         )
     )
-    payers = fee_payer(attributes.where(F.col("msg_type") == "tx"), "payer")
+    payers = fee_payer(messages.where(F.col("msg_type") == "tx"), "payer")
     joined = (
         events.join(out_side, ["tx_id", "msg_group", "sender", "t_rank"], "left")
         .join(in_side, ["tx_id", "msg_group", "msg_sub_group", "recipient"], "left")
@@ -618,20 +640,19 @@ def transfers_ibc(attributes: DataFrame, packets: DataFrame, run: Run) -> DataFr
 STAKING_EVENTS = ["delegate", "redelegate", "unbond", "create_validator"]
 
 
-def staking(attributes: DataFrame, run: Run) -> DataFrame:
-    """silver.staking: delegations, redelegations and undelegations, one row per coin currency.
+def staking(messages: DataFrame, run: Run) -> DataFrame:
+    """silver.staking from silver.msgs_2: delegations, redelegations and undelegations, one row per coin currency.
 
     The delegator is the sender named by the event or by the event right after it, anywhere in the same group.
     """
-    base = attributes.where(F.col("msg_type").isin(STAKING_EVENTS)).select(
-        "tx_id", "msg_type", "msg_index", "msg_group", "msg_sub_group"
-    ).distinct()
+    acted = messages.where(F.col("msg_type").isin(STAKING_EVENTS) & (F.array_size(varray("msg", "attributes")) > 0))
+    base = acted.select(*EVENT_GRAIN, "msg_type")
     near = with_next(base.select("tx_id", "msg_index"), "msg_index")
-    around = semi(attributes.where(F.col("msg_type").isin(*STAKING_EVENTS, "message")), near, "tx_id", "msg_index")
-    grain = ["tx_id", "msg_group", "msg_sub_group", "msg_index"]
-    fields = pivot_known(
-        around, grain, ["validator", "destination_validator", "source_validator", "sender", "amount", "completion_time"]
+    named = event_fields(
+        messages.where(F.col("msg_type").isin(*STAKING_EVENTS, "message")),
+        ["validator", "destination_validator", "source_validator", "sender", "amount", "completion_time"],
     )
+    fields = semi(named.drop("msg"), near, "tx_id", "msg_index")
     senders = fields.where(F.col("sender").isNotNull()).select("tx_id", "msg_group", F.col("sender").alias("delegator_address"))
     has_validator = (
         F.col("validator").isNotNull() | F.col("destination_validator").isNotNull() | F.col("source_validator").isNotNull()
@@ -644,17 +665,15 @@ def staking(attributes: DataFrame, run: Run) -> DataFrame:
         F.col("completion_time").try_cast("timestamp_ntz").alias("completion_time"),
     )
     renamed = F.replace(F.replace("msg_type", F.lit("unbond"), F.lit("undelegate")), F.lit("create_validator"), F.lit("delegate"))
-    actions = base.withColumn("action", renamed).drop("msg_type").distinct()
+    actions = base.withColumn("action", renamed).drop("msg_type")
     joined = actions.join(senders, ["tx_id", "msg_group"]).join(details, ["tx_id", "msg_group", "msg_index"])
     amount, currency = denom_cut(F.col("coin"))
     coins = split_rows(joined, F.col("coins"), ",", "coin", "coin_index").withColumns(
         {"coin_amount": amount, "currency": currency}
     )
-    facts = around.select("tx_id", "block_id", "block_timestamp", "tx_succeeded", "_inserted_timestamp").distinct()
-    callers = fee_payer(semi(attributes, base, "tx_id"), "tx_caller_address")
+    callers = fee_payer(semi(messages.select("tx_id", "msg_index", "msg"), base, "tx_id"), "tx_caller_address")
     summed = (
-        coins.join(facts, "tx_id")
-        .join(callers, "tx_id")
+        coins.join(callers, "tx_id")
         .groupBy(
             "block_id", "block_timestamp", "tx_id", "tx_succeeded", "tx_caller_address", "action", "msg_group",
             "msg_sub_group", "delegator_address", "currency", "validator_address", "validator_src_address",

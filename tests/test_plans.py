@@ -32,6 +32,12 @@ def test_event_groups_need_no_shuffle(spark):
     assert "Exchange" not in text and "Window" not in text
 
 
+def test_packets_need_no_shuffle_and_transfers_only_that_of_the_payer(spark):
+    events = Chain(spark, SMALL).msgs_2
+    assert "Exchange" not in plan(chain_silver.transfers_ibc_packets(events, RUN))
+    assert plan(chain_silver.transfers(events, RUN)).count("Exchange hashpartitioning") <= 2
+
+
 def test_scans_read_only_what_is_used(spark):
     text = plan(entry.queries()["closed_hours_only"](spark, SMALL))
     assert "ReadSchema: struct<ts:timestamp_ntz>" in text

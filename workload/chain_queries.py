@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import vstr
+from ledgerlake.incremental import KeyedTable
 from ledgerlake.plans import chain_gold, chain_silver, chain_stats, observability, worklists
+from ledgerlake.session import new_folder
 from ledgerlake.sources.numbers import numbers
 from workload import chainlike as cl
 from workload import query, table
@@ -149,6 +151,28 @@ def transfers_roundtrip(spark, sf):
     )
 
 
+@query(f"""
+WITH {O}, {LAYOUT}, {TRANSFERS}
+SELECT hash AS tx_id, block AS block_id, i AS msg_index, sender, receiver, cents AS amount FROM t
+""")
+def chain_in_batches(spark, sf):
+    """Transfers built over stored tables in three runs, each of which takes in the end of the run before once more."""
+    chain = Chain(spark, sf)
+    year = F.year("block_timestamp")
+    keys = [["tx_id"], ["tx_id", "msg_index"], ["tx_id", "msg_index"]]
+    transactions, events, transfers = [KeyedTable(spark, new_folder(spark, "batches"), k, year, moves=False) for k in keys]
+    for low, high in [(1900, 1997), (1997, 1999), (1999, 2100)]:
+        fresh = chain.transactions.where(year.between(low, high))
+        transactions.merge(fresh)
+        again = transactions.read().where(year.between(low, high))
+        events.merge(chain_silver.msgs_2(again, RUN), ["inserted_timestamp"])
+        newest = events.read().where(year.between(low, high))
+        transfers.merge(chain_silver.transfers(newest, RUN), ["inserted_timestamp"])
+    return transfers.read().select(
+        "tx_id", "block_id", F.col("msg_index").cast("int").alias("msg_index"), "sender", "receiver", F.col("amount").cast("bigint").alias("amount")
+    )
+
+
 @query(f"""
 WITH {O}, {LAYOUT}, {TRANSFERS}
 SELECT hash AS tx_id, CAST(i AS BIGINT) AS msg_index, kind AS transfer_type, sender, receiver, cents AS amount FROM ibc

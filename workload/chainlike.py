@@ -301,7 +301,7 @@ class _Chain(Stage):
 
     @cached_property
     def msgs_2(self) -> DataFrame:
-        return chain_silver.msgs_2(self.transactions, RUN)
+        return self.settle(chain_silver.msgs_2(self.transactions, RUN), "events")
 
     @cached_property
     def attributes(self) -> DataFrame:
@@ -309,19 +309,19 @@ class _Chain(Stage):
 
     @cached_property
     def packets(self) -> DataFrame:
-        return chain_silver.transfers_ibc_packets(self.attributes, RUN)
+        return chain_silver.transfers_ibc_packets(self.msgs_2, RUN)
 
     @cached_property
     def transfers(self) -> DataFrame:
-        return chain_silver.transfers(self.attributes, RUN)
+        return chain_silver.transfers(self.msgs_2, RUN)
 
     @cached_property
     def transfers_ibc(self) -> DataFrame:
-        return chain_silver.transfers_ibc(self.attributes, self.packets, RUN)
+        return chain_silver.transfers_ibc(self.msgs_2, self.packets, RUN)
 
     @cached_property
     def staking(self) -> DataFrame:
-        return chain_silver.staking(self.attributes, RUN)
+        return chain_silver.staking(self.msgs_2, RUN)
 
     @cached_property
     def messages(self) -> DataFrame:
