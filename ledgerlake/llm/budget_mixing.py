@@ -16,6 +16,7 @@ from ledgerlake.llm.shared import settle
 
 WORD = r"[^\x20\x09-\x0D]+"
 DIGITS = 3  # hex digits of the hash by which a leaf's order is cut into buckets
+CUTS = 2  # times that the bucket where a leaf's budget ends is cut
 
 
 def _shares(children: DataFrame, parent: list[str], name: str) -> DataFrame:
@@ -38,11 +39,11 @@ def budgets(leaves: DataFrame, levels: list[tuple[str, Column]], total: Column,
     """Leaf rows (level columns, tokens) with their budget. ``levels``: column and integer weight, from the top down."""
     names = [name for name, _ in levels]
     leaves = leaves.withColumn("leaf_room", F.col("tokens") * epochs)
-    given = leaves.agg(total.alias("given"))
+    given = F.lit(leaves.agg(total.cast("long")).first()[0]).cast("long")
     above: list[str] = []
     for i, (name, weight) in enumerate(levels):
         nodes = leaves.groupBy(*names[: i + 1]).agg(F.sum("leaf_room").alias("room")).withColumn("weight", weight.cast("long")).where("weight > 0")
-        nodes = nodes.join(given, above) if above else nodes.crossJoin(F.broadcast(given))  # one row
+        nodes = nodes.join(given, above) if above else nodes.withColumn("given", given)
         given = _shares(nodes, above, name).select(*names[: i + 1], F.col("budget").alias("given"))
         above = names[: i + 1]
     return leaves.join(given, names).select(*names, "tokens", F.col("given").alias("budget"))
@@ -68,22 +69,22 @@ def mixture(docs: DataFrame, levels: list[tuple[str, Column, Column]], share: fl
     plan = plan.withColumn("whole", F.expr("if(tokens > 0, budget div tokens, 0)")).withColumn("rest", F.expr("budget - whole * tokens"))
     rows = facts.join(plan, names)
     place = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole") + 1, F.col("doc_id")).cast("binary"))
-    rows = rows.withColumn("place", place).withColumn("bucket", F.substring("place", 1, DIGITS))
-    # a leaf's order is summed in two steps: its buckets, then the documents of the one bucket where the budget ends
-    sums = rows.where("rest > 0").groupBy(*names, "bucket", "rest").agg(F.sum("n_tokens").alias("held"))
-    reach = sums.withColumn("upto", F.sum("held").over(W.partitionBy(*names).orderBy("bucket")))
-    cuts = reach.withColumn("before", F.col("upto") - F.col("held")).where("before <= rest").select(*names, "bucket", "before", (F.col("upto") <= F.col("rest")).alias("inside"))
-    partial = rows.where("rest > 0").join(cuts, [*names, "bucket"])
-    inside = partial.where("inside")
-    edge = partial.where("not inside").withColumn("sum", F.col("before") + F.sum("n_tokens").over(W.partitionBy(*names, "bucket").orderBy("place", "doc_id").rowsBetween(W.unboundedPreceding, 0)))
     columns = ["doc_id", *names, "epoch", "n_tokens"]
     last = (F.col("whole") + 1).alias("epoch")
-    taken = [
-        rows.where("whole > 0").withColumn("epoch", F.explode(F.expr("sequence(1L, whole)"))).select(columns),
-        inside.select("doc_id", *names, last, "n_tokens"),
-        edge.where("sum <= rest").select("doc_id", *names, last, "n_tokens"),
-    ]
-    return taken[0].unionByName(taken[1]).unionByName(taken[2])
+    taken = rows.where("whole > 0").withColumn("epoch", F.explode(F.expr("sequence(1L, whole)"))).select(columns)
+    # a leaf's order is summed by buckets, and again within the one bucket where the budget ends, which is a small part
+    edge = rows.where("rest > 0").select("doc_id", *names, "n_tokens", "whole", "rest", place.alias("place"), F.lit(0).cast("long").alias("before"))
+    for cut in range(CUTS):
+        edge = edge.withColumn("bucket", F.substring("place", 1 + cut * DIGITS, DIGITS))
+        sums = edge.groupBy(*names, "bucket", "rest", "before").agg(F.sum("n_tokens").alias("held"))
+        reach = sums.withColumn("upto", F.col("before") + F.sum("held").over(W.partitionBy(*names).orderBy("bucket")))
+        cuts = reach.withColumn("start", F.col("upto") - F.col("held")).where("start <= rest").select(*names, "bucket", "start", (F.col("upto") <= F.col("rest")).alias("inside"))
+        partial = edge.join(cuts, [*names, "bucket"])
+        taken = taken.unionByName(partial.where("inside").select("doc_id", *names, last, "n_tokens"))
+        edge = settle(partial.where("not inside").withColumn("before", F.col("start")).drop("bucket", "start", "inside"), "mixture-edge")
+    line = W.partitionBy(*names).orderBy("place", "doc_id", "n_tokens").rowsBetween(W.unboundedPreceding, 0)
+    ends = edge.withColumn("sum", F.col("before") + F.sum("n_tokens").over(line))
+    return taken.unionByName(ends.where("sum <= rest").select("doc_id", *names, last, "n_tokens"))
 
 
 DOMAIN = "concat('domain', cast(cast(regexp_extract(source, '[0-9]+', 0) as int) % 4 as string))"
