@@ -30,8 +30,9 @@ ISLANDS, EPOCHS, GENERATIONS, POPULATION = 3, 2, 4, 4
 class Chunks:
     """Token ids of texts, chunk by chunk.
 
-    The tokenizer never joins what white space parts, nor a letter and a full stop or comma after it, and it lower-cases;
-    so chunks between these borders are encoded once and looked up. Texts that spell a special token go through whole.
+    A tokenizer that never joins what white space parts, nor a letter and a full stop or comma after it, and that
+    lower-cases needs to encode each chunk between these borders only once. Texts that spell a special token go through
+    whole; so do all texts of any other tokenizer.
     """
 
     def __init__(self, path: str):
@@ -43,6 +44,7 @@ class Chunks:
         words = self.tokenizer.get_vocab()
         self.closing = np.zeros(max(words.values()) + 1, bool)
         self.closing[[i for w, i in words.items() if w.endswith("</w>")]] = True
+        self.parted = self.whole(b"Word.  two, Ab\tone\nx") == [i for part in (b"word", b".", b"two", b",", b"ab", b"one", b"x") for i in self.whole(part)]
         self.clear()
 
     def clear(self) -> None:
@@ -78,9 +80,10 @@ class Chunks:
             self.ids = np.r_[self.ids, ids]
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, which have no line feeds, each closed by id 0; and where each text's ids end."""
-        odd = {i for i, t in enumerate(texts) if b"<" in t and any(s in t.translate(_FOLD) for s in self.specials)}
-        data = _borders(b"".join((b"" if i in odd else t) + b" \n " for i, t in enumerate(texts)))
+        """Ids of all texts, each closed by id 0; and where each text's ids end."""
+        odd = {i for i, t in enumerate(texts) if not self.parted or b"<" in t and any(s in t.translate(_FOLD) for s in self.specials)}
+        # a text's line feeds only part chunks, as spaces do
+        data = _borders(b"".join((b"" if i in odd else t.replace(b"\n", b" ")) + b" \n " for i, t in enumerate(texts)))
         offsets = np.r_[0, np.flatnonzero(data == 32) + 1].astype(np.int64)
         parted = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
         chunks = parted.dictionary.to_pylist()
@@ -130,8 +133,7 @@ def _pieces(path: str, most: int):
     def run(batches):
         chunks = chunks_of(path)
         for ids, texts in documents_of(batches, 4 << 20):
-            # a line feed only parts chunks, as a space does
-            tokens, ends = chunks([t.replace(b"\n", b" ") for t in texts])
+            tokens, ends = chunks(texts)
             tokens = np.ascontiguousarray(tokens, "<u4")
             rows = []
             for doc, a, b in zip(ids, [0, *ends[:-1].tolist()], ends.tolist(), strict=True):

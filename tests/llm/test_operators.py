@@ -136,6 +136,19 @@ def test_packing(spark, texts, odd):
     assert gga_packing.pack(odd.where("false"), queries.tokenizer_path()).count() == 0
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_chunks_give_the_ids_of_whole_texts(texts, name):
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path(name)
+    tokenizer, chunks = Tokenizer.from_file(path), gga_packing.Chunks(path)
+    assert chunks.parted == (name == "word_bpe_49k.json")
+    known = [t or "" for t in [*texts.values()][:50] + [t for _, t, _ in ODD]]
+    known += ["a.\nb, c.d", "It's 3.5% A.B. , x", "\u00e9. \u0130stanbul e\u0301. \u00a0x\u2003y\r\nz", "\n", "caf\u00c9, \U0001f600. <|endoftext|>."]
+    ids, ends = chunks([t.encode() for t in known])
+    assert [p.tolist() for p in np.split(ids, ends[:-1])] == [[*tokenizer.encode(t, add_special_tokens=False).ids, 0] for t in known]
+
+
 def test_crossover_keeps_every_piece_once():
     rng = np.random.default_rng(3)
     sizes = rng.integers(1, 2048, 500)
