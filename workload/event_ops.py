@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import safe_json, vlong
@@ -18,7 +16,7 @@ from ledgerlake.plans.classic_silver import balance_chain, daily_locf
 from ledgerlake.plans.observability import counted_transactions
 from ledgerlake.run import Run
 from workload import query, table
-from workload.relational import cents
+from workload.relational import cents, last_event
 
 KINDS = ["click", "error", "purchase", "signup", "view"]
 HOUR = "yyyy-MM-dd HH:mm"
@@ -243,7 +241,7 @@ def adjacent_rows(spark, sf):
 @query("""
 WITH d AS (SELECT user_id, event_type, CAST(ts AS DATE) AS day, arg_max(CAST(round(value * 100) AS BIGINT), ts) AS v
   FROM events GROUP BY 1, 2, 3),
-s AS (SELECT user_id, event_type, unnest(generate_series(min(day), DATE '2024-01-31', INTERVAL 1 DAY)) AS day FROM d GROUP BY 1, 2)
+s AS (SELECT user_id, event_type, unnest(generate_series(min(day), (SELECT max(day) FROM d), INTERVAL 1 DAY)) AS day FROM d GROUP BY 1, 2)
 SELECT s.user_id, s.event_type, strftime(s.day, '%Y-%m-%d') AS day,
   last_value(v IGNORE NULLS) OVER (PARTITION BY s.user_id, s.event_type ORDER BY s.day ROWS UNBOUNDED PRECEDING) AS balance
 FROM s LEFT JOIN d ON s.user_id = d.user_id AND s.event_type = d.event_type AND CAST(s.day AS DATE) = d.day
@@ -252,7 +250,7 @@ def spine_range(spark, sf):
     rows = events(spark, sf).select(
         "user_id", "event_type", F.col("ts").alias("block_timestamp"), cents("value").alias("balance")
     )
-    daily = daily_locf(rows, ["user_id", "event_type"], Run(datetime(2024, 1, 31)))
+    daily = daily_locf(rows, ["user_id", "event_type"], Run(last_event(spark, sf)))
     return daily.select("user_id", "event_type", F.date_format("date", "yyyy-MM-dd").alias("day"), "balance")
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import functions as F
 
 from ledgerlake.plans import classic_bronze, classic_silver
@@ -12,7 +10,7 @@ from ledgerlake.run import Run
 from workload import chainlike as cl
 from workload import query, table
 from workload.classiclike import Classic
-from workload.relational import cents
+from workload.relational import cents, last_event
 
 
 @query("""
@@ -42,7 +40,7 @@ def history_balances(spark, sf):
 
 @query("""
 WITH d AS (SELECT user_id, event_type, CAST(ts AS DATE) AS day, arg_max(value, ts) AS v FROM events GROUP BY 1, 2, 3),
-s AS (SELECT user_id, event_type, unnest(generate_series(min(day), DATE '2024-01-31', INTERVAL 1 DAY)) AS day FROM d GROUP BY 1, 2)
+s AS (SELECT user_id, event_type, unnest(generate_series(min(day), (SELECT max(day) FROM d), INTERVAL 1 DAY)) AS day FROM d GROUP BY 1, 2)
 SELECT lpad(CAST(s.user_id AS VARCHAR), 44, 'w') AS address, s.event_type AS currency, strftime(s.day, '%Y-%m-%d') AS day, false AS is_native,
   last_value(v IGNORE NULLS) OVER (PARTITION BY s.user_id, s.event_type ORDER BY s.day ROWS UNBOUNDED PRECEDING) AS balance
 FROM s LEFT JOIN d ON s.user_id = d.user_id AND s.event_type = d.event_type AND CAST(s.day AS DATE) = d.day
@@ -62,7 +60,7 @@ def synthetic_balances(spark, sf):
         F.parse_json(F.to_json(F.struct(kind.alias("model"), F.array(entry).alias("results")))).alias("record_content"),
         c("ts").alias("_inserted_timestamp"),
     )
-    rows = classic_silver.block_synthetic_balances(classic_bronze.classic_synthetic_balances(log), Run(datetime(2024, 1, 31)))
+    rows = classic_silver.block_synthetic_balances(classic_bronze.classic_synthetic_balances(log), Run(last_event(spark, sf)))
     return rows.select("address", "currency", F.date_format("date", "yyyy-MM-dd").alias("day"), "is_native", "balance")
 
 

@@ -22,6 +22,11 @@ from workload import query, table
 DAY = "yyyy-MM-dd"
 
 
+def last_event(spark, sf):
+    """The newest time in events."""
+    return table(spark, sf, "events").agg(F.max("ts")).first()[0]
+
+
 def cents(column: str) -> Column:
     return F.round(F.col(column) * 100).cast("bigint")
 
