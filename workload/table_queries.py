@@ -244,12 +244,8 @@ def quality_report(spark, sf):
 # ---------------------------------------------------------------- sources and sinks
 
 
-@query(f"""
-WITH {O} SELECT o_orderkey AS block_number, d // 100 * 100 AS _partition_by_block_id, o_custkey AS cust, md5(CAST(o_orderkey AS VARCHAR)) AS id
-FROM o WHERE status <> 'P'
-""")
-def response_files(spark, sf):
-    """Responses as JSON lines in folders named after a block range; retryable errors (here: status P) are dropped."""
+def response_lines(spark, sf) -> str:
+    """Responses as JSON lines in folders named after a block range; some hold an error that will be retried (status P)."""
     rows = cl.orders(spark, sf)
     c = F.col
     code = F.when(c("status") == "P", -32000).when(c("status") == "O", -32600)
@@ -263,6 +259,16 @@ def response_files(spark, sf):
     path = new_folder(spark, "responses")
     for_files = rows.select(line.alias("value"), F.concat(first.cast("string"), F.lit("_"), (first + 99).cast("string")).alias("range"))
     for_files.hint("rebalance", "range").write.partitionBy("range").text(f"{path}/a/b/c")
+    return path
+
+
+@query(f"""
+WITH {O} SELECT o_orderkey AS block_number, d // 100 * 100 AS _partition_by_block_id, o_custkey AS cust, md5(CAST(o_orderkey AS VARCHAR)) AS id
+FROM o WHERE status <> 'P'
+""")
+def response_files(spark, sf):
+    """Responses of the last days; retryable errors are dropped."""
+    path = response_lines(spark, sf)
     responses = read_responses(spark, path, root=f"{path}/", recent_days=7, now=datetime.now())
     return responses.select("block_number", "_partition_by_block_id", vlong("data", "result.cust").alias("cust"), "id")
 
