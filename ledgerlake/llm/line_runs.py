@@ -20,6 +20,7 @@ from ledgerlake.llm.shared import _SPACE, U, deals, documents_of, mix, packed, p
 WORDS = 25  # words for which a line gets one more place
 RUN = 3  # places of the shortest run
 FLUSH = 1 << 20
+PLACE = ["doc", "form", "at"]  # where a window lies: document, hash of its text, place
 
 
 def places(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -51,6 +52,14 @@ def windows(owner: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return at, key[at]
 
 
+def _distinct(key: np.ndarray, doc: np.ndarray, form: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Windows by key and place, each place once: repeated rows of a document give the same places."""
+    order = np.lexsort((at, form, doc, key))
+    sorted_ = [x[order] for x in (key, doc, form, at)]
+    new = np.r_[True, np.any([x[1:] != x[:-1] for x in sorted_], axis=0)] if len(key) else np.empty(0, bool)
+    return tuple(x[new] for x in sorted_)
+
+
 def _windows_of_task(buckets: int):
     """The first occurrence of each window in the task; later ones are marked at once."""
 
@@ -59,18 +68,17 @@ def _windows_of_task(buckets: int):
         size = 0
 
         def flush():
-            key, doc, at = (np.concatenate(x) for x in zip(*held, strict=True))
-            order = np.lexsort((at, doc, key))
-            key, doc, at = key[order], doc[order], at[order]
+            key, doc, form, at = _distinct(*(np.concatenate(x) for x in zip(*held, strict=True)))
             first = np.r_[True, key[1:] != key[:-1]]
-            yield from postings(key[first], [doc[first], at[first], np.zeros(first.sum(), np.int8)], buckets, ["key", "doc", "at", "late"])
-            yield from postings(doc[~first], [doc[~first], at[~first], np.ones((~first).sum(), np.int8)], buckets, ["key", "doc", "at", "late"])
+            yield from postings(key[first], [doc[first], form[first], at[first], np.zeros(first.sum(), np.int8)], buckets, ["key", *PLACE, "late"])
+            yield from postings(doc[~first], [doc[~first], form[~first], at[~first], np.ones((~first).sum(), np.int8)], buckets, ["key", *PLACE, "late"])
 
         for ids, texts in documents_of(batches):
             owner, _, hashes = places(texts)
             at, key = windows(owner, hashes)
             first = np.searchsorted(owner, np.arange(len(texts)))
-            held.append((key, np.array(ids, np.int64)[owner[at]], at - first[owner[at]]))
+            doc, form = np.array([(i["doc"], i["form"]) for i in ids], np.int64).T
+            held.append((key, doc[owner[at]], form[owner[at]], at - first[owner[at]]))
             size += len(at)
             if size >= FLUSH:
                 yield from flush()
@@ -83,28 +91,26 @@ def _windows_of_task(buckets: int):
 
 
 def _later(buckets: int):
-    """Windows that have an earlier occurrence, by document."""
+    """Windows that have an earlier occurrence, by document and text."""
 
     def run(batches):
-        got = unpacked(batches, {"key": "<u8", "doc": "<i8", "at": "<i8", "late": "i1"})
+        got = unpacked(batches, {"key": "<u8", "doc": "<i8", "form": "<i8", "at": "<i8", "late": "i1"})
         late = got["late"] == 1
-        key, doc, at = (got[c][~late] for c in ("key", "doc", "at"))
-        order = np.lexsort((at, doc, key))
-        key, doc, at = key[order], doc[order], at[order]
+        key, *place = _distinct(*(got[c][~late] for c in ("key", *PLACE)))
         again = np.r_[False, key[1:] == key[:-1]] if len(key) else np.empty(0, bool)
-        doc, at = np.r_[got["doc"][late], doc[again]], np.r_[got["at"][late], at[again]]
-        yield from postings(doc, [at], buckets, ["doc", "at"])
+        doc, form, at = (np.r_[got[c][late], x[again]] for c, x in zip(PLACE, place, strict=True))
+        yield from postings(doc, [form, at], buckets, PLACE)
 
     return run
 
 
 def _by_document(batches):
-    got = unpacked(batches, {"doc": "<i8", "at": "<i8"})
-    order = np.lexsort((got["at"], got["doc"]))
-    doc, at = got["doc"][order], got["at"][order]
-    first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.empty(0, np.int64)
+    got = unpacked(batches, {"doc": "<i8", "form": "<i8", "at": "<i8"})
+    order = np.lexsort((got["at"], got["form"], got["doc"]))
+    doc, form, at = (got[c][order] for c in PLACE)
+    first = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (form[1:] != form[:-1])]) if len(doc) else np.empty(0, np.int64)
     cuts = list(zip(first.tolist(), [*first[1:].tolist(), len(doc)][: len(first)], strict=True))
-    yield pa.RecordBatch.from_arrays([pa.array(doc[first]), pa.array([at[a:b].tobytes() for a, b in cuts], pa.binary())], names=["doc", "starts"])
+    yield pa.RecordBatch.from_arrays([pa.array(doc[first]), pa.array(form[first]), pa.array([at[a:b].tobytes() for a, b in cuts], pa.binary())], names=["doc", "form", "starts"])
 
 
 def _kept(batches):
@@ -130,22 +136,23 @@ def without_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str =
     """``docs`` with kept_text, n_lines (not blank) and n_removed; later occurrences of repeated runs of lines are gone.
 
     A null text has no lines and stays null. Rows without an id stay as they are. Rows with equal id and text count as
-    one. An empty table gives no rows. All other columns are kept, whatever their names; a column that is called as one
+    one; other texts of one id are documents of their own. An empty table gives no rows. All other columns are kept, whatever their names; a column that is called as one
     of the three new ones is replaced.
     """
     spark = docs.sparkSession
     ready(spark)
     parts = deals(spark)
     buckets = 4 * parts
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).where("doc is not null")
-    sent = texts.mapInArrow(_windows_of_task(buckets), packed("key", "doc", "at", "late"))
-    late = sent.repartition(parts, "bucket").mapInArrow(_later(buckets), packed("doc", "at"))
-    marks = settle(late.repartition(parts, "bucket").mapInArrow(_by_document, "doc long, starts binary"), "line-marks")
+    doc, form = F.col(doc_id).cast("long").alias("doc"), F.xxhash64(F.col(text)).alias("form")
+    texts = docs.where(doc.isNotNull()).select(F.struct(doc, form), F.col(text).alias("text"))
+    sent = texts.mapInArrow(_windows_of_task(buckets), packed("key", *PLACE, "late"))
+    late = sent.repartition(parts, "bucket").mapInArrow(_later(buckets), packed(*PLACE))
+    marks = settle(late.repartition(parts, "bucket").mapInArrow(_by_document, "doc long, form long, starts binary"), "line-marks")
     rest = [c for c in docs.columns if c not in ("kept_text", "n_lines", "n_removed")]
     inner = [f"c{i}" for i in range(len(rest))]
     # neutral names meanwhile, so that no column of the input clashes with ours
-    plain = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(rest, inner, strict=True)], F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("whole"))
-    joined = plain.join(marks.hint("merge"), "doc", "left").select(*inner, "whole", "starts")
+    plain = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(rest, inner, strict=True)], doc, form, F.col(text).alias("whole"))
+    joined = plain.join(marks.hint("merge"), ["doc", "form"], "left").select(*inner, "whole", "starts")
     shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in joined.select(*inner).schema.fields)
     done = joined.mapInArrow(_kept, shape + ", kept_text string, n_lines long, n_removed long")
     return done.select(*[F.col(n).alias(c) for c, n in zip(rest, inner, strict=True)], "kept_text", "n_lines", "n_removed")
