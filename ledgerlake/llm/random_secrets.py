@@ -1,11 +1,11 @@
 """Secret scans: patterns, and a battery of randomness tests for what patterns do not name.
 
-Candidates are runs of 20 or more characters of the encodings' alphabets. The narrowest encoding that spells a candidate
+Candidates are runs of 20 or more characters of the encodings' alphabets, with the padding that ends them. The narrowest encoding that spells a candidate
 is inferred. Against the null hypothesis that the characters are drawn at random from its alphabet stand a chi-squared
 test of uniformity, a runs test about the alphabet's middle and a test of the serial correlation of neighbours; Fisher's
 sum of the three gives one p-value. Short candidates give weak tests, so false discoveries are controlled apart for each
 encoding and length band (Benjamini-Hochberg over counts of binned p-values): candidates that are found not to be random
-leave, the others are secrets if they could hold 80 bits.
+leave, the others are secrets if they could hold 80 bits (digits alone hold log2(10) each).
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ from ledgerlake.llm.shared import settle
 ASSIGN = r"""((?i)password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
+# A candidate may follow '=', as in NAME=value, and holds it only as padding at its end.
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,6}+"
 # fixed values: encodings from the narrowest to the widest, their alphabets
 DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ALPHABETS = {
@@ -62,7 +63,7 @@ def tested(candidates: DataFrame) -> DataFrame:
     body = "rtrim('=', word)"
     spelled = "case " + " ".join(f"when body rlike '^[{a.replace('-', '') + ('-' if '-' in a else '')}]+$' then '{n}'" for n, a in ALPHABETS.items()) + " end"
     alphabet = "case encoding " + " ".join(f"when '{n}' then '{a}'" for n, a in ALPHABETS.items()) + " end"
-    rows = candidates.withColumn("body", F.expr(body)).where("length(body) >= 20 and body rlike '[0-9]' and body rlike '[A-Za-z]'")
+    rows = candidates.withColumn("body", F.expr(body))
     rows = rows.withColumn("encoding", F.expr(spelled)).where("encoding is not null").withColumn("alphabet", F.expr(alphabet))
     rows = rows.withColumns({
         "n": F.expr("cast(length(body) as double)"), "k": F.expr("cast(length(alphabet) as double)"),
@@ -87,7 +88,7 @@ def tested(candidates: DataFrame) -> DataFrame:
     })
     fisher = f"-(ln(greatest(1e-300D, {_tail('z1')})) + ln(greatest(1e-300D, least(1D, 2 * {_tail('z2')}))) + ln(greatest(1e-300D, least(1D, 2 * {_tail('z3')}))))"
     rows = rows.withColumn("half", F.expr(fisher)).withColumn("p", F.expr("least(1D, exp(-half) * (1 + half + half * half / 2))"))
-    return rows.withColumns({"band": F.expr("cast(floor(2 * log2(n)) as int)"), "bits": F.expr("n * log2(k)"), "bin": F.expr("cast(least(3000, floor(-20 * log10(greatest(p, 1e-150D)))) as int)")})
+    return rows.withColumns({"band": F.expr("cast(floor(2 * log2(n)) as int)"), "bits": F.expr("n * log2(if(body rlike '^[0-9]+$', 10, k))"), "bin": F.expr("cast(least(3000, floor(-20 * log10(greatest(p, 1e-150D)))) as int)")})
 
 
 def random_ones(candidates: DataFrame) -> DataFrame:
