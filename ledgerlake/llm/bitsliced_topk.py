@@ -33,7 +33,7 @@ def _index(batches):
         rows = np.array([q for _, q in held], "<i8").reshape(len(held), dims)
         lows = rows.min(axis=0)
         above = rows - lows
-        low = max(0, int(above.max()).bit_length() - SLICES)
+        low = max(0, int(above.max(initial=0)).bit_length() - SLICES)
         width = -(-len(ids) // 64) * 64
         planes = np.zeros((dims, SLICES, width), np.uint8)
         for bit in range(SLICES):
@@ -112,7 +112,7 @@ class Block:
     def __init__(self, dims: int, low: int, slices: bytes, ids: bytes, rows: bytes):
         self.ids = np.frombuffer(ids, "<i8")
         self.rows = np.frombuffer(rows, "<i8").reshape(len(self.ids), dims)
-        self.maps = np.frombuffer(slices, np.uint8).reshape(dims, SLICES, -1).view(np.uint64)
+        self.maps = np.frombuffer(slices, np.uint8).reshape(dims, SLICES, -(-len(self.ids) // 64) * 8).view(np.uint64)
         self.low = low
         alive = np.zeros(self.maps.shape[2] * 64, np.uint8)
         alive[: len(self.ids)] = 1
@@ -122,7 +122,7 @@ class Block:
         """The block's k best (vec_id, score) for a query, itself left out."""
         pick = np.arange(len(self.ids))
         if len(self.ids) > 4 * k:
-            weighted: list[list[np.ndarray]] = [[] for _ in range(SLICES + int(np.abs(q).max()).bit_length() + 1)]
+            weighted: list[list[np.ndarray]] = [[] for _ in range(SLICES + int(np.abs(q).max(initial=0)).bit_length() + 1)]
             for d, value in enumerate(q.tolist()):
                 size, bit = abs(value), 0
                 maps = self.maps[d] if value > 0 else ~self.maps[d]
