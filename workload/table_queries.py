@@ -22,7 +22,7 @@ from workload import chainlike as cl
 from workload import query, table
 from workload.chain_queries import O
 from workload.chainlike import Chain
-from workload.relational import cents
+from workload.relational import cents, last_event
 
 
 def _orders(spark, sf):
@@ -67,6 +67,11 @@ def upsert_merge(spark, sf):
     return target.read().select("o_orderkey", "modified", "inserted", "extra")
 
 
+def _after_all(spark, sf) -> datetime:
+    """A bound behind the newest event, for the last batch."""
+    return (last_event(spark, sf) or datetime(2024, 1, 1)) + timedelta(days=1)
+
+
 def _hours(df):
     return df.groupBy(time_chunk(F.col("ts"), "hour").alias("hour")).agg(
         F.count(F.lit(1)).alias("n"), F.max("ts").alias("_inserted_timestamp")
@@ -80,8 +85,8 @@ def upsert_bucket(spark, sf):
     """The key is a whole hour: a run recomputes every hour from the earliest one its new rows touch."""
     events = table(spark, sf, "events")
     target = KeyedTable(spark, new_folder(spark, "hours"), ["hour"], date_part("hour"))
-    for day in (10, 20, 40):
-        arrived = events.where(F.col("ts") < F.lit(datetime(2024, 1, 1) + timedelta(days=day, minutes=30)))
+    for end in [*(datetime(2024, 1, 1) + timedelta(days=day, minutes=30) for day in (10, 20)), _after_all(spark, sf)]:
+        arrived = events.where(F.col("ts") < F.lit(end))
         first = earliest_touched_hour(arrived.withColumn("_inserted_timestamp", F.col("ts")), target.read(), "ts")
         target.delete_insert(_hours(from_hour(arrived, first, "ts")))
     return target.read().select(F.date_format("hour", "yyyy-MM-dd HH").alias("hour"), "n")
@@ -95,8 +100,8 @@ def incremental_equals_full(spark, sf):
     """Three incremental runs over a growing source end in the state of one full run."""
     events = table(spark, sf, "events").select("user_id", "event_type", "event_id", F.col("ts").alias("_inserted_timestamp"))
     target = KeyedTable(spark, new_folder(spark, "latest"), ["user_id", "event_type"], hash_part(8, "user_id"))
-    for day in (7, 15, 40):
-        arrived = events.where(F.col("_inserted_timestamp") < F.lit(datetime(2024, 1, 1) + timedelta(days=day)))
+    for end in [*(datetime(2024, 1, 1) + timedelta(days=day) for day in (7, 15)), _after_all(spark, sf)]:
+        arrived = events.where(F.col("_inserted_timestamp") < F.lit(end))
         fresh = since_mark(arrived, target.read())
         target.merge(latest_by(fresh, ["user_id", "event_type"], [F.desc("_inserted_timestamp"), F.desc("event_id")]))
     return target.read().select("user_id", "event_type", "event_id")
