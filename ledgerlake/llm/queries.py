@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bitsliced_topk, budget_mixing, bwt_repeats, cell_dedup, chat_pairs, gga_packing, line_runs, random_secrets, toxicity, trie_join
+from ledgerlake.llm import bitsliced_topk, budget_mixing, bwt_repeats, byte_bpe, cell_dedup, chat_pairs, fill_middle, gga_packing, line_runs, random_secrets, toxicity, trie_join, vector_codes
 from ledgerlake.llm.shared import read_table
 
 WORD_PIECES = "word_bpe_49k.json"
+BYTE_PIECES = "byte_bpe_50k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -98,3 +99,33 @@ def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_table(spark, sf, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, read_table(spark, sf, "labels"))
     return toxicity.scored(docs, model).select("doc_id", (~toxicity.in_training()).alias("held_out"), "score", "predicted")
+
+
+@query
+def op11_fill_middle(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents cut into prefix, middle and suffix at line ends, and rebuilt from the outputs."""
+    cut = fill_middle.transformed(read_table(spark, sf, "documents").select("doc_id", "text"), seed=7, rate=100, spm_rate=50)
+    facts = cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", line_runs.digest(cut.output).alias("output_sha256"), "output")
+    back = fill_middle.restored(facts)
+    return back.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", line_runs.digest(back.restored).alias("restored_sha256"))
+
+
+ORACLES["op11_fill_middle"] = fill_middle.SQL
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """Codes of all vectors: eight parts, sixteen entries each, six rounds."""
+    return vector_codes.coded(read_table(spark, sf, "embeddings")).select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+ORACLES["op12_vector_codes"] = vector_codes.sql()
+
+
+@query
+def op13_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents encoded, and decoded again."""
+    docs = read_table(spark, sf, "documents").select("doc_id", "text").where("doc_id is not null")
+    codes = byte_bpe.encoded(docs, tokenizer_path(BYTE_PIECES)).select("doc_id", "ids")
+    back = byte_bpe.decoded(codes.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), byte_bpe.ids_digest(codes.ids).alias("ids_sha256"), "ids"), tokenizer_path(BYTE_PIECES))
+    return back.select("doc_id", "n_tokens", "ids_sha256", line_runs.digest(back.decoded).alias("decoded_sha256"))
