@@ -16,6 +16,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from contextlib import contextmanager
+from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +27,19 @@ from ledgerlake.session import discard, new_folder
 PART = "_part"
 
 
+def part_name(value: str) -> str:
+    """Name of the partition of a value; the leading letter keeps names text, whatever they are made of."""
+    return f"p{value}"
+
+
+@dataclass(frozen=True)
+class Upserted:
+    """Partitions that an upsert wrote or emptied, and the newest load time of its batch."""
+
+    parts: frozenset[str]
+    newest: Any = None
+
+
 class KeyedTable:
     """``keys`` identify a row; ``part`` is an expression over the row (a date, an id range, a key hash).
 
@@ -44,9 +59,12 @@ class KeyedTable:
         found = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern)
         return self.spark.read.option("mergeSchema", "true").parquet(self.path) if found else None
 
-    def read(self) -> DataFrame | None:
+    def read(self, parts: Sequence[str] | None = None) -> DataFrame | None:
+        """The table, or some of its partitions by name."""
         stored = self._stored()
-        return None if stored is None else stored.drop(PART)
+        if stored is None:
+            return None
+        return (stored if parts is None else stored.where(F.col(PART).isin(list(parts)))).drop(PART)
 
     # ---- writing
 
@@ -56,21 +74,26 @@ class KeyedTable:
     def overwrite(self, batch: DataFrame) -> None:
         self._write(self._placed(batch), "overwrite", "static")
 
-    def delete_insert(self, batch: DataFrame) -> None:
+    def delete_insert(self, batch: DataFrame) -> Upserted:
         """Delete the stored rows whose key is in the batch, then insert the batch; its own duplicates survive."""
-        with self._staged(batch) as staged:
-            self._upsert(staged)
+        return self.upsert(batch, "delete_insert")
 
-    def merge(self, batch: DataFrame, keep: Sequence[str] = ()) -> None:
+    def merge(self, batch: DataFrame, keep: Sequence[str] = ()) -> Upserted:
         """Update matched rows and insert new ones; columns in ``keep`` hold their first value.
 
         A key that occurs twice in the batch is an error, as it is in SQL's MERGE.
         """
+        return self.upsert(batch, "merge", keep)
+
+    def upsert(self, batch: DataFrame, strategy: str, keep: Sequence[str] = (), loaded: str | None = None) -> Upserted:
+        """``merge`` or ``delete_insert``; says which partitions changed and, with ``loaded``, the batch's newest value there."""
         with self._staged(batch) as staged:
-            twice = staged.dropna(subset=self.keys).groupBy(*self.keys).count().where(F.col("count") > 1).take(1)
-            if twice:
-                raise ValueError(f"duplicate merge key in batch: {twice[0]}")
-            self._upsert(staged, keep)
+            newest = staged.agg(F.max(loaded)).first()[0] if loaded else None
+            if strategy == "merge":
+                twice = staged.dropna(subset=self.keys).groupBy(*self.keys).count().where(F.col("count") > 1).take(1)
+                if twice:
+                    raise ValueError(f"duplicate merge key in batch: {twice[0]}")
+            return Upserted(self._upsert(staged, keep if strategy == "merge" else ()), newest)
 
     def delete_where(self, condition: Column) -> None:
         """Remove rows after an upsert, e.g. soft-deleted ones; only partitions that hold such rows are rewritten."""
@@ -98,8 +121,7 @@ class KeyedTable:
             discard(self.spark, path)
 
     def _placed(self, batch: DataFrame) -> DataFrame:
-        """The leading letter keeps partition names text, whatever they are made of."""
-        return batch.withColumn(PART, F.concat(F.lit("p"), F.coalesce(self.part.cast("string"), F.lit("-"))))
+        return batch.withColumn(PART, F.concat(F.lit(part_name("")), F.coalesce(self.part.cast("string"), F.lit("-"))))
 
     def _parts(self, df: DataFrame) -> list[str]:
         """Distinct partition names: dates or buckets, never row keys, so the list stays small."""
@@ -112,13 +134,13 @@ class KeyedTable:
             same = part if same is None else same & part
         return same
 
-    def _upsert(self, staged: DataFrame, keep: Sequence[str] = ()) -> None:
-        stored = self._stored()
-        if stored is None:
-            self._write(staged, "overwrite")
-            return
+    def _upsert(self, staged: DataFrame, keep: Sequence[str] = ()) -> frozenset[str]:
+        stored, new_parts = self._stored(), set(self._parts(staged))
+        if stored is None or not new_parts:
+            if new_parts:
+                self._write(staged, "overwrite")
+            return frozenset(new_parts)
         batch_keys = staged.select(*self.keys)
-        new_parts = set(self._parts(staged))
         old_parts = new_parts
         if self.moves:
             matched = stored.select(*self.keys, PART).alias("s")
@@ -139,6 +161,7 @@ class KeyedTable:
             left_behind -= set(self._parts(rest.where(F.col(PART).isin(sorted(left_behind)))))
         self._write(rest.unionByName(staged, allowMissingColumns=True), "overwrite")
         self._remove(left_behind)
+        return frozenset(old_parts | new_parts)
 
     def _write(self, rows: DataFrame, mode: str, partitions: str = "dynamic") -> None:
         """A rebalance spreads a heavy partition over several tasks and files."""

@@ -405,16 +405,16 @@ def msg_attributes(silver_transactions: DataFrame, silver_blocks: DataFrame, run
     return run.audit(out.withColumn("msg_attributes_id", surrogate_key("message_id")))
 
 
+# the events of a log entry as one typed array, so that each is read out of its JSON once
+EVENTS = "array<struct<type:string,attributes:array<struct<key:string,value:string>>>>"
+
+
 def _event_fields(event: Column) -> Column:
     """(type, values, currencies) of one event: repeated keys get a running suffix, amounts lose their currency."""
-    pairs = F.transform(
-        varray(event, "attributes"),
-        lambda a: F.struct(vstr(a, "key").alias("key"), vstr(a, "value").alias("value")),
-    )
     return let(
-        let(pairs, _numbered_fields),
+        let(F.coalesce(event["attributes"], F.array().cast("array<struct<key:string,value:string>>")), _numbered_fields),
         lambda fields: F.struct(
-            vstr(event, "type").alias("type"),
+            event["type"].alias("type"),
             _entries(
                 F.filter(fields, lambda p: p["key"].isNotNull()),
                 lambda p: F.concat(p["key"], p["suffix"]),
@@ -457,8 +457,22 @@ def _entries(fields: Column, key, value) -> Column:
     return F.filter(made, lambda e: e["v"].isNotNull())
 
 
+def _shared_fields(fields: Column) -> Column:
+    """``type.field`` of fields that a type sets more than once: by two of its events, or by a name like a numbered one."""
+
+    def named(part: str) -> Column:
+        return F.flatten(F.transform(fields, lambda e: F.transform(e[part], lambda p: F.concat_ws(".", e["type"], p["k"]))))
+
+    def twice(names: Column) -> Column:
+        same = F.transform(names, lambda n, i: F.when((i > 0) & (n == F.get(names, i - 1)), n))
+        return F.array_distinct(F.filter(same, lambda n: n.isNotNull()))
+
+    return F.array_union(let(F.array_sort(named("values")), twice), let(F.array_sort(named("currencies")), twice))
+
+
 def _fields_by_type(events: Column) -> Column:
-    """type -> field -> value. Events of one type share an object, and a field they both set is an error."""
+    """(attributes, shared): type -> field -> value. Events of one type share an object; where two of them set one field,
+    there is no object, and ``shared`` names the fields."""
 
     def merged(kept: Column) -> Column:
         gather = lambda part: F.map_from_entries(F.flatten(F.transform(kept, lambda e: e[part])))
@@ -470,11 +484,18 @@ def _fields_by_type(events: Column) -> Column:
             F.transform(types, lambda t: F.struct(t, let(F.filter(fields, lambda e: e["type"] == t), merged)))
         )
 
-    return let(F.transform(events, _event_fields), by_type)
+    def checked(fields: Column) -> Column:
+        return let(
+            _shared_fields(fields),
+            lambda shared: F.struct(F.when(F.size(shared) == 0, by_type(fields)).alias("attributes"), shared.alias("shared")),
+        )
+
+    return let(F.filter(F.transform(events, _event_fields), lambda e: e["type"].isNotNull()), checked)
 
 
-def messages(silver_transactions: DataFrame, silver_blocks: DataFrame, run: Run) -> DataFrame:
-    """silver.messages: one row per message with ``attributes`` = event type -> field -> value.
+def checked_messages(silver_transactions: DataFrame, silver_blocks: DataFrame, run: Run) -> DataFrame:
+    """All rows of silver.messages with ``shared_fields``. Where it is not empty the message has no single nested object;
+    such rows belong in quarantine (``quality.quarantined`` writes both sides in one pass).
 
     A log entry holds all events of its message, so the nested object is built inside the row.
     ``message_type`` always reads the first message, ``message_value`` the message of the entry.
@@ -482,27 +503,33 @@ def messages(silver_transactions: DataFrame, silver_blocks: DataFrame, run: Run)
     entries = _log_entries(silver_transactions).withColumns(
         {
             "message_index": F.coalesce(vlong("entry", "msg_index"), F.lit(0).cast("bigint")),
-            "events": varray("entry", "events"),
+            "events": F.try_variant_get("entry", "$.events", EVENTS),
             "all_messages": varray("tx", "body.messages"),
         }
-    ).where(F.array_size("events") > 0)
+    ).where(F.size("events") > 0)
     rows = entries.select(
         joined_key("-", "tx_id", "message_index").alias("message_id"),
         "block_timestamp", "block_id", "tx_id", "tx_succeeded", "message_index",
         vstr("tx", "body.messages[0].@type").alias("message_type"),
         F.try_element_at("all_messages", (F.col("message_index") + 1).cast("int")).alias("message_value"),
-        _fields_by_type(F.col("events")).alias("attributes"),
+        _fields_by_type(F.col("events")).alias("fields"),
         "_ingested_at", "_inserted_timestamp",
     )
     joined = rows.join(silver_blocks.select("block_id", "chain_id"), "block_id")
     out = joined.select(
         "message_id", "block_timestamp", "block_id", "tx_id", "tx_succeeded", "chain_id", "message_index",
-        "message_type", "message_value", "attributes", "_ingested_at", "_inserted_timestamp",
-        surrogate_key("message_id").alias("messages_id"),
+        "message_type", "message_value", F.col("fields.attributes").alias("attributes"), "_ingested_at", "_inserted_timestamp",
+        surrogate_key("message_id").alias("messages_id"), F.col("fields.shared").alias("shared_fields"),
     )
     return run.audit(out)
 
 
+def messages(silver_transactions: DataFrame, silver_blocks: DataFrame, run: Run) -> DataFrame:
+    """silver.messages: one row per message with ``attributes`` = event type -> field -> value, without odd ones."""
+    rows = checked_messages(silver_transactions, silver_blocks, run)
+    return rows.where(F.size("shared_fields") == 0).drop("shared_fields")
+
+
 # ---------------------------------------------------------------- transfers
 
 EVENT_GRAIN = [

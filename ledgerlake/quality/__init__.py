@@ -3,8 +3,9 @@
 from ledgerlake.quality.checks import (
     accepted_values, column_types, differs_from, gaps, matches, not_null, recent, report, tx_gaps, unique,
 )
+from ledgerlake.quality.quarantine import quarantined
 
 __all__ = [
-    "accepted_values", "column_types", "differs_from", "gaps", "matches", "not_null", "recent", "report", "tx_gaps",
+    "accepted_values", "column_types", "differs_from", "gaps", "matches", "not_null", "quarantined", "recent", "report", "tx_gaps",
     "unique",
 ]

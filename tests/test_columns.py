@@ -55,7 +55,7 @@ def tables(spark):
     by_tx = chain_stats.core_metrics_hourly(txs, attributes, RUN)
     msgs, log_attributes = chain_silver.msgs(txs, blocks, RUN), chain_silver.msg_attributes(txs, blocks, RUN)
     declared = chain_silver.blockchain(_metas(spark, sf), RUN)
-    swaps = chain_silver.dex_swaps(Chain(spark, sf, third=False).messages, txs)
+    swaps = chain_silver.dex_swaps(Chain(spark, sf).messages, txs)
     bronze_txs = chain_bronze.transactions(chainlike.legacy_transactions(spark, sf), chainlike.no_responses(spark))
     bronze_blocks = chain_bronze.blocks(chainlike.legacy_blocks(spark, sf), chainlike.no_responses(spark))
     small = log.limit(0)

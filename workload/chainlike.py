@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.binding import let
 from ledgerlake.plans import chain_bronze, chain_silver
+from ledgerlake.quality import quarantined
 from ledgerlake.run import Run
+from ledgerlake.session import new_folder
 from workload import table
 from workload.relational import cents
 from workload.shared import Stage, stage
@@ -127,30 +129,35 @@ def action() -> Column:
     return F.try_element_at(table_, F.col("priority"))
 
 
-def log_text(third: bool) -> Column:
-    """The log of a transaction: JSON text, or an error message where it failed."""
+def log_text() -> Column:
+    """The log of a transaction: JSON text, or an error message where it failed.
+
+    Urgent orders have a third entry whose two events share a field; open urgent ones swap twice in one event.
+    """
     c = F.col
     entry = lambda i, *events: F.struct(F.lit(i).alias("msg_index"), F.array(*events).alias("events"))
     zero = entry(
         0, _event("message", ("action", action())),
         _event("transfer", ("recipient", c("peer")), ("sender", c("cust")), ("amount", F.concat(c("cents"), F.lit("uluna"))), ("amount", "5ibc/AB")),
     )
-    one = entry(
-        1, _event("message", ("module", "bank")),
-        _event(
-            "wasm", ("_contract_address", c("peer")), ("action", "swap"), ("offer_asset", "uluna"),
-            ("offer_amount", c("cents")), ("ask_asset", "uusd"), ("return_amount", c("o_custkey")),
-        ),
+    swap = [
+        ("_contract_address", c("peer")), ("action", "swap"), ("offer_asset", "uluna"), ("offer_amount", c("cents")),
+        ("ask_asset", "uusd"), ("return_amount", c("o_custkey")),
+    ]
+    again = [
+        ("_contract_address", "pool2"), ("action", "swap"), ("offer_asset", "uusd"), ("offer_amount", c("o_custkey")),
+        ("ask_asset", "ukrw"), ("return_amount", "11"),
+    ]
+    urgent = c("priority") == URGENT
+    one = F.when(urgent & (c("status") == "O"), entry(1, _event("message", ("module", "bank")), _event("wasm", *swap, *again))).otherwise(
+        entry(1, _event("message", ("module", "bank")), _event("wasm", *swap))
     )
-    short = F.array(zero, one)
-    entries = short
-    if third:
-        two = entry(2, _event("message", ("module", "wasm")), _event("message", ("module", "bank")))
-        entries = F.when(c("priority") == URGENT, F.array(zero, one, two)).otherwise(short)
+    two = entry(2, _event("message", ("module", "wasm")), _event("message", ("module", "bank")))
+    entries = F.when(urgent, F.array(zero, one, two)).otherwise(F.array(zero, one))
     return F.when(c("status") == "P", F.lit("failed to execute message; out of gas")).otherwise(F.to_json(entries))
 
 
-def tx_responses(spark, sf, third: bool = True) -> DataFrame:
+def tx_responses(spark, sf) -> DataFrame:
     """One search response per order; every response lands twice, the second time with its final gas."""
     c = F.col
     executes = F.struct(
@@ -169,7 +176,7 @@ def tx_responses(spark, sf, third: bool = True) -> DataFrame:
             F.when(c("status") == "P", 5).otherwise(0).alias("code"),
             F.when(c("status") == "P", F.lit("sdk")).otherwise("").alias("codespace"),
             (c("o_custkey") + c("copy")).cast("string").alias("gasUsed"),
-            log_text(third).alias("log"), result_events().alias("events"),
+            log_text().alias("log"), result_events().alias("events"),
         ).alias("tx_result"),
         F.struct(
             F.array(
@@ -274,10 +281,6 @@ class _Chain(Stage):
     As in a real build, a table that several others read is written once and read back.
     """
 
-    def __init__(self, spark, sf, third: bool = True):
-        super().__init__(spark, sf)
-        self.third = third
-
     @cached_property
     def blocks(self) -> DataFrame:
         bronze = chain_bronze.blocks(legacy_blocks(self.spark, self.sf), no_responses(self.spark))
@@ -291,7 +294,7 @@ class _Chain(Stage):
         return self.blocks.select("block_id", "block_timestamp", "chain_id")
 
     def responses(self) -> DataFrame:
-        return tx_responses(self.spark, self.sf, self.third)
+        return tx_responses(self.spark, self.sf)
 
     @cached_property
     def transactions(self) -> DataFrame:
@@ -324,9 +327,22 @@ class _Chain(Stage):
         return chain_silver.staking(self.msgs_2, RUN)
 
     @cached_property
+    def _messages(self) -> tuple[DataFrame, DataFrame]:
+        """Clean messages and those in quarantine, from one pass over the transactions."""
+        checked = chain_silver.checked_messages(self.transactions, self.block_times, RUN)
+        folder = new_folder(self.spark, "messages")
+        both = quarantined(checked, "shared_fields", folder)
+        self.paths.append(folder)
+        return both
+
+    @property
     def messages(self) -> DataFrame:
-        return chain_silver.messages(self.transactions, self.block_times, RUN)
+        return self._messages[0]
+
+    @property
+    def odd_messages(self) -> DataFrame:
+        return self._messages[1]
 
 
-def Chain(spark, sf, third: bool = True) -> _Chain:  # noqa: N802
-    return stage(_Chain, spark, sf, third)
+def Chain(spark, sf) -> _Chain:  # noqa: N802
+    return stage(_Chain, spark, sf)
