@@ -59,12 +59,16 @@ class KeyedTable:
         found = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern)
         return self.spark.read.option("mergeSchema", "true").parquet(self.path) if found else None
 
-    def read(self, parts: Sequence[str] | None = None) -> DataFrame | None:
-        """The table, or some of its partitions by name."""
+    def read(self, parts: Sequence[str] | None = None, first: str | None = None) -> DataFrame | None:
+        """The table, or some of its partitions: those named, or those whose names do not sort before ``first``."""
         stored = self._stored()
         if stored is None:
             return None
-        return (stored if parts is None else stored.where(F.col(PART).isin(list(parts)))).drop(PART)
+        if parts is not None:
+            stored = stored.where(F.col(PART).isin(list(parts)))
+        if first is not None:
+            stored = stored.where(F.col(PART) >= first)
+        return stored.drop(PART)
 
     # ---- writing
 
@@ -88,12 +92,13 @@ class KeyedTable:
     def upsert(self, batch: DataFrame, strategy: str, keep: Sequence[str] = (), loaded: str | None = None) -> Upserted:
         """``merge`` or ``delete_insert``; says which partitions changed and, with ``loaded``, the batch's newest value there."""
         with self._staged(batch) as staged:
-            newest = staged.agg(F.max(loaded)).first()[0] if loaded else None
+            found = staged.groupBy(PART).agg((F.max(loaded) if loaded else F.lit(None)).alias("newest")).collect()
+            newest = max((r.newest for r in found if r.newest is not None), default=None)
             if strategy == "merge":
                 twice = staged.dropna(subset=self.keys).groupBy(*self.keys).count().where(F.col("count") > 1).take(1)
                 if twice:
                     raise ValueError(f"duplicate merge key in batch: {twice[0]}")
-            return Upserted(self._upsert(staged, keep if strategy == "merge" else ()), newest)
+            return Upserted(self._upsert(staged, {r[PART] for r in found}, keep if strategy == "merge" else ()), newest)
 
     def delete_where(self, condition: Column) -> None:
         """Remove rows after an upsert, e.g. soft-deleted ones; only partitions that hold such rows are rewritten."""
@@ -134,8 +139,8 @@ class KeyedTable:
             same = part if same is None else same & part
         return same
 
-    def _upsert(self, staged: DataFrame, keep: Sequence[str] = ()) -> frozenset[str]:
-        stored, new_parts = self._stored(), set(self._parts(staged))
+    def _upsert(self, staged: DataFrame, new_parts: set[str], keep: Sequence[str] = ()) -> frozenset[str]:
+        stored = self._stored()
         if stored is None or not new_parts:
             if new_parts:
                 self._write(staged, "overwrite")

@@ -525,15 +525,7 @@ WITH {C} SELECT d AS block_id, strftime(day, '%Y-%m-%d') AS day, 'prop' || d % 5
 FROM (SELECT day, d, count(*) AS n FROM c GROUP BY 1, 2)
 """)
 def classic_blocks(spark, sf):
-    rows = cl.orders(spark, sf).groupBy("day", "d").agg(F.count(F.lit(1)).alias("n"))
-    result = F.to_json(
-        F.struct(
-            F.col("d").alias("block_id"), F.date_format("day", "yyyy-MM-dd HH:mm:ss").alias("block_timestamp"),
-            F.lit("terra").alias("blockchain"), F.concat(F.lit("prop"), (F.col("d") % 5).cast("string")).alias("proposer_address"),
-            F.when(F.col("created") == 2000, F.col("n")).otherwise(0).alias("num_txs"),
-        )
-    )
-    log = cl.small_log(spark, sf, "terra_block_model", result, rows)
+    log = cl.block_log(spark, sf)
     gold = classic_gold.fact_blocks(classic_silver.blocks(classic_bronze.classic_blocks(log)))
     return gold.select("block_id", day(), "proposer_address", "tx_count")
 
@@ -542,15 +534,7 @@ def classic_blocks(spark, sf):
 WITH {C} SELECT hash AS tx_id, d AS block_id, u AS tx_from, ok, n AS gas_used, 1 AS fees FROM c
 """)
 def classic_transactions(spark, sf):
-    result = F.to_json(
-        F.struct(
-            F.col("d").alias("block_id"), F.date_format("day", "yyyy-MM-dd HH:mm:ss").alias("block_timestamp"),
-            F.col("chain").alias("chain_id"), F.col("hash").alias("tx_id"), F.array("u").alias("tx_from"), F.col("status").alias("tx_status"),
-            F.array(F.struct(F.col("k").alias("amount"))).alias("fee"),
-            F.when(F.col("created") == 2000, F.col("n")).otherwise("0").alias("gas_used"),
-        )
-    )
-    log = cl.small_log(spark, sf, "terra_tx_model", result, cl.orders(spark, sf), ',"run_id":"v2022.03.02.0"')
+    log = cl.transaction_log(spark, sf)
     gold = classic_gold.fact_transactions(classic_silver.transactions(classic_bronze.classic_transactions(log)))
     return gold.select(
         "tx_id", "block_id", vstr("tx_from", "[0]").alias("tx_from"), (F.col("tx_status") == "SUCCEEDED").alias("ok"),

@@ -378,13 +378,41 @@ def small_log(spark, sf, model: str, result: Column, rows: DataFrame, extra: str
     )
 
 
+def block_log(spark, sf) -> DataFrame:
+    """One block a day with its number of transactions; the first record of a block does not know it yet."""
+    rows = orders(spark, sf).groupBy("day", "d").agg(F.count(F.lit(1)).alias("n"))
+    result = F.to_json(
+        F.struct(
+            F.col("d").alias("block_id"), F.date_format("day", "yyyy-MM-dd HH:mm:ss").alias("block_timestamp"),
+            F.lit("terra").alias("blockchain"), F.concat(F.lit("prop"), (F.col("d") % 5).cast("string")).alias("proposer_address"),
+            F.when(F.col("created") == 2000, F.col("n")).otherwise(0).alias("num_txs"),
+        )
+    )
+    return small_log(spark, sf, "terra_block_model", result, rows, ',"blockchain":"columbus"')
+
+
+def transaction_log(spark, sf) -> DataFrame:
+    result = F.to_json(
+        F.struct(
+            F.col("d").alias("block_id"), F.date_format("day", "yyyy-MM-dd HH:mm:ss").alias("block_timestamp"),
+            F.col("chain").alias("chain_id"), F.col("hash").alias("tx_id"), F.array("u").alias("tx_from"), F.col("status").alias("tx_status"),
+            F.array(F.struct(F.col("k").alias("amount"))).alias("fee"),
+            F.when(F.col("created") == 2000, F.col("n")).otherwise("0").alias("gas_used"),
+        )
+    )
+    return small_log(spark, sf, "terra_tx_model", result, orders(spark, sf), ',"run_id":"v2022.03.02.0"')
+
+
 class _Classic(Stage):
     """Silver tables of the derived log; a table that a query reads several times is written once."""
 
+    @cached_property
+    def bronze_msgs(self) -> DataFrame:
+        return self.settle(classic_bronze.classic_msgs(message_log(self.spark, self.sf)), "bronze")
+
     @cached_property
     def msgs(self) -> DataFrame:
-        bronze = self.settle(classic_bronze.classic_msgs(message_log(self.spark, self.sf)), "bronze")
-        return self.settle(classic_silver.msgs(bronze), "msgs")
+        return self.settle(classic_silver.msgs(self.bronze_msgs), "msgs")
 
     @cached_property
     def bronze_events(self) -> DataFrame:
