@@ -112,6 +112,21 @@ class KeyedTable:
             self._write(kept, "overwrite")
         self._remove(set(touched) - set(remaining))
 
+    def remove(self, gone: DataFrame) -> None:
+        """Remove the rows whose keys are in ``gone``, each from the partition that its row in ``gone`` belongs to."""
+        stored = self._stored()
+        if stored is None:
+            return
+        with self._staged(gone) as staged:
+            touched = self._parts(staged)
+            inside = stored.where(F.col(PART).isin(touched)).alias("s")
+            here = self._same_key("s", "b") & (F.col(f"s.{PART}") == F.col(f"b.{PART}"))
+            kept = inside.join(staged.select(*self.keys, PART).alias("b"), here, "left_anti")
+            remaining = self._parts(kept)
+            if remaining:
+                self._write(kept, "overwrite")
+            self._remove(set(touched) - set(remaining))
+
     # ---- internals
 
     @contextmanager

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import joined_key, varray, vdec, vdouble, vlong, vmap, vstr, vvar
+from ledgerlake.incremental.intervals import IntervalTable
 from ledgerlake.operators.dedupe import keep_max_ties, latest_by, tombstoned
 from ledgerlake.operators.flatten import flatten_array, flatten_object, prefix_regroup
 from ledgerlake.operators.joins import semi
@@ -227,13 +228,23 @@ def daily_locf(rows: DataFrame, keys: list[str], run: Run, value: str = "balance
     return held.withColumn("date", F.explode(F.sequence("date", "_until"))).drop("_n", "_until")
 
 
-def daily_balances(silver_balances: DataFrame, run: Run) -> DataFrame:
-    """Balances per address, currency, type and day; most currencies are stored in millionths."""
+def balance_changes(silver_balances: DataFrame) -> DataFrame:
+    """Balances by the time of their change; most currencies are stored in millionths."""
     rows = silver_balances.where(F.col("address").isNotNull()).select(
         *BALANCE_KEY, F.lit("terra").alias("blockchain"), "block_timestamp", "balance"
     )
     unit = F.when(F.col("currency").isin(WHOLE_UNIT_CURRENCIES), F.col("balance")).otherwise(F.col("balance") / 1e6)
-    filled = daily_locf(rows.withColumn("balance", unit), [*BALANCE_KEY, "blockchain"], run)
+    return rows.withColumn("balance", unit)
+
+
+def balance_intervals(spark: SparkSession, path: str, unit: str = "month") -> IntervalTable:
+    """The stored intervals that ``balance_changes`` of one batch after the other enter; ``daily`` publishes their days."""
+    return IntervalTable(spark, path, [*BALANCE_KEY, "blockchain"], "balance", unit)
+
+
+def daily_balances(silver_balances: DataFrame, run: Run) -> DataFrame:
+    """Balances per address, currency, type and day."""
+    filled = daily_locf(balance_changes(silver_balances), [*BALANCE_KEY, "blockchain"], run)
     return filled.select(
         "date", "address", "currency", "balance_type", "blockchain", F.lit(True).alias("is_native"), "balance"
     )

@@ -13,6 +13,7 @@ from ledgerlake.run import Run
 from ledgerlake.session import new_folder, settle
 from workload import ORACLES, chainlike, classiclike, query
 from workload.chainlike import Chain
+from workload.classic_queries import DAILY, C
 from workload.classiclike import Classic
 
 AUDIT = ["inserted_timestamp", "modified_timestamp", "_invocation_id"]
@@ -131,3 +132,19 @@ def models_classic(spark, sf):
         "withdraw_validator_commission": c.withdraw_validator_commission(k.events, k.msgs),
     }
     return compared(built, full)
+
+
+@query(f"""
+WITH {C}, {DAILY}
+SELECT u AS address, strftime(d, '%Y-%m-%d') AS day, n AS balance
+FROM (SELECT u, n, unnest(generate_series(day, until - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS d FROM iv)
+""")
+def balance_intervals(spark, sf):
+    """Balances of every day, from intervals that three batches out of order brought up to date."""
+    changes = classic_silver.balance_changes(Classic(spark, sf).balances)
+    table = classic_silver.balance_intervals(spark, new_folder(spark, "intervals"), "year")
+    third = F.pmod(F.dayofyear("block_timestamp"), F.lit(3))
+    for turn in (1, 0, 2):
+        table.apply(changes.where(third == turn), "block_timestamp")
+    days = table.daily(datetime(1990, 1, 1).date(), classiclike.RUN.now.date())
+    return days.select("address", F.date_format("date", "yyyy-MM-dd").alias("day"), "balance")
