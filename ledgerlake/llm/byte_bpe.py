@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import os
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,8 @@ CONTRACTIONS = [b"'s", b"'t", b"'re", b"'ve", b"'m", b"'ll", b"'d"]
 # fixed values: white space beyond ASCII, and neighbours that some tables count as such
 SPACES = [chr(c) for c in (0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF)]
 LETTER, DIGIT, SIGN, SPACE, WIDE, OTHER = range(6)
-FRAGMENTS = 1 << 18  # fragments that are looked up at once
-KEPT, LONGEST = 1 << 18, 64  # encoded fragments that a worker remembers, and the bytes of the longest of them
+FRAGMENTS = 1 << 17  # fragments that are looked up at once
+KEPT, LONGEST = 1 << 19, 64  # encoded fragments that a worker remembers, and the bytes of the longest of them
 
 
 def byte_of_char() -> dict[str, int]:
@@ -122,23 +123,27 @@ class Coder:
 
     def _encoded(self, fragments: list[bytes]) -> list[bytes]:
         """Ids of each fragment, as bytes of 32-bit numbers."""
-        new = [f for f in dict.fromkeys(fragments) if f not in self.met]
+        codes = list(map(self.met.get, fragments))
+        holes = [i for i, code in enumerate(codes) if code is None]
+        new = list(dict.fromkeys([fragments[i] for i in holes]))
         own: dict[bytes, bytes] = {}
         for first in range(0, len(new), 8192):
             some = new[first : first + 8192]
-            for fragment, code in zip(some, self.tokenizer.encode_batch([f.decode() for f in some], add_special_tokens=False), strict=True):
-                own[fragment] = np.array(code.ids, "<i4").tobytes()
-        found = [self.met[f] if f in self.met else own[f] for f in fragments]
+            for fragment, code in zip(some, self.tokenizer.encode_batch_fast([f.decode() for f in some], add_special_tokens=False), strict=True):
+                own[fragment] = array("i", code.ids).tobytes()
+        for i in holes:
+            codes[i] = own[fragments[i]]
         if len(self.met) + len(new) > KEPT:
             self.met.clear()
-        for fragment in new[:KEPT]:
-            if len(fragment) <= LONGEST:
-                self.met[fragment] = own[fragment]
-        return found
+        self.met.update((f, own[f]) for f in new[:KEPT] if len(f) <= LONGEST)
+        return codes
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a batch, and where each text's ids begin."""
-        cuts = np.union1d(self.places(data), offsets[:-1][np.diff(offsets) > 0])  # each text begins a fragment
+        begins = np.zeros(len(data), bool)
+        begins[self.places(data)] = True
+        begins[offsets[:-1][np.diff(offsets) > 0]] = True  # each text begins a fragment
+        cuts = np.flatnonzero(begins)
         parts, counts = [], []
         for first in range(0, len(cuts), FRAGMENTS):
             some = cuts[first : first + FRAGMENTS]
@@ -148,7 +153,7 @@ class Coder:
             counts.append(np.fromiter(map(len, codes), np.int64, len(codes)) // 4)
             parts.append(b"".join(codes))
         ends = np.concatenate([[0], np.cumsum(np.concatenate([np.empty(0, np.int64), *counts]))])
-        return np.frombuffer(b"".join(parts), "<i4"), ends[np.searchsorted(cuts, offsets)]
+        return np.frombuffer(b"".join(parts), "i4"), ends[np.searchsorted(cuts, offsets)]
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
         """The text of each list of ids; unknown ids stand for nothing, bytes that are no UTF-8 for the replacement character."""
