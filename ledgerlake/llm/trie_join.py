@@ -192,8 +192,11 @@ def _whole(words: int, buckets: int):
 def _elements(batches):
     """Merge n-grams that the same documents hold: rows (doc, element, held, weight) of n-grams with two holders or more."""
     got = unpacked(batches, {"key": "<u8", "doc": "<i8"})
-    order = np.argsort(got["key"], kind="stable")
+    order = np.lexsort((got["doc"], got["key"]))
     key, doc = got["key"][order], got["doc"][order]
+    once = np.ones(len(key), bool)  # a row that is repeated sends its n-grams again
+    once[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
+    key, doc = key[once], doc[once]
     starts, counts = _runs(key)
     element = _sums(mix(doc.view(U), 3), counts)
     shared = counts > 1

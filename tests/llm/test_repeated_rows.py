@@ -1,6 +1,6 @@
 """Rows that are given twice keep one copy of their text."""
 
-from ledgerlake.llm import line_runs
+from ledgerlake.llm import line_runs, trie_join
 from tests.llm.test_operators import plain_lines
 
 BODY = "\n".join(f"line {i}" for i in range(5))
@@ -23,3 +23,13 @@ def test_texts_of_one_id_are_marked_apart(spark):
     # a, b, c stand in all three; one of them keeps the run
     assert sorted(t for t, _ in got) == sorted(texts) and sum("a\nb\nc" in kept for _, kept in got) == 1
     assert all(kept.replace("a\nb\nc", "").strip("\n") == t.replace("a\nb\nc", "").strip("\n") for t, kept in got)
+
+
+def test_jaccard_components_of_repeated_rows(spark):
+    words = [f"w{i}" for i in range(120)]
+    apart = [(1, " ".join(words)), (2, " ".join(words[:90] + [f"x{i}" for i in range(30)]))]  # Jaccard 0.57, twice that if counted twice
+    rows = spark.createDataFrame(apart + apart, "doc_id long, text string").repartition(3)
+    assert {(r.doc_id, r.component_id) for r in trie_join.jaccard_components(rows, 4, 85).collect()} == {(1, 1), (2, 2)}
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    once, twice = ({(r.doc_id, r.n_shingles, r.component_id) for r in trie_join.jaccard_components(d, 4, 85).collect()} for d in (docs, docs.union(docs)))
+    assert once == twice
