@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,10 +47,13 @@ class KeyedTable:
     ``moves`` says whether a key's partition may change between batches. Where it never does (a hash of the key, the
     time of a block), an upsert reads the partitions of its batch and nothing else; otherwise it first reads the key
     columns of the whole table to find old versions.
+
+    ``cluster`` names numbers or times by which rows lie together inside a partition, so that a selective read skips row
+    groups; several columns are interleaved, so that each of them helps.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], part: Column, moves: bool = True):
-        self.spark, self.path, self.keys, self.part, self.moves = spark, path, list(keys), part, moves
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], part: Column, moves: bool = True, cluster: Sequence[str] = ()):
+        self.spark, self.path, self.keys, self.part, self.moves, self.cluster = spark, path, list(keys), part, moves, list(cluster)
 
     # ---- reading
 
@@ -184,8 +188,13 @@ class KeyedTable:
         return frozenset(old_parts | new_parts)
 
     def _write(self, rows: DataFrame, mode: str, partitions: str = "dynamic") -> None:
-        """A rebalance spreads a heavy partition over several tasks and files."""
-        writer = rows.hint("rebalance", PART).write.mode(mode).partitionBy(PART)
+        """A rebalance spreads a heavy partition over several tasks and files; rows are sorted inside each."""
+        rows = rows.hint("rebalance", PART)
+        if len(self.cluster) == 1:
+            rows = rows.sortWithinPartitions(PART, *self.cluster)
+        elif self.cluster:
+            rows = interleaved(rows, self.cluster)
+        writer = rows.write.mode(mode).partitionBy(PART)
         writer.option("partitionOverwriteMode", partitions).parquet(self.path)
 
     def _remove(self, parts) -> None:
@@ -194,6 +203,30 @@ class KeyedTable:
             discard(self.spark, f"{self.path}/{PART}={part}")
 
 
+CLUSTER_BITS = 4
+
+
+def _number(rows: DataFrame, column: str) -> Column:
+    timed = dict(rows.dtypes)[column] in ("timestamp_ntz", "timestamp", "date")
+    return (F.unix_micros(F.col(column).cast("timestamp")) if timed else F.col(column)).cast("double")
+
+
+def interleaved(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``rows`` sorted inside each task by a number whose bits come from the columns in turn, so that rows near to each
+    other in all of them lie together.
+
+    Each column counts by its place between quantiles of ``rows``, so that a skewed one divides them evenly, too; nulls
+    come first.
+    """
+    shares = [i / (1 << CLUSTER_BITS) for i in range(1, 1 << CLUSTER_BITS)]
+    cuts = rows.agg(*[F.percentile_approx(_number(rows, c), shares, 1000).alias(c) for c in columns]).first()
+    names = [f"_place_{i}" for i in range(len(columns))]
+    places = [sum((F.coalesce(_number(rows, c) >= cut, F.lit(False)).cast("int") for cut in sorted(set(cuts[c] or []))), F.lit(0)) for c in columns]
+    placed = rows.withColumns(dict(zip(names, places, strict=True)))
+    bits = [F.shiftleft(F.shiftright(n, b).bitwiseAND(1), b * len(names) + i) for i, n in enumerate(names) for b in range(CLUSTER_BITS)]
+    return placed.sortWithinPartitions(PART, reduce(lambda a, b: a.bitwiseOR(b), bits), *columns).drop(*names)
+
+
 def hash_part(buckets: int, *keys: str) -> Column:
     """A partition that depends on the key alone, for tables without a date."""
     return F.pmod(F.xxhash64(*keys), F.lit(buckets))

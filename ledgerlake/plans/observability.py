@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import vlong, vstr, vvar
+from ledgerlake.incremental.models import Fresh, IdRange, Model, ModelSet
 from ledgerlake.operators.flatten import flatten_array
 from ledgerlake.operators.gaps import fill_gaps, sequence_gaps
 from ledgerlake.plans.worklists import FIRST_SERVED_BLOCK
@@ -93,25 +94,57 @@ def blocks_completeness(
     )
 
 
-def landed_transactions(responses: DataFrame, checked: DataFrame, manual: DataFrame | None) -> DataFrame:
-    """Transactions of landed responses under three block numbers: stored, requested and stated by the transaction."""
+NUMBERS = ["block_id", "block_id_requested", "height"]
+
+
+def sent_transactions(responses: DataFrame) -> DataFrame:
+    """Transactions of responses under three block numbers: stored, requested and stated by the transaction."""
     rows = responses.select(
         F.col("block_number").alias("block_id"),
         F.replace(vstr("metadata", "request.params[0]"), F.lit("tx.height="), F.lit(""))
         .try_cast("bigint")
         .alias("block_id_requested"),
-        vvar("data", "result.txs").alias("txs"),
+        vvar("data", "result.txs").alias("txs"), "_inserted_timestamp",
     )
-    flat = flatten_array(rows, F.col("txs"), "tx", "i").select(
-        "block_id", "block_id_requested", vlong("tx", "height").alias("height"), vstr("tx", "hash").alias("tx_id")
+    return flatten_array(rows, F.col("txs"), "tx", "i").select(
+        "block_id", "block_id_requested", vlong("tx", "height").alias("height"), vstr("tx", "hash").alias("tx_id"), "_inserted_timestamp"
     )
+
+
+def landed_model(width: int = 100_000) -> Model:
+    """The state behind the report: each transaction that ever landed, once for each set of numbers, filed under each of
+    them. A run adds what landed since the last one; payloads are never read again."""
+
+    def build(inputs: dict[str, DataFrame], run: Run) -> DataFrame:
+        sent = sent_transactions(inputs["tx_responses"])
+        once = sent.groupBy(*NUMBERS, "tx_id").agg(F.max("_inserted_timestamp").alias("_inserted_timestamp"))
+        numbers = F.array_compact(F.array_distinct(F.array(*NUMBERS)))
+        return once.select("*", F.explode(numbers).alias("near"))
+
+    keys = [*NUMBERS, "tx_id", "near"]
+    return Model("landed_transactions", keys, IdRange("near", width), {"tx_responses": Fresh()}, build, "delete_insert", ())
+
+
+def landed_near(built: ModelSet, checked: DataFrame) -> DataFrame:
+    """Stored transactions with a number inside the span of the blocks under check, read from these partitions alone."""
+    span = checked.agg(F.min("block_id").alias("low"), F.max("block_id").alias("high")).first()
+    part = next(m for m in built.models if m.name == "landed_transactions").part
+    low, high = (span.low, span.high) if span.low is not None else (0, -1)
+    rows = built.table("landed_transactions").read(part.names(low, high))
+    if rows is None:
+        raise ValueError("landed_transactions is not built")
+    return rows.where(F.col("near").between(F.lit(low), F.lit(high))).select(*NUMBERS, "tx_id").distinct()
+
+
+def landed_transactions(sent: DataFrame, checked: DataFrame, manual: DataFrame | None) -> DataFrame:
+    """Transactions of which a block number is under check."""
     times = checked.select(F.col("block_id").alias("id"), F.col("block_timestamp").alias("at"))
 
     def on(df: DataFrame, column: str, out: str) -> DataFrame:
         side = times.select(F.col("id").alias(column), F.col("at").alias(out))
         return df.join(side, column, "left")
 
-    known = on(on(on(flat, "block_id", "t_block"), "block_id_requested", "t_requested"), "height", "t_height")
+    known = on(on(on(sent, "block_id", "t_block"), "block_id_requested", "t_requested"), "height", "t_height")
     kept = known.where(F.coalesce("t_block", "t_requested", "t_height").isNotNull()).select(
         "block_id", "block_id_requested", "height", F.col("t_block").alias("block_timestamp"), "tx_id"
     )
@@ -134,7 +167,7 @@ def counted_transactions(landed: DataFrame) -> DataFrame:
     rules = F.array(
         *[
             F.struct(F.lit(i).alias("rule"), F.col(c).alias("block"))
-            for i, c in enumerate(["block_id", "block_id_requested", "height"])
+            for i, c in enumerate(NUMBERS)
         ]
     )
     rows = landed.select("tx_id", "block_timestamp", F.col("block_id").alias("_stored"), F.inline(rules))
@@ -153,7 +186,7 @@ def compared_transactions(counted: DataFrame, declared: DataFrame) -> DataFrame:
 
 
 def block_counts(
-    responses: DataFrame,
+    landed: DataFrame | ModelSet,
     blocks: DataFrame,
     declared: DataFrame,
     run: Run,
@@ -164,10 +197,12 @@ def block_counts(
 ) -> DataFrame:
     """One row per checked block: its declared transactions against the best of three counts of what landed.
 
-    Responses are bound by the blocks under check, whenever they landed.
+    ``landed`` is the set that holds ``landed_model``, of which only the blocks under check are read, or raw responses.
+    Both are bound by the blocks under check, whenever the responses landed.
     """
     checked = blocks_to_check(blocks, run, log, full).select("block_id", "block_timestamp")
-    counted = counted_transactions(landed_transactions(responses, checked, manual))
+    sent = landed_near(landed, checked) if isinstance(landed, ModelSet) else sent_transactions(landed).drop("_inserted_timestamp")
+    counted = counted_transactions(landed_transactions(sent, checked, manual))
     span = checked.agg(F.min("block_timestamp").alias("lo"), F.max("block_timestamp").alias("hi")).first()
     expected = declared.where(
         F.col("block_timestamp").between(F.lit(span["lo"]), F.lit(span["hi"])) & (F.col("block_id") > first_block)

@@ -21,11 +21,13 @@ PAGE_SIZE = 100
 HEAD_LAG = 500
 
 
+def head_of(status: Column) -> Column:
+    return vlong(status, "result.sync_info.latest_block_height") - HEAD_LAG
+
+
 def chainhead(status: DataFrame) -> DataFrame:
     """The newest block worth asking for, from a node's status response."""
-    return status.select(
-        (vlong("data", "result.sync_info.latest_block_height") - HEAD_LAG).alias("block_id")
-    )
+    return status.select(head_of(F.col("data")).alias("block_id"))
 
 
 def block_universe(spark: SparkSession, head: int) -> DataFrame:

@@ -4,8 +4,9 @@ from ledgerlake.quality.checks import (
     accepted_values, column_types, differs_from, gaps, matches, not_null, recent, report, tx_gaps, unique,
 )
 from ledgerlake.quality.quarantine import quarantined
+from ledgerlake.quality.stored import CheckPlan
 
 __all__ = [
-    "accepted_values", "column_types", "differs_from", "gaps", "matches", "not_null", "quarantined", "recent", "report", "tx_gaps",
+    "CheckPlan", "accepted_values", "column_types", "differs_from", "gaps", "matches", "not_null", "quarantined", "recent", "report", "tx_gaps",
     "unique",
 ]

@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from ledgerlake.operators.dedupe import latest_by
 from ledgerlake.plans import chain_silver
+from ledgerlake.plans import observability
 from workload.chainlike import RUN, Chain
+from workload.model_queries import counted_in_batches
+from workload.table_queries import order_checks
 
 SMALL = entry.SMALL
 ROOT = pathlib.Path(entry.__file__).parent
@@ -26,6 +29,19 @@ def test_latest_reduces_before_the_shuffle(spark):
     assert "WindowGroupLimit" in below and "Partial" in below
 
 
+def test_row_checks_share_one_scan(spark):
+    checks, orders = order_checks(), spark.read.parquet(f"{SMALL}/orders.parquet").withColumn("status", F.col("o_orderstatus"))
+    text = plan(checks.violations(orders))
+    assert len(checks.rows) == 5 and text.count("FileScan") == 1 and "Exchange" not in text
+
+
+def test_reports_read_the_state_of_their_blocks(spark):
+    built = counted_in_batches(spark, SMALL)
+    checked = Chain(spark, SMALL).blocks.where("block_id between 4711600 and 4711700").select("block_id", "block_timestamp")
+    text = plan(observability.landed_near(built, checked))
+    assert "p4711" in text and "p4710" not in text and "p4712" not in text and built.table("landed_transactions").read().count() > 1000
+
+
 def test_event_groups_need_no_shuffle(spark):
     transactions = Chain(spark, SMALL).transactions
     text = plan(chain_silver.msg_attributes_2(chain_silver.msgs_2(transactions, RUN), RUN))

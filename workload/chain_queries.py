@@ -501,6 +501,15 @@ def impacted_transaction_rows(spark, sf):
 # ---------------------------------------------------------------- work-lists
 
 
+@query(f"WITH {O} SELECT day, CAST(max(block) - 500 AS BIGINT) AS block_id FROM (SELECT strftime(day, '%Y-%m-%d') AS day, block FROM days) GROUP BY 1")
+def chain_head(spark, sf):
+    """The newest block worth asking for, from a status answer of each day."""
+    orders = cl.orders(spark, sf).groupBy(F.date_format("o_orderdate", "yyyy-MM-dd").alias("day")).agg(F.max("block").alias("block"))
+    sync = F.struct(F.struct(F.col("block").cast("string").alias("latest_block_height")).alias("sync_info"))
+    status = orders.select("day", F.parse_json(F.to_json(F.struct(sync.alias("result")))).alias("data"))
+    return status.select("day", worklists.head_of(F.col("data")).alias("block_id"))
+
+
 def _urgent(spark, sf):
     """Blocks that have landed, as far as the work-list queries are concerned: days with an urgent order."""
     return cl.orders(spark, sf).where(F.col("priority") == cl.URGENT)

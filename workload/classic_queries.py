@@ -558,19 +558,21 @@ def classic_tax_rate(spark, sf):
 
 
 @query(f"""
-WITH {C} SELECT exchange, CAST(id AS BIGINT) AS block_id, v AS contract_address, n {M6} AS total_share, 'uusd' AS token_0_currency,
-  k {M6} AS token_0_amount, k {M6} AS token_1_amount FROM c, (VALUES ('a'), ('t')) AS e(exchange)
-WHERE kind = 'provide' AND (exchange = 't' OR CAST(id AS BIGINT) >= 5840738)
+WITH {C}, h AS (SELECT *, 5839538 + d AS height FROM c WHERE kind = 'provide')
+SELECT DISTINCT exchange, CAST(height AS BIGINT) AS block_id, id AS contract_address, n {M6} AS total_share, 'uusd' AS token_0_currency,
+  k {M6} AS token_0_amount, k {M6} AS token_1_amount FROM h, (VALUES ('a'), ('t')) AS e(exchange)
+WHERE exchange = 't' OR height >= 5840738
 """)
 def pool_reserves(spark, sf):
+    """Heights lie on both sides of the first block that one of the exchanges counts."""
     fields = F.struct(
         F.when(F.col("created") == 2000, F.col("n")).otherwise("0").alias("total_share"), F.lit("uusd").alias("asset_1"),
         F.col("k").alias("asset_1_value"), F.lit("ukrw").alias("asset_2"), F.col("k").alias("asset_2_value"),
     )
     result = F.to_json(
         F.struct(
-            F.lit("columbus-5").alias("chain_id"), F.col("id").alias("block_id"), F.lit("terra").alias("blockchain"),
-            F.date_format("day", "yyyy-MM-dd HH:mm:ss").alias("block_timestamp"), F.col("v").alias("contract_address"), fields.alias("value_obj"),
+            F.lit("columbus-5").alias("chain_id"), (F.col("d") + 5839538).alias("block_id"), F.lit("terra").alias("blockchain"),
+            F.date_format("day", "yyyy-MM-dd HH:mm:ss").alias("block_timestamp"), F.col("id").alias("contract_address"), fields.alias("value_obj"),
         )
     )
     rows = cl.orders(spark, sf).where(F.col("kind") == "provide")
@@ -629,16 +631,23 @@ def classic_balances(spark, sf):
 
 
 @query(f"""
-WITH {C}, {DAILY}
-SELECT strftime(iv.day, '%Y-%m-%d') AS day, u AS address, lab.name AS address_name, n AS balance, n * avg_price AS balance_usd
-FROM iv LEFT JOIN lab ON u = lab.address LEFT JOIN (SELECT day, avg(price) AS avg_price FROM px WHERE symbol = 'LUNA' GROUP BY 1) p ON p.day = iv.day
+WITH {C}, {DAILY},
+held AS (SELECT u, n, CAST(unnest(generate_series(day, until - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS d FROM iv),
+quotes AS (SELECT symbol, day, avg(price) AS p FROM px GROUP BY 1, 2),
+own AS (SELECT *, CAST(substr(u, 5) AS INTEGER) % 2 = 0 AS contract FROM held),
+known AS (SELECT d, last_value(p IGNORE NULLS) OVER (ORDER BY d ROWS UNBOUNDED PRECEDING) AS p
+  FROM (SELECT DISTINCT d FROM own WHERE contract) LEFT JOIN quotes ON symbol = 'UST' AND day = d)
+SELECT strftime(x.d, '%Y-%m-%d') AS day, u AS address, lab.name AS address_name, lab.project AS address_label, currency, is_native, balance, balance * p AS balance_usd
+FROM (SELECT d, u, 'LUNA' AS currency, true AS is_native, n AS balance, p FROM held LEFT JOIN quotes ON symbol = 'LUNA' AND day = d
+  UNION ALL SELECT own.d, u, 'UST', false, n, p FROM own JOIN known ON own.d = known.d WHERE contract) x LEFT JOIN lab ON u = lab.address
 """)
 def daily_balances_usd(spark, sf):
-    """Daily balances in USD on the days on which a balance changed."""
+    """Balances of every day in USD. Contracts hold a second currency for every other account, whose days without a price
+    take the last one."""
     k = Classic(spark, sf)
-    synthetic = k.daily.where(F.lit(False))
+    even = F.substring("address", F.lit(5), F.length("address")).try_cast("int") % 2 == 0
+    synthetic = k.daily.where(even).withColumns({"currency": F.lit("UST"), "balance_type": F.lit("liquid"), "is_native": F.lit(False)})
     gold = classic_gold.dim_daily_balances(k.daily, synthetic, k.prices, classic_gold.dim_labels(k.all_labels), k.labels)
-    changed = k.balances.select("address", F.to_date("block_timestamp").alias("date")).distinct()
-    return gold.join(changed, ["address", "date"]).select(day("date"), "address", "address_name", "balance", "balance_usd")
+    return gold.select(day("date"), "address", "address_name", "address_label", "currency", "is_native", "balance", "balance_usd")
 
 

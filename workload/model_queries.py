@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.incremental.models import Model, ModelSet
-from ledgerlake.plans import catalogue, chain_bronze, chain_silver, chain_stats, classic_bronze, classic_silver
+from ledgerlake.plans import catalogue, chain_bronze, chain_silver, chain_stats, classic_bronze, classic_silver, observability
 from ledgerlake.run import Run
 from ledgerlake.session import new_folder, settle
 from workload import ORACLES, chainlike, classiclike, query
+from workload.chain_queries import O, _metas
 from workload.chainlike import Chain
 from workload.classic_queries import DAILY, C
 from workload.classiclike import Classic
@@ -148,3 +149,35 @@ def balance_intervals(spark, sf):
         table.apply(changes.where(third == turn), "block_timestamp")
     days = table.daily(datetime(1990, 1, 1).date(), classiclike.RUN.now.date())
     return days.select("address", F.date_format("date", "yyyy-MM-dd").alias("day"), "balance")
+
+
+def counted_in_batches(spark, sf) -> ModelSet:
+    """The stored state of landed transactions after three batches."""
+    sources = {"tx_responses": settle(chainlike.tx_responses(spark, sf), "responses")}
+    return in_batches(spark, [observability.landed_model(1000)], sources, chainlike.RUN)
+
+
+@query(ORACLES["impacted_transaction_rows"])
+def impacted_from_state(spark, sf):
+    """The same report from counts that three batches of responses kept up to date; no payload is read for it."""
+    declared = chain_silver.blockchain(_metas(spark, sf), chainlike.RUN)
+    counts = observability.block_counts(counted_in_batches(spark, sf), Chain(spark, sf).blocks, declared, chainlike.RUN)
+    rows = observability.impacted_transactions(counts, chainlike.RUN)
+    return rows.select("block_id", F.col("diff").cast("int").alias("diff"), "blockchain_num_txs", "bronze_num_txs")
+
+
+@query(f"""
+WITH {O} SELECT block AS block_id, -1 AS diff, n + 1 AS blockchain_num_txs, n AS bronze_num_txs FROM days
+WHERE n % 5 = 0 AND strftime(day, '%Y-%m-%d') || ' 00:00:00.000000' BETWEEN
+  (SELECT min(ts) FROM days WHERE block >= (SELECT max(block) - 40 FROM days)) AND (SELECT max(ts) FROM days)
+""")
+def impacted_since(spark, sf):
+    """A later run checks what the last report flagged or saw in its last hours; it reads the state of these blocks alone."""
+    blocks, declared = Chain(spark, sf).blocks, chain_silver.blockchain(_metas(spark, sf), chainlike.RUN)
+    newest = blocks.agg(F.max("block_id").alias("b"), F.max("block_timestamp").alias("t")).first()
+    log = spark.createDataFrame(
+        [(newest.t, newest.b - 39, chainlike.RUN.now)], "max_block_timestamp timestamp_ntz, first_impacted_block long, test_timestamp timestamp_ntz"
+    )
+    counts = observability.block_counts(counted_in_batches(spark, sf), blocks, declared, chainlike.RUN, log=log)
+    rows = observability.impacted_transactions(counts, chainlike.RUN)
+    return rows.select("block_id", F.col("diff").cast("int").alias("diff"), "blockchain_num_txs", "bronze_num_txs")

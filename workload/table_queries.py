@@ -14,6 +14,7 @@ from ledgerlake.incremental.watermark import from_hour, lookback_days, since_mar
 from ledgerlake.operators.dedupe import latest_by
 from ledgerlake.operators.ordered import time_chunk
 from ledgerlake.plans import chain_silver, observability
+from ledgerlake.quality import CheckPlan, stored
 from ledgerlake.run import Run
 from ledgerlake.session import new_folder
 from ledgerlake.sources import read_responses, read_seed, write_append, write_full
@@ -58,7 +59,7 @@ SELECT o_orderkey, CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN 'second'
 def upsert_merge(spark, sf):
     """A merge that keeps the first insert mark, appends a new column and is run twice (nothing changes)."""
     orders = _orders(spark, sf).select("o_orderkey", "o_orderdate", "o_orderstatus")
-    target = KeyedTable(spark, new_folder(spark, "merge"), ["o_orderkey"], date_part("o_orderdate").substr(1, 4))
+    target = KeyedTable(spark, new_folder(spark, "merge"), ["o_orderkey"], date_part("o_orderdate").substr(1, 4), moves=False)
     mark = lambda df, text: df.withColumns({"inserted": F.lit(text), "modified": F.lit(text)})
     target.merge(mark(orders.where(_before(1999)), "first"), ["inserted"])
     second = mark(orders.where(~_before(1998)), "second").withColumn("extra", F.col("o_orderstatus"))
@@ -84,7 +85,7 @@ SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H') AS hour, count(*) AS n FR
 def upsert_bucket(spark, sf):
     """The key is a whole hour: a run recomputes every hour from the earliest one its new rows touch."""
     events = table(spark, sf, "events")
-    target = KeyedTable(spark, new_folder(spark, "hours"), ["hour"], date_part("hour"))
+    target = KeyedTable(spark, new_folder(spark, "hours"), ["hour"], date_part("hour"), moves=False)
     for end in [*(datetime(2024, 1, 1) + timedelta(days=day, minutes=30) for day in (10, 20)), _after_all(spark, sf)]:
         arrived = events.where(F.col("ts") < F.lit(end))
         first = earliest_touched_hour(arrived.withColumn("_inserted_timestamp", F.col("ts")), target.read(), "ts")
@@ -99,7 +100,7 @@ QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, ev
 def incremental_equals_full(spark, sf):
     """Three incremental runs over a growing source end in the state of one full run."""
     events = table(spark, sf, "events").select("user_id", "event_type", "event_id", F.col("ts").alias("_inserted_timestamp"))
-    target = KeyedTable(spark, new_folder(spark, "latest"), ["user_id", "event_type"], hash_part(8, "user_id"))
+    target = KeyedTable(spark, new_folder(spark, "latest"), ["user_id", "event_type"], hash_part(8, "user_id"), moves=False)
     for end in [*(datetime(2024, 1, 1) + timedelta(days=day) for day in (7, 15)), _after_all(spark, sf)]:
         arrived = events.where(F.col("_inserted_timestamp") < F.lit(end))
         fresh = since_mark(arrived, target.read())
@@ -141,7 +142,7 @@ def soft_deletes(spark, sf):
     rows = customer.select(
         "c_custkey", F.col("c_mktsegment").alias("label"), (F.col("c_acctbal") < 0).alias("_is_deleted")
     )
-    target = KeyedTable(spark, new_folder(spark, "labels"), ["c_custkey"], hash_part(4, "c_custkey"))
+    target = KeyedTable(spark, new_folder(spark, "labels"), ["c_custkey"], hash_part(4, "c_custkey"), moves=False)
     target.merge(rows.withColumn("_is_deleted", F.lit(False)))
     target.merge(rows)
     target.delete_where(F.col("_is_deleted"))
@@ -246,6 +247,59 @@ def quality_report(spark, sf):
     )
 
 
+def order_checks() -> CheckPlan:
+    """Five checks of a row, which share one scan, and two of groups."""
+    late = F.col("o_orderdate") > F.lit(datetime(1998, 1, 1))
+    return CheckPlan(
+        {
+            "priority": ("error", stored.outside("o_orderpriority", ["1-URGENT", "2-HIGH", "3-MEDIUM"])), "pattern": ("warn", stored.unlike("o_orderpriority", "[0-9]-[HLMU]")),
+            "status": ("error", stored.is_null("status")), "late": ("warn", late & (F.col("o_orderstatus") == "F")), "never": ("error", F.col("o_orderkey") < 0),
+        },
+        {
+            "customers": ("warn", lambda df: quality.unique(df, ["o_custkey", "o_orderpriority"])),
+            "days": ("warn", lambda df: quality.gaps(df.select("o_orderkey", "o_orderdate", "o_orderstatus"), "o_orderkey", ["o_orderstatus"], time="o_orderdate", width=1000)),
+        },
+    )
+
+
+def _checked_orders(spark, sf):
+    return table(spark, sf, "orders").withColumn("status", F.nullif("o_orderstatus", F.lit("P")))
+
+
+@query("""
+SELECT 'priority' AS "check", 'error' AS severity, count(*) AS violations FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM')
+UNION ALL SELECT 'pattern', 'warn', count(*) FROM orders WHERE NOT regexp_matches(o_orderpriority, '[0-9]-[HLMU]')
+UNION ALL SELECT 'status', 'error', count(*) FROM orders WHERE o_orderstatus = 'P'
+UNION ALL SELECT 'late', 'warn', count(*) FROM orders WHERE o_orderdate > TIMESTAMP '1998-01-01' AND o_orderstatus = 'F'
+UNION ALL SELECT 'never', 'error', 0
+UNION ALL SELECT 'customers', 'warn', count(*) FROM (SELECT o_custkey FROM orders GROUP BY o_custkey, o_orderpriority HAVING count(*) > 1)
+UNION ALL SELECT 'days', 'warn', count(*) FROM (SELECT o_orderkey - lag(o_orderkey) OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS g FROM orders) WHERE g <> 1
+""")
+def check_plan(spark, sf):
+    """The report of all checks of a table."""
+    return order_checks().run(_checked_orders(spark, sf), new_folder(spark, "violations"))
+
+
+@query("""
+SELECT 'priority' AS "check", o_orderkey, o_orderpriority AS priority FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM')
+UNION ALL SELECT 'pattern', o_orderkey, o_orderpriority FROM orders WHERE NOT regexp_matches(o_orderpriority, '[0-9]-[HLMU]')
+UNION ALL SELECT 'status', o_orderkey, o_orderpriority FROM orders WHERE o_orderstatus = 'P'
+UNION ALL SELECT 'late', o_orderkey, o_orderpriority FROM orders WHERE o_orderdate > TIMESTAMP '1998-01-01' AND o_orderstatus = 'F'
+UNION ALL SELECT 'customers', o_custkey, o_orderpriority FROM orders GROUP BY o_custkey, o_orderpriority HAVING count(*) > 1
+""")
+def stored_violations(spark, sf):
+    """The violating rows of each check, read back from where they were stored; a run replaces those of the run before."""
+    plan, orders, folder = order_checks(), _checked_orders(spark, sf), new_folder(spark, "violations")
+    plan.run(orders.limit(5), folder)
+    plan.run(orders, folder)
+    out = None
+    for name in ("priority", "pattern", "status", "late", "never"):
+        one = plan.stored(spark, folder, name, orders).select(F.lit(name).alias("check"), "o_orderkey", F.col("o_orderpriority").alias("priority"))
+        out = one if out is None else out.unionByName(one)
+    twice = plan.stored(spark, folder, "customers", orders)
+    return out.unionByName(twice.select(F.lit("customers").alias("check"), F.col("o_custkey").alias("o_orderkey"), F.col("o_orderpriority").alias("priority")))
+
+
 # ---------------------------------------------------------------- sources and sinks
 
 
@@ -306,7 +360,7 @@ def _event_files(spark, sf) -> tuple[str, object]:
 def stream_equals_batch(spark, sf):
     """A file stream with keyed upserts; replaying all files under a new checkpoint changes nothing."""
     path, schema = _event_files(spark, sf)
-    target = KeyedTable(spark, new_folder(spark, "streamed"), ["event_id"], date_part("ts"))
+    target = KeyedTable(spark, new_folder(spark, "streamed"), ["event_id"], date_part("ts"), moves=False)
     for _ in range(2):
         source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(path)
         run_available(source, lambda batch: batch, target, new_folder(spark, "checkpoint"))
