@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -11,7 +11,7 @@ from ledgerlake.plans import classic_silver
 from ledgerlake.run import Run
 from ledgerlake.session import new_folder
 from ledgerlake.sources import read_responses, stream_responses
-from ledgerlake.streaming import matched_packets
+from ledgerlake.streaming import ClosedHours, matched_packets
 from workload import query, table
 from workload.chain_queries import O
 from workload.table_queries import response_lines
@@ -110,3 +110,22 @@ def token_contracts(spark, sf):
         F.expr("timestamp_ntz '2021-05-20 00:00:00' + make_dt_interval(p_size)").alias("block_timestamp"), F.parse_json(F.to_json(attributes)).alias("event_attributes"),
     )
     return classic_silver.token_contracts(events, NOW).select("token_contract", "description")
+
+
+@query("""
+SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H') AS hour, count(*) AS n, count(DISTINCT user_id) AS users FROM events
+WHERE ts < date_trunc('hour', (SELECT max(ts) FROM events) - INTERVAL 1 DAY) GROUP BY 1
+""")
+def late_rows_repaired(spark, sf):
+    """Hours that a stream publishes a day after their end; a fifth of the rows comes days later and goes to the repair."""
+    path, mark = new_folder(spark, "arriving"), new_folder(spark, "checkpoint")
+    events = table(spark, sf, "events").select("event_id", "ts", "user_id")
+    by_hour = lambda rows: rows.groupBy("hour").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("user_id").alias("users"))
+    closed = ClosedHours(spark, new_folder(spark, "closed"), ["event_id"], "ts", by_hour, timedelta(days=1))
+    # the second wave holds the newest rows, the last one rows of all days and some that were there before
+    late, early = F.col("event_id") % 5 == 0, F.col("ts") < F.lit(datetime(2024, 1, 12, 5))
+    for wave in (events.where(~late & early), events.where(~late & ~early), events.where(late | (F.col("event_id") % 7 == 0))):
+        wave.write.mode("append").parquet(path)
+        closed.run(spark.readStream.schema(events.schema).parquet(path), mark)
+    closed.repair()
+    return closed.published.read().select(F.date_format("hour", "yyyy-MM-dd HH").alias("hour"), "n", "users")

@@ -7,11 +7,12 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.incremental.distinct import HourlyDistinct
 from ledgerlake.incremental.models import Model, ModelSet
 from ledgerlake.plans import catalogue, chain_bronze, chain_silver, chain_stats, classic_bronze, classic_silver, observability
 from ledgerlake.run import Run
 from ledgerlake.session import new_folder, settle
-from workload import ORACLES, chainlike, classiclike, query
+from workload import ORACLES, chainlike, classiclike, query, table
 from workload.chain_queries import O, _metas
 from workload.chainlike import Chain
 from workload.classic_queries import DAILY, C
@@ -181,3 +182,34 @@ def impacted_since(spark, sf):
     counts = observability.block_counts(counted_in_batches(spark, sf), blocks, declared, chainlike.RUN, log=log)
     rows = observability.impacted_transactions(counts, chainlike.RUN)
     return rows.select("block_id", F.col("diff").cast("int").alias("diff"), "blockchain_num_txs", "bronze_num_txs")
+
+
+@query(f"""
+WITH {O} SELECT strftime(day, '%Y-%m-%d') AS hour, count(DISTINCT o_custkey) AS senders FROM o GROUP BY 1
+""")
+def hourly_senders_from_state(spark, sf):
+    """Senders of each hour from bitmaps, after batches out of order that come twice in part; no hour is computed again."""
+    chain = Chain(spark, sf)
+    paid = settle(chain_stats.paid_transactions(chain.transactions, chain.attributes, chainlike.RUN), "paid")
+    kept = HourlyDistinct(spark, new_folder(spark, "senders"), "block_timestamp", ["tx_from"], part="year")
+    third = F.pmod(F.xxhash64("tx_id"), F.lit(3))
+    for turns in ((1, 2), (0,), (2,)):
+        kept.add(paid.where(third.isin(list(turns))))
+    return kept.counts().select(F.date_format("hour", "yyyy-MM-dd").alias("hour"), F.col("tx_from").alias("senders"))
+
+
+@query("""
+SELECT 'hour' AS unit, strftime(date_trunc('hour', ts), '%Y-%m-%d %H') AS start, count(DISTINCT user_id) AS users, count(DISTINCT event_type) AS kinds,
+  count(DISTINCT event_id) AS events FROM events GROUP BY 2
+UNION ALL
+SELECT 'day', strftime(date_trunc('day', ts), '%Y-%m-%d %H'), count(DISTINCT user_id), count(DISTINCT event_type), count(DISTINCT event_id) FROM events GROUP BY 2
+""")
+def distinct_state(spark, sf):
+    """Exact distinct counts of hours and days from one state, kept up to date by batches in any order."""
+    events = table(spark, sf, "events").select("ts", F.col("user_id").alias("users"), F.col("event_type").alias("kinds"), F.col("event_id").alias("events"))
+    kept = HourlyDistinct(spark, new_folder(spark, "distinct"), "ts", ["users", "kinds", "events"], part="month")
+    late = F.pmod(F.col("events"), F.lit(5)) == 0
+    for batch in (events.where(~late), events.where(late)):
+        kept.add(batch)
+    each = [kept.counts(unit).select(F.lit(unit).alias("unit"), F.date_format(unit, "yyyy-MM-dd HH").alias("start"), "users", "kinds", "events") for unit in ("hour", "day")]
+    return each[0].unionByName(each[1])
