@@ -11,7 +11,7 @@ from ledgerlake.plans import classic_bronze, classic_dex, classic_gold, classic_
 from ledgerlake.plans import classic_lending as lending
 from workload import classiclike as cl
 from workload import query, table
-from workload.classiclike import EVENTS, KINDS, MESSAGES, Classic
+from workload.classiclike import EVENTS, KINDS, MESSAGES, SECOND, SECOND_EVENTS, Classic
 
 M6 = "/ 1000000.0"
 
@@ -25,7 +25,8 @@ def _values(rows: list[tuple]) -> str:
 
 
 TYPES = _values([(k, m[0], m[1]) for k, m in MESSAGES.items()])
-EVENT_ROWS = _values([(k, i, e[0]) for k, events in EVENTS.items() for i, e in enumerate(events)])
+ALL_TYPES = _values([(k, i, m[0], m[1]) for i, sent in enumerate((MESSAGES, SECOND)) for k, m in sent.items()])
+EVENT_ROWS = _values([(k, i, e[0]) for sent in (EVENTS, SECOND_EVENTS) for k, events in sent.items() for i, e in enumerate(events)])
 ACTION_ROWS = _values(
     [
         (kind, name.split("_")[0], a["contract_address"], a["action_log"].get("action") or a["action_log"].get("method"))
@@ -56,7 +57,9 @@ px AS (
   UNION ALL SELECT day, 'terra14z56l0fp2lsf86zy3hty2z47ezkhnthtr9yq76', 'ANC', p / 4, 4.0, 'coinmarketcap' FROM lp
   UNION ALL SELECT day, 'terra1kcthelkax4j9x8d3ny6sdag0qmxxynl3qtcrpy', 'MINE', p / 0.5, 0.5, 'coinmarketcap' FROM lp
   UNION ALL SELECT lp.day, 'tokA', NULL, p / 1.5, 1.5, 'oracle' FROM lp JOIN fd USING (day)
-  UNION ALL SELECT lp.day, 'tokB', NULL, p / 2.5, 2.5, 'oracle' FROM lp JOIN fd USING (day))
+  UNION ALL SELECT lp.day, 'tokB', NULL, p / 2.5, 2.5, 'oracle' FROM lp JOIN fd USING (day)
+  UNION ALL SELECT lp.day, '{classic_dex.EIGHT_DECIMAL_SWAP_TOKEN}', NULL, p / 3, 3.0, 'oracle' FROM lp JOIN fd USING (day)),
+made AS (SELECT DISTINCT k FROM c WHERE kind = 'astro_pair')
 """
 
 
@@ -73,7 +76,7 @@ MARKET_NAME = f"(SELECT name FROM lab WHERE address = '{lending.MARKET}')"
 
 @query(f"""
 WITH {C} SELECT hash AS tx_id, d AS block_id, {DAY_SQL}, chain AS chain_id, ok, module AS msg_module, type AS msg_type, 'terra' AS blockchain,
-  CAST(0 AS BIGINT) AS msg_index FROM c JOIN types USING (kind)
+  CAST(i AS BIGINT) AS msg_index FROM c JOIN (VALUES {ALL_TYPES}) AS sent(kind, i, module, type) USING (kind)
 """)
 def classic_messages(spark, sf):
     gold = classic_gold.fact_messages(Classic(spark, sf).msgs)
@@ -94,7 +97,8 @@ def classic_message_events(spark, sf):
 
 @query(f"""
 WITH {C}, a(kind, i, contract, method) AS (VALUES {ACTION_ROWS})
-SELECT hash AS tx_id, CAST(i AS BIGINT) AS action_index, contract AS action_contract_address, method AS action_method, lab.name AS contract_label
+SELECT hash AS tx_id, CAST(i AS BIGINT) AS action_index, replace(contract, '<k>', CAST(CAST(k AS BIGINT) AS VARCHAR)) AS action_contract_address,
+  method AS action_method, lab.name AS contract_label
 FROM c JOIN a USING (kind) LEFT JOIN lab ON contract = lab.address
 """)
 def classic_event_actions(spark, sf):
@@ -320,23 +324,40 @@ POOL_SWAP_COLUMNS = [
 ]
 
 
-@query(f"WITH {C} {POOL_SWAPS}")
+# Swaps of a token with eight decimals at pools that may be the other factory's; one table scales it by 10^8, the other by 10^6.
+ASTRO_SWAPS = f"""
+SELECT hash AS tx_id, CAST(0 AS BIGINT) AS tx_index, u AS sender, n / <unit> AS offer_amount, n / <unit> * odd.price * <scale> AS offer_amount_usd,
+  '{classic_dex.EIGHT_DECIMAL_SWAP_TOKEN}' AS offer_currency, k {M6} AS return_amount, k {M6} * us.price AS return_amount_usd, 'uusd' AS return_currency,
+  'astro' || CAST(k AS BIGINT) AS pool_address, CAST(NULL AS VARCHAR) AS pool_name
+FROM c LEFT JOIN px us ON c.day = us.day AND us.currency = 'uusd'
+LEFT JOIN px odd ON c.day = odd.day AND odd.currency = '{classic_dex.EIGHT_DECIMAL_SWAP_TOKEN}' WHERE kind = 'astro_swap'
+"""
+
+
+def _scaled(unit: str, scale: str) -> str:
+    return ASTRO_SWAPS.replace("<unit>", unit).replace("<scale>", scale)
+
+
+@query(f"WITH {C} {_scaled('1e8', '100')}")
 def astroport_swaps(spark, sf):
     k = Classic(spark, sf)
     return classic_dex.ez_astroport_swaps(k.actions, k.msgs, k.hourly, k.labels, k.dex).select(*POOL_SWAP_COLUMNS)
 
 
-@query(f"WITH {C} {POOL_SWAPS}")
+@query(f"WITH {C} {POOL_SWAPS} UNION ALL {_scaled('1e6', '1')} AND k NOT IN (SELECT k FROM made)")
 def terraswap_swaps(spark, sf):
+    """Swaps at pools that the other factory made are left out."""
     k = Classic(spark, sf)
     return classic_dex.ez_terraswap_swaps(k.actions, k.msgs, k.events, k.hourly, k.labels, k.dex).select(*POOL_SWAP_COLUMNS)
 
 
 @query(f"""
-WITH {C} SELECT hash AS tx_id, 'provide_liquidity' AS event_type, u AS sender, n {M6} AS token_0_amount, n {M6} * us.price AS token_0_amount_usd,
+WITH {C} SELECT hash AS tx_id, CASE kind WHEN 'withdraw_lp' THEN 'withdraw_liquidity' ELSE 'provide_liquidity' END AS event_type, u AS sender, n {M6} AS token_0_amount, n {M6} * us.price AS token_0_amount_usd,
   'uusd' AS token_0_currency, k {M6} AS token_1_amount, k {M6} * kr.price AS token_1_amount_usd, 'ukrw' AS token_1_currency,
-  'pool1' AS pool_address, CAST(id AS DOUBLE) {M6} AS lp_share_amount, 'lp1' AS lp_pool_address
-FROM c LEFT JOIN px us ON c.day = us.day AND us.currency = 'uusd' LEFT JOIN px kr ON c.day = kr.day AND kr.currency = 'ukrw' WHERE kind = 'provide'
+  CASE kind WHEN 'astro_provide' THEN 'astro' || CAST(k AS BIGINT) ELSE 'pool1' END AS pool_address, CAST(id AS DOUBLE) {M6} AS lp_share_amount,
+  CASE kind WHEN 'astro_provide' THEN 'lp2' ELSE 'lp1' END AS lp_pool_address
+FROM c LEFT JOIN px us ON c.day = us.day AND us.currency = 'uusd' LEFT JOIN px kr ON c.day = kr.day AND kr.currency = 'ukrw'
+WHERE kind IN ('provide', 'withdraw_lp') OR (kind = 'astro_provide' AND k NOT IN (SELECT k FROM made))
 """)
 def terraswap_lp_actions(spark, sf):
     k = Classic(spark, sf)
@@ -347,8 +368,9 @@ def terraswap_lp_actions(spark, sf):
 
 
 @query(f"""
-WITH {C} SELECT hash AS tx_id, 'stake_lp' AS event_type, u AS sender, n {M6} AS amount, 'tokLP' AS contract_address, CAST(NULL AS VARCHAR) AS contract_label
-FROM c WHERE kind = 'stake_lp' OR (kind = 'auto_stake' AND ok)
+WITH {C} SELECT hash AS tx_id, CASE WHEN kind IN ('unstake_lp', 'zap_out') THEN 'unstake_lp' ELSE 'stake_lp' END AS event_type,
+  CASE kind WHEN 'unstake_lp' THEN v ELSE u END AS sender, n {M6} AS amount, 'tokLP' AS contract_address, CAST(NULL AS VARCHAR) AS contract_label
+FROM c WHERE kind IN ('stake_lp', 'unstake_lp') OR (kind IN ('auto_stake', 'reinvest', 'zap_out', 'zap_in') AND ok)
 """)
 def terraswap_lp_stake(spark, sf):
     k = Classic(spark, sf)
@@ -396,12 +418,13 @@ def lending_burns(spark, sf):
 
 
 @query(f"""
-WITH {C} SELECT hash AS tx_id, u AS sender, n {M6} AS deposit_amount, n {M6} * price AS deposit_amount_usd, 'uusd' AS deposit_currency,
-  k {M6} AS mint_amount, '{lending.DEPOSIT_TOKEN}' AS mint_currency, {MARKET_NAME} AS contract_label, 'Terra' AS source
-FROM c LEFT JOIN px ON c.day = px.day AND px.currency = 'uusd' WHERE kind = 'deposit'
+WITH {C} SELECT hash AS tx_id, CASE kind WHEN 'deposit' THEN u ELSE v END AS sender, n {M6} AS deposit_amount, n {M6} * price AS deposit_amount_usd, 'uusd' AS deposit_currency,
+  k {M6} AS mint_amount, '{lending.DEPOSIT_TOKEN}' AS mint_currency, {MARKET_NAME} AS contract_label,
+  CASE kind WHEN 'deposit' THEN 'Terra' ELSE 'Wormhole' END AS source
+FROM c LEFT JOIN px ON c.day = px.day AND px.currency = 'uusd' WHERE kind IN ('deposit', 'bridge_deposit')
 """)
 def lending_deposits(spark, sf):
-    """A deposit is seen by message and by action; both ways give the same row, which is kept once."""
+    """A deposit is seen by message and by action; both ways give the same row, which is kept once. Bridged ones have actions only."""
     k = Classic(spark, sf)
     return lending.ez_anchor_deposits(k.msgs, k.events, k.actions, k.hourly, k.labels).select(
         "tx_id", "sender", "deposit_amount", "deposit_amount_usd", "deposit_currency", "mint_amount", "mint_currency",
@@ -410,19 +433,22 @@ def lending_deposits(spark, sf):
 
 
 @query(f"""
-WITH {C} SELECT hash AS tx_id, u AS sender, n {M6} AS amount, '{lending.DEPOSIT_TOKEN}' AS currency, '{lending.MARKET}' AS contract_address,
-  {MARKET_NAME} AS contract_label FROM c WHERE kind = 'redeem' AND ok
+WITH {C} SELECT hash AS tx_id, CASE kind WHEN 'bridge_redeem' THEN v ELSE u END AS sender, n {M6} AS amount, '{lending.DEPOSIT_TOKEN}' AS currency,
+  '{lending.MARKET}' AS contract_address, {MARKET_NAME} AS contract_label, CASE kind WHEN 'bridge_redeem' THEN 'Wormhole' ELSE 'Terra' END AS source
+FROM c WHERE (kind = 'redeem' AND ok) OR kind IN ('bridge_redeem', 'vault_redeem')
 """)
 def lending_redeem(spark, sf):
+    """Redemptions by event, through the bridge, and through a contract that only leaves actions."""
     k = Classic(spark, sf)
     return lending.ez_anchor_redeem(k.msgs, k.events, k.actions, k.hourly, k.labels).select(
-        "tx_id", "sender", "amount", "currency", "contract_address", "contract_label"
+        "tx_id", "sender", "amount", "currency", "contract_address", "contract_label", "source"
     )
 
 
 @query(f"""
-WITH {C} SELECT hash AS tx_id, u AS sender, n {M6} AS amount, n {M6} * price AS amount_usd, 'uusd' AS currency, {MARKET_NAME} AS contract_label, 'Terra' AS source
-FROM c LEFT JOIN px ON c.day = px.day AND px.currency = 'uusd' WHERE kind = 'borrow'
+WITH {C} SELECT hash AS tx_id, CASE kind WHEN 'borrow' THEN u ELSE v END AS sender, n {M6} AS amount, n {M6} * price AS amount_usd, 'uusd' AS currency,
+  {MARKET_NAME} AS contract_label, CASE kind WHEN 'borrow' THEN 'Terra' ELSE 'Wormhole' END AS source
+FROM c LEFT JOIN px ON c.day = px.day AND px.currency = 'uusd' WHERE kind IN ('borrow', 'bridge_borrow')
 """)
 def lending_borrows(spark, sf):
     k = Classic(spark, sf)
@@ -432,8 +458,9 @@ def lending_borrows(spark, sf):
 
 
 @query(f"""
-WITH {C} SELECT hash AS tx_id, u AS sender, u AS borrower, n {M6} AS amount, n {M6} * price AS amount_usd, 'uusd' AS currency, 'Terra' AS source
-FROM c LEFT JOIN px ON c.day = px.day AND px.currency = 'uusd' WHERE kind = 'repay'
+WITH {C} SELECT hash AS tx_id, u AS sender, CASE kind WHEN 'repay' THEN u ELSE 'custody' END AS borrower, n {M6} AS amount, n {M6} * price AS amount_usd,
+  'uusd' AS currency, CASE kind WHEN 'repay' THEN 'Terra' ELSE 'Wormhole' END AS source
+FROM c LEFT JOIN px ON c.day = px.day AND px.currency = 'uusd' WHERE kind IN ('repay', 'bridge_repay')
 """)
 def lending_repay(spark, sf):
     k = Classic(spark, sf)
@@ -443,13 +470,17 @@ def lending_repay(spark, sf):
 
 
 @query(f"""
-WITH {C} SELECT hash AS tx_id, 'withdraw' AS event_type, u AS sender, n {M6} AS amount, n {M6} * price AS amount_usd, 'tokA' AS currency,
-  '{lending.MARKET}' AS contract_address FROM c LEFT JOIN px ON c.day = px.day AND px.currency = 'tokA' WHERE kind = 'collateral' AND ok
+WITH {C} SELECT hash AS tx_id, CASE kind WHEN 'collateral' THEN 'withdraw' ELSE 'provide' END AS event_type, u AS sender, n {M6} AS amount, n {M6} * price AS amount_usd,
+  'tokA' AS currency, CASE kind WHEN 'collateral' THEN '{lending.MARKET}' ELSE '{lending.COLLATERAL_CONTRACTS[0]}' END AS contract_address, 'Terra' AS source
+  FROM c LEFT JOIN px ON c.day = px.day AND px.currency = 'tokA' WHERE kind IN ('collateral', 'collateral_in') AND ok
+UNION ALL SELECT hash, 'provide', u, n / 1e8, NULL, '{lending.EIGHT_DECIMAL_COLLATERAL}', 'custody', 'Wormhole' FROM c WHERE kind = 'bridge_collateral' AND ok
+UNION ALL SELECT hash, 'withdraw', v, k / 1e8, NULL, '{lending.EIGHT_DECIMAL_COLLATERAL}', 'custody', 'Wormhole' FROM c WHERE kind = 'bridge_collateral' AND ok
 """)
 def lending_collateral(spark, sf):
+    """Collateral withdrawn by one message, provided by two, and moved through the bridge in a token with eight decimals."""
     k = Classic(spark, sf)
     return lending.ez_anchor_collateral(k.msgs, k.events, k.actions, k.hourly, k.labels).select(
-        "tx_id", "event_type", "sender", "amount", "amount_usd", "currency", "contract_address"
+        "tx_id", "event_type", "sender", "amount", "amount_usd", "currency", "contract_address", "source"
     )
 
 
@@ -498,11 +529,12 @@ def lending_votes(spark, sf):
 
 
 @query(f"""
-WITH {C} SELECT hash AS tx_id, u AS sender, CASE kind WHEN 'rewards' THEN 0 ELSE n {M6} END AS claim_0_amount,
-  CASE kind WHEN 'rewards' THEN n {M6} ELSE 0 END AS claim_1_amount, CASE kind WHEN 'rewards' THEN n {M6} * 4 ELSE 0 END AS claim_1_amount_usd,
-  {MARKET_NAME} AS claim_1_contract_label FROM c WHERE kind IN ('rewards', 'lp_rewards') AND ok
+WITH {C} SELECT hash AS tx_id, u AS sender, CASE kind WHEN 'rewards' THEN 0 WHEN 'lp_rewards' THEN n {M6} ELSE k {M6} END AS claim_0_amount,
+  CASE kind WHEN 'lp_rewards' THEN 0 ELSE n {M6} END AS claim_1_amount, CASE kind WHEN 'lp_rewards' THEN 0 ELSE n {M6} * 4 END AS claim_1_amount_usd,
+  {MARKET_NAME} AS claim_1_contract_label FROM c WHERE kind IN ('rewards', 'lp_rewards', 'multi_claim') AND ok
 """)
 def lending_reward_claims(spark, sf):
+    """Rewards of borrowers, of the pool, and of both by two messages of one transaction."""
     k = Classic(spark, sf)
     return lending.ez_anchor_reward_claims(k.msgs, k.events, k.hourly, k.labels).select(
         "tx_id", "sender", "claim_0_amount", "claim_1_amount", "claim_1_amount_usd", "claim_1_contract_label"

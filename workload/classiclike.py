@@ -1,6 +1,6 @@
 """Sink-log records of the predecessor chain made from the orders table by Spark, row by row.
 
-An order is a transaction with one message; the order key decides which kind. Payloads are JSON templates with a few
+An order is a transaction with one message, or two of some kinds; the order key decides which kind. Payloads are JSON templates with a few
 fields filled in. Every record also arrives as a re-org copy one block earlier and as an older copy; both are empty
 and must vanish.
 """
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.enrich import hourly_prices, published_labels
-from ledgerlake.plans import classic_bronze, classic_prices, classic_silver
+from ledgerlake.plans import classic_bronze, classic_dex, classic_prices, classic_silver
 from ledgerlake.plans import classic_lending as lending
 from ledgerlake.plans.classic_silver import WORMHOLE
 from ledgerlake.run import Run
@@ -36,6 +36,7 @@ def _coins(denom: str, amount: str = "<n>") -> str:
 
 WASM = ("wasm", "wasm/MsgExecuteContract")
 USD_COINS = ',"coins":' + _coins("uusd")
+_BRIDGED = '{"process_anchor_message":{"option_token_info":"x"}}'
 
 # kind -> (module, message type, message value)
 MESSAGES: dict[str, tuple[str, str, str]] = {
@@ -88,11 +89,41 @@ MESSAGES: dict[str, tuple[str, str, str]] = {
     "lp_rewards": (*WASM, _call(lending.LP_REWARDS, '{"withdraw":{}}')),
     "instantiate": ("wasm", "wasm/MsgInstantiateContract", '{"init_msg":{"decimals":6,"name":"N<id>","symbol":"S<id>"}}'),
     "pair": (*WASM, _call("factory", '{"create_pair":{}}')),
-    "feed": (*WASM, _call("feeder", '{"feed_price":{"prices":[["tokA","1.5"],["tokB","2.5"]]}}')),
+    "feed": (*WASM, _call("feeder", '{"feed_price":{"prices":[["tokA","1.5"],["tokB","2.5"],["' + classic_dex.EIGHT_DECIMAL_SWAP_TOKEN + '","3"]]}}')),
     "auto_stake": (*WASM, _call("farm", '{"auto_stake":{}}')),
+    "astro_pair": (*WASM, _call(classic_dex.ASTRO_FACTORY, '{"create_pair":{}}')),
+    "astro_swap": (*WASM, _call("astro<k>", '{"swap":{}}')),
+    "astro_provide": (*WASM, _call("astro<k>", '{"provide_liquidity":{}}')),
+    "withdraw_lp": (*WASM, _call("lp1", '{"send":{"contract":"pool1","amount":"<id>"}}')),
+    "unstake_lp": (*WASM, _call("farm", '{"unbond":{}}')),
+    "reinvest": (*WASM, _call(classic_dex.MIRROR_FARM, '{"re_invest":{"asset_token":"tokA"}}')),
+    "zap_out": (*WASM, _call(classic_dex.STRATEGY_CONTRACTS[0], '{"zap_out_of_strategy":{"strategy_id":"1","amount":"<n>"}}')),
+    "zap_in": (*WASM, _call(classic_dex.STRATEGY_CONTRACTS[1], '{"zap_into_strategy":{"strategy_id":"2"}}')),
+    "bridge_deposit": (*WASM, _call("bridge", _BRIDGED)),
+    "bridge_borrow": (*WASM, _call("bridge", _BRIDGED)),
+    "bridge_redeem": (*WASM, _call("bridge", _BRIDGED)),
+    "vault_redeem": (*WASM, _call("vault", '{"exit":{}}')),
+    "bridge_repay": (*WASM, _call("bridge", _BRIDGED)),
+    "bridge_collateral": (*WASM, _call("bridge", _BRIDGED)),
+    "collateral_in": (*WASM, _call("tokA", '{"send":{"contract":"' + lending.COLLATERAL_CONTRACTS[0] + '","amount":"<n>"}}')),
+    "multi_claim": (*WASM, _call(lending.LP_REWARDS, '{"withdraw":{}}')),
+}
+# the second message of the kinds that have two
+SECOND: dict[str, tuple[str, str, str]] = {
+    "collateral_in": (*WASM, _call("overseer", '{"lock_collateral":{}}')),
+    "multi_claim": (*WASM, _call(lending.MARKET, '{"claim_rewards":{}}')),
 }
 KINDS = list(MESSAGES)
 
+
+def _redeemed(holder: str) -> str:
+    """Actions of a redemption whose deposit tokens ``holder`` sent to the market."""
+    return (
+        '{"0_a":{"contract_address":"' + lending.DEPOSIT_TOKEN + '","action_log":{"action":"send","from":"' + holder + '","to":"' + lending.MARKET + '"}},'
+        '"1_a":{"contract_address":"' + lending.MARKET + '","action_log":{"action":"redeem_stable","redeem_amount":"<n>"}}}'
+    )
+
+
 _TO = '"0_sender":"<u>","0_recipient":"<v>","0_amount":'
 # kind -> events as (type, attributes, actions)
 EVENTS: dict[str, list[tuple[str, str, str]]] = {
@@ -130,7 +161,7 @@ EVENTS: dict[str, list[tuple[str, str, str]]] = {
         (
             "wasm", "{}",
             '{"2_a":{"contract_address":"pool1","action_log":{"action":"swap","sender":"x","offer_asset":"uusd","offer_amount":"<n>",'
-            '"ask_asset":"ukrw","return_amount":"<k>","maker_fee_amount":"1"}}}',
+            '"ask_asset":"ukrw","return_amount":"<k>"}}}',
         ),
     ],
     "provide": [
@@ -161,6 +192,58 @@ EVENTS: dict[str, list[tuple[str, str, str]]] = {
         ),
     ],
     "auto_stake": [("from_contract", '{"0_action":"auto_stake","5_action":"mint","5_contract_address":"tokLP","share":"<n>"}', "")],
+    "astro_pair": [("from_contract", '{"pair_contract_addr":"astro<k>"}', "")],
+    "astro_swap": [
+        (
+            "wasm", "{}",
+            '{"0_a":{"contract_address":"astro<k>","action_log":{"action":"swap","sender":"x","offer_asset":"' + classic_dex.EIGHT_DECIMAL_SWAP_TOKEN
+            + '","offer_amount":"<n>","ask_asset":"uusd","return_amount":"<k>","maker_fee_amount":"1"}}}',
+        ),
+    ],
+    "astro_provide": [
+        (
+            "wasm", "{}",
+            '{"0_a":{"contract_address":"astro<k>","action_log":{"action":"provide_liquidity","sender":"<u>","assets":"<n>uusd, <k>ukrw","share":"<id>"}},'
+            '"1_a":{"contract_address":"lp2","action_log":{"action":"mint","amount":"<id>"}}}',
+        ),
+    ],
+    "withdraw_lp": [
+        (
+            "wasm", "{}",
+            '{"0_a":{"contract_address":"pool1","action_log":{"action":"withdraw_liquidity","refund_assets":"<n>uusd, <k>ukrw","withdrawn_share":"<id>"}},'
+            '"1_a":{"contract_address":"lp1","action_log":{"action":"burn","amount":"<id>"}}}',
+        ),
+    ],
+    "unstake_lp": [
+        ("wasm", "{}", '{"0_a":{"contract_address":"farm","action_log":{"action":"unbond","staker_addr":"<v>","amount":"<n>","asset_token":"tokLP"}}}'),
+    ],
+    "reinvest": [("from_contract", '{"share":"<n>","staking_token":"tokLP"}', "")],
+    "zap_out": [("from_contract", '{"staking_token":"tokLP"}', "")],
+    "zap_in": [("from_contract", '{"share":"<n>","lp_token":"tokLP"}', "")],
+    "bridge_deposit": [
+        (
+            "wasm", "{}",
+            '{"0_a":{"contract_address":"' + lending.MARKET + '","action_log":{"action":"deposit_stable","depositor":"<v>","deposit_amount":"<n>","mint_amount":"<k>"}},'
+            '"1_a":{"contract_address":"' + lending.DEPOSIT_TOKEN + '","action_log":{"action":"mint","to":"<v>","amount":"<k>"}}}',
+        ),
+    ],
+    "bridge_borrow": [("wasm", "{}", '{"0_a":{"contract_address":"' + lending.MARKET + '","action_log":{"action":"borrow_stable","borrower":"<v>","borrow_amount":"<n>"}}}')],
+    "bridge_redeem": [("wasm", "{}", _redeemed("<v>"))],
+    "vault_redeem": [("wasm", "{}", _redeemed("vault"))],
+    "bridge_repay": [("wasm", "{}", '{"0_a":{"contract_address":"custody","action_log":{"action":"repay_stable","withdraw_amount_ust":"<n>"}}}')],
+    "bridge_collateral": [
+        (
+            "from_contract", '{"collaterals":[{"denom":"' + lending.EIGHT_DECIMAL_COLLATERAL + '","amount":"<n>"}]}',
+            '{"0_a":{"contract_address":"custody","action_log":{"action":"lock_collateral","borrower":"<u>","amount":"<n>"}},'
+            '"1_a":{"contract_address":"overseer","action_log":{"action":"lock_collateral","borrower":"<u>"}},'
+            '"2_a":{"contract_address":"custody","action_log":{"action":"withdraw_collateral","borrower":"<v>","amount":"<k>"}}}',
+        ),
+    ],
+    "multi_claim": [("from_contract", '{"0_action":"withdraw","0_amount":"<k>","1_contract_address":"' + lending.GOVERNANCE_TOKEN + '"}', "")],
+}
+SECOND_EVENTS = {
+    "collateral_in": [("wasm", "{}", "")],
+    "multi_claim": [("from_contract", '{"0_action":"claim_rewards","claim_amount":"<n>","2_contract_address":"' + lending.GOVERNANCE_TOKEN + '"}', "")],
 }
 
 
@@ -210,7 +293,7 @@ def _result(*fields: Column) -> Column:
             F.lit("terra").alias("blockchain"), F.col("block").alias("block_id"),
             F.date_format("day", "yyyy-MM-dd HH:mm:ss").alias("block_timestamp"), F.col("chain").alias("chain_id"),
             F.col("hash").alias("txhash"), F.col("status").alias("tx_status"), F.lit("m").alias("tx_module"),
-            F.lit("t").alias("tx_type"), F.lit(0).alias("msg_index"), F.col("module").alias("msg_module"),
+            F.lit("t").alias("tx_type"), "msg_index", F.col("module").alias("msg_module"),
             F.col("type").alias("msg_type"), *[f for f in fields],
         )
     )
@@ -228,22 +311,33 @@ def _record(model: str, result: Column) -> list[Column]:
 
 
 def message_log(spark, sf) -> DataFrame:
-    rows = _copies(orders(spark, sf)).withColumns(
-        {"module": _lookup({k: m[0] for k, m in MESSAGES.items()}), "type": _lookup({k: m[1] for k, m in MESSAGES.items()})}
-    )
-    value = _payload(_filled(_lookup({k: m[2] for k, m in MESSAGES.items()})))
-    result = F.concat(_result(), F.lit(',"msg_value":'), value, F.lit("}"))
-    return rows.select(*_record("terra-5_msg_model", result))
+    return _messages(spark, sf, MESSAGES, 0).unionByName(_messages(spark, sf, SECOND, 1))
 
 
 def event_log(spark, sf) -> DataFrame:
-    most = max(len(e) for e in EVENTS.values())
-    rows = _copies(orders(spark, sf)).withColumns(
-        {"module": _lookup({k: m[0] for k, m in MESSAGES.items()}), "type": _lookup({k: m[1] for k, m in MESSAGES.items()})}
+    return _events(spark, sf, MESSAGES, EVENTS, 0).unionByName(_events(spark, sf, SECOND, SECOND_EVENTS, 1))
+
+
+def _sent(spark, sf, messages: dict, index: int) -> DataFrame:
+    """Records of the messages with this index, without their payload."""
+    rows = _copies(orders(spark, sf).where(F.col("kind").isin(list(messages))))
+    return rows.withColumns(
+        {"module": _lookup({k: m[0] for k, m in messages.items()}), "type": _lookup({k: m[1] for k, m in messages.items()}), "msg_index": F.lit(index)}
     )
+
+
+def _messages(spark, sf, messages: dict, index: int) -> DataFrame:
+    value = _payload(_filled(_lookup({k: m[2] for k, m in messages.items()})))
+    result = F.concat(_result(), F.lit(',"msg_value":'), value, F.lit("}"))
+    return _sent(spark, sf, messages, index).select(*_record("terra-5_msg_model", result))
+
+
+def _events(spark, sf, messages: dict, events: dict, index: int) -> DataFrame:
+    most = max(len(e) for e in events.values())
+    rows = _sent(spark, sf, messages, index)
     slots = []
     for i in range(most):
-        own = {k: e[i] for k, e in EVENTS.items() if len(e) > i}
+        own = {k: e[i] for k, e in events.items() if len(e) > i}
         slots.append(
             F.struct(
                 F.lit(i).alias("i"), _lookup({k: e[0] for k, e in own.items()}).alias("event"),
