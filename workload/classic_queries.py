@@ -382,10 +382,14 @@ def terraswap_lp_stake(spark, sf):
 @query(f"""
 WITH {C} SELECT hash AS tx_id, 'terra1c' || id AS contract_address, CAST(6 AS BIGINT) AS decimals, 'N' || id AS contract_name, 'S' || id AS symbol
 FROM c WHERE kind = 'instantiate'
+UNION ALL SELECT hash, 'terra1a' || id, 8, 'Name a' || id, 'a' || id FROM c WHERE kind = 'set_up'
+UNION ALL SELECT hash, 'terra1b' || id, NULL, NULL, NULL FROM c WHERE kind = 'set_up'
+UNION ALL SELECT hash, 'terra1' || kind[1] || id, 8, 'Name ' || kind[1] || id, kind[1] || id FROM c WHERE kind IN ('whitelist', 'relist')
 UNION ALL SELECT hash, 'pool' || id, NULL, lab.project || ' LP pool', NULL FROM c JOIN lab ON lab.address = 'user5' WHERE kind = 'pair'
 UNION ALL SELECT hash, 'lp' || id, 6, lab.project || ' LP token', NULL FROM c JOIN lab ON lab.address = 'user5' WHERE kind = 'pair'
 """)
 def contract_dimension(spark, sf):
+    """Contracts from instantiation, from set-ups of several contracts, from whitelists with details of the endpoint, and pools."""
     k = Classic(spark, sf)
     return classic_gold.dim_contract_metadata(k.metadata, k.dex).select(
         "tx_id", "contract_address", F.col("decimals").cast("bigint").alias("decimals"), "contract_name", "symbol"

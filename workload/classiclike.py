@@ -107,6 +107,9 @@ MESSAGES: dict[str, tuple[str, str, str]] = {
     "bridge_collateral": (*WASM, _call("bridge", _BRIDGED)),
     "collateral_in": (*WASM, _call("tokA", '{"send":{"contract":"' + lending.COLLATERAL_CONTRACTS[0] + '","amount":"<n>"}}')),
     "multi_claim": (*WASM, _call(lending.LP_REWARDS, '{"withdraw":{}}')),
+    "set_up": (*WASM, _call("council", '{"execute":{"proposal_id":"<id>"}}')),
+    "whitelist": (*WASM, _call(classic_silver.MIRROR_FACTORY, '{"whitelist":{}}')),
+    "relist": (*WASM, _call("council", '{"execute_poll":{"poll_id":"<id>"}}')),
 }
 # the second message of the kinds that have two
 SECOND: dict[str, tuple[str, str, str]] = {
@@ -239,6 +242,9 @@ EVENTS: dict[str, list[tuple[str, str, str]]] = {
             '"2_a":{"contract_address":"custody","action_log":{"action":"withdraw_collateral","borrower":"<v>","amount":"<k>"}}}',
         ),
     ],
+    "set_up": [("instantiate_contract", '{"0_contract_address":"terra1a<id>","1_contract_address":"terra1b<id>","0_code_id":"7"}', "")],
+    "whitelist": [("from_contract", '{"0_asset_token":"terra1w<id>"}', "")],
+    "relist": [("from_contract", '{"1_action":"whitelist","1_contract_address":"' + classic_silver.MIRROR_FACTORY + '","1_asset_token":"terra1r<id>"}', "")],
     "multi_claim": [("from_contract", '{"0_action":"withdraw","0_amount":"<k>","1_contract_address":"' + lending.GOVERNANCE_TOKEN + '"}', "")],
 }
 SECOND_EVENTS = {
@@ -497,6 +503,18 @@ def transaction_log(spark, sf) -> DataFrame:
     return small_log(spark, sf, "terra_tx_model", result, orders(spark, sf), ',"run_id":"v2022.03.02.0"')
 
 
+def contract_details(spark, sf) -> DataFrame:
+    """Details of contracts from the endpoint: of one contract of each set-up, of listed assets, and others under the names of known ones."""
+    first = F.element_at(F.create_map(*[F.lit(x) for x in ("set_up", "a", "whitelist", "w", "relist", "r", "instantiate", "c")]), F.col("kind"))
+    rows = orders(spark, sf).where(F.col("kind").isin("set_up", "whitelist", "relist", "instantiate")).withColumn("first", first)
+    details = F.struct(F.lit(8).alias("decimals"), F.concat(F.lit("Name "), "first", "id").alias("name"), F.concat("first", "id").alias("symbol"))
+    own = rows.select(F.concat(F.lit("terra1"), "first", "id").alias("address"), F.parse_json(F.to_json(details)).alias("init_msg"))
+    other = rows.where(F.col("kind") == "whitelist").select(
+        F.lit(classic_silver.DECODED_ELSEWHERE[0]).alias("address"), F.parse_json(F.lit('{"name":"known elsewhere"}')).alias("init_msg")
+    )
+    return own.unionByName(other)
+
+
 class _Classic(Stage):
     """Silver tables of the derived log; a table that a query reads several times is written once."""
 
@@ -546,8 +564,7 @@ class _Classic(Stage):
 
     @cached_property
     def metadata(self) -> DataFrame:
-        info = self.spark.createDataFrame([], "address string, init_msg variant")
-        return classic_silver.contract_metadata(self.events, self.msgs, info)
+        return classic_silver.contract_metadata(self.events, self.msgs, contract_details(self.spark, self.sf))
 
     @cached_property
     def dex(self) -> DataFrame:
