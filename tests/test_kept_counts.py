@@ -2,6 +2,7 @@
 
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.incremental.distinct import Dictionary, HourlyDistinct
@@ -65,8 +66,9 @@ def _published(closed):
     return sorted(tuple(r) for r in closed.published.read().select("hour", "n", "who").collect())
 
 
-def test_late_rows_are_listed_and_repaired(spark):
-    closed = ClosedHours(spark, new_folder(spark, "closed"), ["n"], "at", _hours, timedelta(hours=2))
+@pytest.mark.parametrize("part", ["day", "month"])
+def test_late_rows_are_listed_and_repaired(spark, part):
+    closed = ClosedHours(spark, new_folder(spark, "closed"), ["n"], "at", _hours, timedelta(hours=2), part)
     hour = lambda h: START + timedelta(hours=h)
     closed.take(_rows(spark))
     assert closed.mark() is None

@@ -121,7 +121,7 @@ def late_rows_repaired(spark, sf):
     path, mark = new_folder(spark, "arriving"), new_folder(spark, "checkpoint")
     events = table(spark, sf, "events").select("event_id", "ts", "user_id")
     by_hour = lambda rows: rows.groupBy("hour").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("user_id").alias("users"))
-    closed = ClosedHours(spark, new_folder(spark, "closed"), ["event_id"], "ts", by_hour, timedelta(days=1))
+    closed = ClosedHours(spark, new_folder(spark, "closed"), ["event_id"], "ts", by_hour, timedelta(days=1), part="month")
     # the second wave holds the newest rows, the last one rows of all days and some that were there before
     late, early = F.col("event_id") % 5 == 0, F.col("ts") < F.lit(datetime(2024, 1, 12, 5))
     for wave in (events.where(~late & early), events.where(~late & ~early), events.where(late | (F.col("event_id") % 7 == 0))):
