@@ -104,3 +104,37 @@ def test_global_orders_in_two_levels(spark, rows, width):
         "b": F.first("v", True).over(w.rowsBetween(0, Window.unboundedFollowing)), "p": F.lag("v").over(w),
     })
     same(got, want, ["n", "c", "f", "b", "p"])
+
+
+@pytest.mark.parametrize("keys", [["k"], []])
+def test_steps_share_one_scan(rows, keys):
+    steps = {
+        "c": ordered.count_of(F.col("flag")), "n": ordered.number(), "f": ordered.last_of(F.col("v")),
+        "b": ordered.next_of(F.col("v")), "v": ordered.before(F.col("v")),
+    }
+    w = Window.partitionBy(*keys).orderBy(*ORDER)
+    upto, after = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
+    got = ordered.scan_steps(rows, keys, ORDER, chunk(), steps)
+    want = rows.withColumns({
+        "c": F.sum(F.col("flag").cast("int")).over(upto), "n": F.row_number().over(w), "f": F.last("v", True).over(upto),
+        "b": F.first("v", True).over(after), "p": F.lag("v").over(w),
+    }).drop("v").withColumnRenamed("p", "v")
+    same(got, want, ["c", "n", "f", "b", "v"])
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == (1 if keys else 2)
+
+
+def test_a_hot_hour_is_cut_by_density(spark):
+    """An hour with 5,000 of 5,200 rows: no slot of it holds much more than the rows asked for."""
+    calm = spark.range(200).selectExpr("id", "timestamp_seconds(id * 7200) as ts")
+    hot = spark.range(5000).selectExpr("id + 200 as id", "timestamp_micros(7200000000 + id * 500000) as ts")
+    rows = calm.union(hot)
+    hour = ordered.time_chunk(F.col("ts"))
+    cuts = ordered.density_cuts(rows, "ts", hour, 300)
+    at = ordered.density_chunk(F.col("ts"), hour, cuts)
+    sizes = [r["count"] for r in rows.groupBy(at.alias("at")).count().collect()]
+    assert len(cuts) >= 16 and max(sizes) <= 400 and len(sizes) < 250
+    w = Window.orderBy("ts", "id")
+    same(ordered.row_numbers(rows, [], ["ts", "id"], at, "n"), rows.withColumn("n", F.row_number().over(w)), ["n"])
+    assert ordered.density_cuts(rows, "ts", hour, 10_000) == []
+    assert ordered.density_cuts(rows.limit(0), "ts", hour, 10) == []

@@ -9,12 +9,14 @@ from ledgerlake.operators.dedupe import first_value_by
 from ledgerlake.operators.gaps import pages
 from ledgerlake.operators.joins import earliest_match, pair_nth, semi, with_next
 from ledgerlake.operators.ordered import (
-    carry_backward, carry_forward, event_groups, previous_value, row_numbers, time_chunk,
+    before, carry_forward, count_of, density_chunk, density_cuts, event_groups, group_number, number, row_numbers, scan_steps,
+    time_chunk,
 )
 from ledgerlake.operators.pivot import object_of, pivot_known
 from ledgerlake.plans.classic_silver import balance_chain, daily_locf
 from ledgerlake.plans.observability import counted_transactions
 from ledgerlake.run import Run
+from ledgerlake.session import settle
 from workload import query, table
 from workload.relational import cents, last_event
 
@@ -58,14 +60,22 @@ SELECT g.event_id, CASE WHEN grp IS NULL THEN NULL ELSE coalesce(first_value(ste
 FROM g LEFT JOIN c ON g.event_id = c.event_id
 """)
 def sub_group_backfill(spark, sf):
-    groups = _groups(spark, sf)
-    bought = groups.where((F.col("event_type") == "purchase") & F.col("grp").isNotNull())
-    clicks = semi(groups.where(F.col("event_type") == "click"), bought, "user_id", "grp")
-    steps = row_numbers(clicks, ["user_id", "grp"], ["ts", "event_id"], hour(), "n")
-    joined = groups.join(steps.select("event_id", (F.col("n") - 1).alias("step")), "event_id", "left")
-    carried = carry_backward(joined, ["user_id", "grp"], ["ts", "event_id"], hour(), F.col("step"), "back")
-    sub = F.when(F.col("grp").isNotNull(), F.coalesce("back", F.lit(0)))
-    return carried.select("event_id", sub.alias("sub_grp"))
+    """In a group with a purchase, the clicks before a row are the step of the next click, if there is one."""
+    rows = events(spark, sf).select("event_id", "user_id", "ts", "event_type")
+    is_ = lambda kind: F.col("event_type") == kind
+    at = density_chunk(F.col("ts"), hour(), density_cuts(rows, "ts", hour()))
+    steps = {"starts": count_of(is_("signup")), "clicks": count_of(is_("click"))}
+    counted = settle(scan_steps(rows, ["user_id"], ["ts", "event_id"], at, steps), "sub-groups").select(
+        "event_id", "user_id", "event_type", group_number(F.col("starts")).alias("grp"),
+        (F.col("clicks") - is_("click").cast("int")).alias("ahead"),
+    )
+    groups = counted.where("grp is not null").groupBy("user_id", "grp").agg(
+        F.min("ahead").alias("first"), F.count_if(is_("click")).alias("n"), F.bool_or(is_("purchase")).alias("bought"),
+    )
+    joined = counted.join(groups, ["user_id", "grp"], "left")
+    step = F.col("ahead") - F.col("first")
+    sub = F.when(F.col("grp").isNotNull(), F.when(F.col("bought") & (step < F.col("n")), step).otherwise(0))
+    return joined.select("event_id", sub.alias("sub_grp"))
 
 
 @query("""
@@ -98,8 +108,8 @@ SELECT event_id, lag(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id)
 """)
 def lag_and_row_number(spark, sf):
     rows = events(spark, sf).select("event_id", "user_id", "ts")
-    lagged = previous_value(rows, ["user_id"], ["ts", "event_id"], hour(), F.col("event_id"), "prev_event")
-    numbered = row_numbers(lagged, ["user_id"], ["ts", "event_id"], hour(), "rn")
+    steps = {"prev_event": before(F.col("event_id")), "rn": number()}
+    numbered = scan_steps(rows, ["user_id"], ["ts", "event_id"], hour(), steps)
     return numbered.select("event_id", "prev_event", "rn")
 
 
