@@ -79,8 +79,9 @@ def _pieces(ids: list, texts: list[bytes], length: int):
         yield held
 
 
-RUN = ["gram", "context", "doc", "start", "count", "known"]
-SPAN = ["span_doc", "span_start", "span_end"]
+# a document is an id and the hash of its text (form), for one id may have several texts
+RUN = ["gram", "context", "doc", "form", "start", "count", "known"]
+SPAN = ["span_doc", "span_form", "span_start", "span_end"]
 SENT = "bucket long, " + ", ".join(f"{c} binary" for c in RUN + SPAN)
 
 
@@ -90,8 +91,8 @@ def _blank(batch: pa.RecordBatch, names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([have.get(name, pa.nulls(batch.num_rows, pa.binary())) for name in names], names=names)
 
 
-def _spans(doc, start, end, buckets: int, names: list[str]):
-    for batch in postings(doc, [start, end], buckets, SPAN):
+def _spans(doc, form, start, end, buckets: int, names: list[str]):
+    for batch in postings(doc, [form, start, end], buckets, SPAN):
         yield _blank(batch, names)
 
 
@@ -104,15 +105,15 @@ def _runs_of_task(length: int, buckets: int):
         size = 0
 
         def flush():
-            doc, start, count, gram, context = (np.concatenate(x) for x in zip(*held, strict=True))
+            doc, form, start, count, gram, context = (np.concatenate(x) for x in zip(*held, strict=True))
             order = np.lexsort((context, gram))
-            doc, start, count, gram, context = (x[order] for x in (doc, start, count, gram, context))
+            doc, form, start, count, gram, context = (x[order] for x in (doc, form, start, count, gram, context))
             fresh = np.r_[True, (gram[1:] != gram[:-1]) | (context[1:] != context[:-1])]
             first = np.flatnonzero(fresh)
             times = np.diff(np.r_[first, len(gram)])
             known = np.repeat(times > 1, times)
-            yield from _spans(doc[known], start[known], (start + count - 1 + length)[known], buckets, names)
-            for batch in postings(gram[first], [context[first], doc[first], start[first], count[first].astype(np.int32), (times > 1).astype(np.int8)], buckets, RUN):
+            yield from _spans(doc[known], form[known], start[known], (start + count - 1 + length)[known], buckets, names)
+            for batch in postings(gram[first], [context[first], doc[first], form[first], start[first], count[first].astype(np.int32), (times > 1).astype(np.int8)], buckets, RUN):
                 yield _blank(batch, names)
 
         for ids, texts in documents_of(batches):
@@ -122,9 +123,9 @@ def _runs_of_task(length: int, buckets: int):
                 part, start, count, gram, context = runs(data, ends, length, ANCHOR, 0)
                 if not len(part):
                     continue
-                doc = np.array([d for d, _, _ in pieces], np.int64)[part]
+                doc, form = np.array([(d["doc"], d["form"]) for d, _, _ in pieces], np.int64).T[:, part]
                 offset = np.array([o for _, o, _ in pieces], np.int64)[part]
-                held.append((doc, start + offset, count, gram, context))
+                held.append((doc, form, start + offset, count, gram, context))
                 size += len(doc)
             if size >= FLUSH:
                 yield from flush()
@@ -136,14 +137,14 @@ def _runs_of_task(length: int, buckets: int):
     return run
 
 
-WANTED = ["want_doc", "want_gram", "want_start", "want_count", "want_open", "want_crowd"]
+WANTED = ["want_doc", "want_form", "want_gram", "want_start", "want_count", "want_open", "want_crowd"]
 MET = "bucket long, " + ", ".join(f"{c} binary" for c in SPAN + WANTED)
 
 
 def _met_runs(length: int, buckets: int):
     """Spans of runs with equal contexts; and of anchors with several contexts, one run of each context, ``open`` if
     its own windows are still to be judged."""
-    kinds = {"gram": "<u8", "context": "<u8", "doc": "<i8", "start": "<i8", "count": "<i4", "known": "i1"}
+    kinds = {"gram": "<u8", "context": "<u8", "doc": "<i8", "form": "<i8", "start": "<i8", "count": "<i4", "known": "i1"}
     names = ["bucket", *SPAN, *WANTED]
 
     def run(batches):
@@ -155,16 +156,16 @@ def _met_runs(length: int, buckets: int):
             sent = batch.filter(batch.column("gram").is_valid())
             for name in kinds:
                 parts[name] += sent.column(name).to_pylist()
-        gram, context, doc, start, count, known = (np.frombuffer(b"".join(parts[name]), kind) for name, kind in kinds.items())
+        gram, context, doc, form, start, count, known = (np.frombuffer(b"".join(parts[name]), kind) for name, kind in kinds.items())
         if not len(gram):
             return
         order = np.lexsort((context, gram))
-        gram, context, doc, start, count, known = (x[order] for x in (gram, context, doc, start, count.astype(np.int64), known))
+        gram, context, doc, form, start, count, known = (x[order] for x in (gram, context, doc, form, start, count.astype(np.int64), known))
         fresh = np.r_[True, (gram[1:] != gram[:-1]) | (context[1:] != context[:-1])]
         first = np.flatnonzero(fresh)
         times = np.diff(np.r_[first, len(gram)])
         again = np.repeat(times > 1, times) & (known == 0)
-        yield from _spans(doc[again], start[again], (start + count - 1 + length)[again], buckets, names)
+        yield from _spans(doc[again], form[again], start[again], (start + count - 1 + length)[again], buckets, names)
         heads = gram[first]
         anchors = np.flatnonzero(np.r_[True, heads[1:] != heads[:-1]])
         crowd = np.repeat(np.diff(np.r_[anchors, len(heads)]), np.diff(np.r_[anchors, len(heads)]))
@@ -172,30 +173,35 @@ def _met_runs(length: int, buckets: int):
         judged = np.repeat(np.add.reduceat(open_.astype(np.int64), anchors) > 0, np.diff(np.r_[anchors, len(heads)]))
         pick = (crowd > 1) & judged
         chosen = first[pick]
-        for batch in postings(doc[chosen], [gram[chosen], start[chosen], count[chosen], open_[pick].astype(np.int8), crowd[pick]], buckets, WANTED):
+        for batch in postings(doc[chosen], [form[chosen], gram[chosen], start[chosen], count[chosen], open_[pick].astype(np.int8), crowd[pick]], buckets, WANTED):
             yield _blank(batch, names)
 
     return run
 
 
+def _heads(doc: np.ndarray, form: np.ndarray) -> np.ndarray:
+    """Where documents begin in rows sorted by document."""
+    return np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (form[1:] != form[:-1])]) if len(doc) else np.empty(0, np.int64)
+
+
 def _by_document(batches):
     """One row for each document: the wanted runs."""
-    kinds = ("<i8", "<u8", "<i8", "<i8", "i1", "<i8")
+    kinds = ("<i8", "<i8", "<u8", "<i8", "<i8", "i1", "<i8")
     parts: list[list[bytes]] = [[] for _ in kinds]
     for batch in batches:
         for column, values in zip(parts, batch.columns[1:], strict=True):
             column += values.to_pylist()
-    doc, *rest = (np.frombuffer(b"".join(p), k) for p, k in zip(parts, kinds, strict=True))
-    order = np.argsort(doc, kind="stable")
-    doc, rest = doc[order], [x[order] for x in rest]
-    first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.empty(0, np.int64)
+    doc, form, *rest = (np.frombuffer(b"".join(p), k) for p, k in zip(parts, kinds, strict=True))
+    order = np.lexsort((form, doc))
+    doc, form, rest = doc[order], form[order], [x[order] for x in rest]
+    first = _heads(doc, form)
     ends = np.r_[first[1:], len(doc)][: len(first)]
     for a in range(0, len(first), 500):
         cut = list(zip(first[a : a + 500].tolist(), ends[a : a + 500].tolist(), strict=True))
-        yield pa.RecordBatch.from_arrays([pa.array(doc[first[a : a + 500]]), *[pa.array([x[i:j].tobytes() for i, j in cut], pa.binary()) for x in rest]], names=["doc", *WANTED[1:]])
+        yield pa.RecordBatch.from_arrays([pa.array(doc[first[a : a + 500]]), pa.array(form[first[a : a + 500]]), *[pa.array([x[i:j].tobytes() for i, j in cut], pa.binary()) for x in rest]], names=["doc", "form", *WANTED[2:]])
 
 
-CONTEXT = "gram long, doc long, start long, count long, open boolean, bytes binary"
+CONTEXT = "gram long, doc long, form long, start long, count long, open boolean, bytes binary"
 
 
 def _contexts(length: int):
@@ -205,8 +211,8 @@ def _contexts(length: int):
         for batch in batches:
             text = batch.column("text").cast(pa.binary())
             for row in range(batch.num_rows):
-                whole, doc = text[row].as_py(), batch.column("doc")[row].as_py()
-                gram, start, count, judge, crowd = (np.frombuffer(batch.column(c)[row].as_py(), k) for c, k in zip(WANTED[1:], ("<u8", "<i8", "<i8", "i1", "<i8"), strict=True))
+                whole, doc, form = text[row].as_py(), batch.column("doc")[row].as_py(), batch.column("form")[row].as_py()
+                gram, start, count, judge, crowd = (np.frombuffer(batch.column(c)[row].as_py(), k) for c, k in zip(WANTED[2:], ("<u8", "<i8", "<i8", "i1", "<i8"), strict=True))
                 out: list[tuple] = []
                 for g, a, n, o, c in zip(gram.tolist(), start.tolist(), count.tolist(), judge.tolist(), crowd.tolist(), strict=True):
                     part = whole[a : a + n - 1 + length]
@@ -218,8 +224,8 @@ def _contexts(length: int):
                     out += [(k, a + i, m, o, part[i : i + m - 1 + length]) for k, i, m in zip(keys.tolist(), at.tolist(), size.tolist(), strict=True)]
                 columns = list(zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.array(columns[0], U).view(np.int64)), pa.array([doc] * len(out), pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64()), pa.array([bool(o) for o in columns[3]]), pa.array(columns[4], pa.binary())],
-                    names=["gram", "doc", "start", "count", "open", "bytes"],
+                    [pa.array(np.array(columns[0], U).view(np.int64)), pa.array([doc] * len(out), pa.int64()), pa.array([form] * len(out), pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64()), pa.array([bool(o) for o in columns[3]]), pa.array(columns[4], pa.binary())],
+                    names=["gram", "doc", "form", "start", "count", "open", "bytes"],
                 )
 
     return run
@@ -289,16 +295,16 @@ def repeated_suffixes(text: np.ndarray, length: int) -> tuple[np.ndarray, np.nda
 
 
 def _block_spans(block: list[tuple], length: int):
-    """(doc, start, end) of repeated windows among the contexts of one block."""
-    sizes = np.array([len(b[4]) + 1 for b in block])
+    """(doc, form, start, end) of repeated windows among the contexts of one block."""
+    sizes = np.array([len(b[5]) + 1 for b in block])
     ends = np.cumsum(sizes)
-    text = np.frombuffer(b"\0".join(b[4] for b in block) + b"\0", np.uint8).astype(np.int16) + 1
+    text = np.frombuffer(b"\0".join(b[5] for b in block) + b"\0", np.uint8).astype(np.int16) + 1
     text[ends - 1] = 0
     order, joined = repeated_suffixes(text, length)
     hit = np.zeros(len(text), bool)
     hit[order[joined]] = True
     hit[order[1:][joined[:-1]]] = True
-    doc, start, count, judge = (np.array([b[i] for b in block], np.int64) for i in range(4))
+    doc, form, start, count, judge = (np.array([b[i] for b in block], np.int64) for i in range(5))
     begin = ends - sizes
     owner = np.repeat(np.arange(len(block)), sizes)
     inside = np.arange(len(text)) - begin[owner]
@@ -308,7 +314,7 @@ def _block_spans(block: list[tuple], length: int):
         return None
     first = np.r_[True, (at[1:] != at[:-1] + 1) | (owner[at][1:] != owner[at][:-1])]
     a, b = at[first], at[np.r_[first[1:], True]]
-    return doc[owner[a]], start[owner[a]] + inside[a], start[owner[b]] + inside[b] + length
+    return doc[owner[a]], form[owner[a]], start[owner[a]] + inside[a], start[owner[b]] + inside[b] + length
 
 
 def _expanded(length: int, buckets: int):
@@ -321,12 +327,12 @@ def _expanded(length: int, buckets: int):
                 yield from postings(found[0], list(found[1:]), buckets, SPAN)
 
         for batch in batches:
-            for gram, doc, start, count, judge, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for gram, doc, form, start, count, judge, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if gram != now and size >= BLOCK:
                     yield from done()
                     block, size = [], 0
                 now = gram
-                block.append((doc, start, count, int(judge), text))
+                block.append((doc, form, start, count, int(judge), text))
                 size += len(text)
         yield from done()
 
@@ -335,45 +341,51 @@ def _expanded(length: int, buckets: int):
 
 def _merged(batches):
     """One row for each document that loses bytes: its maximal removed runs."""
-    parts: list[list[bytes]] = [[], [], []]
+    parts: list[list[bytes]] = [[], [], [], []]
     for batch in batches:
         for column, values in zip(parts, batch.columns[1:], strict=True):
             column += values.to_pylist()
-    doc, start, end = (np.frombuffer(b"".join(p), "<i8") for p in parts)
-    order = np.lexsort((start, doc))
-    doc, start, end = doc[order], start[order], end[order]
-    first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.empty(0, np.int64)
+    doc, form, start, end = (np.frombuffer(b"".join(p), "<i8") for p in parts)
+    order = np.lexsort((start, form, doc))
+    doc, form, start, end = doc[order], form[order], start[order], end[order]
+    first = _heads(doc, form)
     rows: list[tuple] = []
     for a, b in zip(first.tolist(), [*first[1:].tolist(), len(doc)][: len(first)], strict=True):
         reach = np.maximum.accumulate(end[a:b])
         fresh = np.r_[True, start[a + 1 : b] > reach[:-1]]
-        rows.append((int(doc[a]), start[a:b][fresh].tobytes(), reach[np.r_[fresh[1:], True]].tobytes()))
+        rows.append((int(doc[a]), int(form[a]), start[a:b][fresh].tobytes(), reach[np.r_[fresh[1:], True]].tobytes()))
     for i in range(0, len(rows), 1000):
         cut = rows[i : i + 1000]
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in cut], t) for k, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], names=["doc", "starts", "ends"])
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in cut], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.binary(), pa.binary()))], names=["doc", "form", "starts", "ends"])
+
+
+def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    whole = F.col(text).cast("binary")
+    return docs.select(F.col(doc_id).cast("long").alias("doc"), F.xxhash64(whole).alias("form"), whole.alias("text")).where("doc is not null")
 
 
 def repeated_spans(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (doc, starts, ends; packed 64-bit offsets): the maximal runs of bytes that strings of ``length`` bytes cover
+    """Rows (doc, form, starts, ends; packed 64-bit offsets): the maximal runs of bytes that strings of ``length`` bytes cover
     which also start elsewhere, in the same or another document. Documents without any have no row.
 
     Texts are UTF-8 bytes; null is empty; texts shorter than ``length`` have no such string. Rows without an id are left
-    out. Rows with one id and one text are copies of each other. Other columns are not read.
+    out. Rows with one id and one text are copies of each other; other texts of one id are documents of their own, told
+    apart by ``form``, the hash of the text. Other columns are not read.
     """
     spark = docs.sparkSession
     ready(spark, 200)
     parts = deals(spark)
     buckets = 4 * parts
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).cast("binary").alias("text")).where("doc is not null")
-    sent = texts.mapInArrow(_runs_of_task(length, buckets), SENT)
+    texts = _texts(docs, doc_id, text)
+    sent = texts.select(F.struct("doc", "form"), "text").mapInArrow(_runs_of_task(length, buckets), SENT)
     met = settle(sent.repartition(parts, "bucket").mapInArrow(_met_runs(length, buckets), MET), "repeat-runs")
     wanted = met.where("want_doc is not null").select("bucket", *WANTED)
-    listed = wanted.repartition(parts, "bucket").mapInArrow(_by_document, "doc long, " + ", ".join(f"{c} binary" for c in WANTED[1:]))
-    contexts = texts.join(listed.hint("merge"), "doc").mapInArrow(_contexts(length), CONTEXT)
+    listed = wanted.repartition(parts, "bucket").mapInArrow(_by_document, "doc long, form long, " + ", ".join(f"{c} binary" for c in WANTED[2:]))
+    contexts = texts.join(listed.hint("merge"), ["doc", "form"]).mapInArrow(_contexts(length), CONTEXT)
     spread = contexts.repartition(parts, "gram").sortWithinPartitions("gram")
-    found = spread.select("gram", "doc", "start", "count", "open", "bytes").mapInArrow(_expanded(length, buckets), "bucket long, " + ", ".join(f"{c} binary" for c in SPAN))
+    found = spread.select("gram", "doc", "form", "start", "count", "open", "bytes").mapInArrow(_expanded(length, buckets), "bucket long, " + ", ".join(f"{c} binary" for c in SPAN))
     spans = met.where("span_doc is not null").select("bucket", *SPAN).unionByName(found)
-    return spans.repartition(parts, "bucket").mapInArrow(_merged, "doc long, starts binary, ends binary")
+    return spans.repartition(parts, "bucket").mapInArrow(_merged, "doc long, form long, starts binary, ends binary")
 
 
 def _digests(batches):
@@ -397,5 +409,5 @@ def _digests(batches):
 def without_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     """Per document: bytes, removed bytes, maximal removed runs, and the digest of what is left (see repeated_spans)."""
     spans = repeated_spans(docs, length)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("binary").alias("text")).where("doc is not null")
-    return texts.join(spans.hint("merge"), "doc", "left").select("doc", "text", "starts", "ends").mapInArrow(_digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    texts = _texts(docs, "doc_id", "text")
+    return texts.join(spans.hint("merge"), ["doc", "form"], "left").select("doc", "text", "starts", "ends").mapInArrow(_digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
