@@ -106,20 +106,22 @@ def secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     """Rows (doc_id, n_assign, n_access, n_hex, base_sha256, spans), one for each row of ``docs`` with an id.
 
     Spans are ``kind:start:end`` in code points, by start, then kind. A random span within a base span adds nothing and
-    is left out. Null and empty texts have no spans. Rows with equal id and text give equal rows. Other columns are not
+    is left out. Null and empty texts have no spans. Rows with equal id and text give equal rows; other texts of one id
+    have spans of their own. Other columns are not
     read. An empty table gives no rows.
     """
     rows = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("clean"))
+    rows = rows.withColumn("form", F.xxhash64("clean"))  # tells texts of one id apart
     rows = rows.withColumn("clean", F.expr(f"replace(clean, '{MARK}', '{OTHER}')"))
     longest = f"length(regexp_extract(x, {_literal(ASSIGN)}, 2)) >= 6"
-    found = rows.select("doc_id", *[F.expr(e).alias(n) for n, e in (("assign", _spans(ASSIGN, 0, longest)), ("access", _spans(ACCESS, 1)), ("hex", _spans(HEX, 2)), ("words", _spans(CANDIDATE, 3)))])
+    found = rows.select("doc_id", "form", *[F.expr(e).alias(n) for n, e in (("assign", _spans(ASSIGN, 0, longest)), ("access", _spans(ACCESS, 1)), ("hex", _spans(HEX, 2)), ("words", _spans(CANDIDATE, 3)))])
     found = found.withColumn("base", F.expr("array_sort(concat(assign, access, hex))")).select(
-        "doc_id", *[F.expr(f"cast(size({k}) as long)").alias(f"n_{k}") for k in KINDS[:3]], F.expr("transform(base, s -> struct(s.start, s.kind, s.end))").alias("base"),
+        "doc_id", "form", *[F.expr(f"cast(size({k}) as long)").alias(f"n_{k}") for k in KINDS[:3]], F.expr("transform(base, s -> struct(s.start, s.kind, s.end))").alias("base"),
         F.expr("filter(words, w -> not exists(base, b -> b.start <= w.start and b.end >= w.end))").alias("words"),
     )
     found = settle(found, "secret-spans")
-    named = settle(random_ones(found.select("doc_id", F.explode("words").alias("w")).select("doc_id", "w.start", "w.kind", "w.end", "w.word")).select("doc_id", "start", "kind", "end").distinct(), "secret-random")
-    added = named.groupBy("doc_id").agg(F.collect_list(F.struct("start", "kind", "end")).alias("added"))
-    whole = found.join(added, "doc_id", "left")
+    named = settle(random_ones(found.select("doc_id", "form", F.explode("words").alias("w")).select("doc_id", "form", "w.start", "w.kind", "w.end", "w.word")).select("doc_id", "form", "start", "kind", "end").distinct(), "secret-random")
+    added = named.groupBy("doc_id", "form").agg(F.collect_list(F.struct("start", "kind", "end")).alias("added"))
+    whole = found.join(added, ["doc_id", "form"], "left")
     every = "array_sort(concat(base, coalesce(added, cast(array() as array<struct<start:int,kind:int,end:int>>))))"
     return whole.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.expr(_joined("base")).cast("binary"), 256).alias("base_sha256"), F.expr(_joined(every)).alias("spans"))
