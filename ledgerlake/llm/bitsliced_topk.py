@@ -15,10 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ledgerlake.llm.shared import ready, settle
+from ledgerlake.llm.shared import deals, ready, settle
 
 BLOCK, QUERIES = 32_768, 256  # rows of a block of the index; queries that meet it at once
 SLICES = 6  # highest bits of a component that have slices
+ROWS_AT_ONCE = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 INDEX = "dims int, block long, low long, slices binary, ids binary, rows binary, lows binary"
 
@@ -144,12 +145,21 @@ class Block:
         return [b for b in best if b[0] != vec][:k]
 
 
+MEET = ["place", "turn", "dims", "part", "low", "slices", "ids", "rows", "query_ids", "queries"]
+
+
 def _searched(k: int):
+    """From rows sorted by block: a block (part -1), then the query parts that are dealt to it. One block is held."""
+
     def run(batches):
+        at, block = None, None
         for batch in batches:
-            names = ("dims", "low", "slices", "ids", "rows", "query_ids", "queries")
-            for dims, low, slices, ids, rows, query_ids, queries in zip(*[batch.column(c).to_pylist() for c in names], strict=True):
-                block = Block(dims, low, slices, ids, rows)
+            for place, turn, dims, part, low, slices, ids, rows, query_ids, queries in zip(*[batch.column(c).to_pylist() for c in MEET], strict=True):
+                if part < 0:
+                    at, block = (place, turn, dims), Block(dims, low, slices, ids, rows)
+                    continue
+                if at != (place, turn, dims):  # no vector of this length lies in the block
+                    continue
                 wanted = np.frombuffer(query_ids, "<i8").tolist()
                 out = [(vec, *hit) for vec, q in zip(wanted, np.frombuffer(queries, "<i8").reshape(len(wanted), dims), strict=True) for hit in block.search(vec, q, k)]
                 columns = list(zip(*out, strict=True)) or [()] * 3
@@ -198,8 +208,22 @@ def top_scores(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1
     asked = rows.where(F.pmod("vec_id", F.lit(every)) == 0).withColumn("part", F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(parts)))
     asked = asked.repartition(parts, "dims", "part").sortWithinPartitions("dims", "part", "vec_id").select("dims", "part", "vec_id", "q")
     asked = settle(asked.mapInArrow(_query_blocks, "dims int, part long, query_ids binary, queries binary"), "search-queries")
-    ready(spark, 4)  # rows are whole blocks from here on
-    meet = asked.join(index.select("dims", "block"), "dims").repartition(max(1, blocks * parts), "block", "part")
-    hits = meet.join(index, ["dims", "block"]).mapInArrow(_searched(k), "query_id long, vec_id long, score long")
+    # every part of the queries goes to every block; where blocks are few, each is dealt out several times
+    turns = max(1, min(parts, -(-deals(spark) // blocks)))
+    nothing = F.lit(None)
+    held = index.select(
+        F.col("block").cast("long").alias("place"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(turns - 1).cast("long"))).alias("turn"), "dims",
+        F.lit(-1).cast("long").alias("part"), "low", "slices", "ids", "rows", nothing.cast("binary").alias("query_ids"), nothing.cast("binary").alias("queries"),
+    )
+    kinds = {f.name: f.dataType for f in index.schema.fields}
+    sent = asked.select(
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("place"), F.pmod("part", F.lit(turns)).alias("turn"), "dims", "part",
+        *[nothing.cast(kinds[c]).alias(c) for c in ("low", "slices", "ids", "rows")], "query_ids", "queries",
+    )
+    together = held.unionByName(sent).repartition(2 * blocks * turns, "place", "turn").sortWithinPartitions("place", "turn", "dims", "part")
+    before = spark.conf.get(ROWS_AT_ONCE)
+    spark.conf.set(ROWS_AT_ONCE, "4")  # rows are whole blocks here
+    hits = settle(together.select(*MEET).mapInArrow(_searched(k), "query_id long, vec_id long, score long"), "search-hits")
+    spark.conf.set(ROWS_AT_ONCE, before)
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return hits.withColumn("rank", rank).where(f"rank <= {k}").select("query_id", F.col("rank").cast("int"), "vec_id", "score")
