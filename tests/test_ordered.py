@@ -138,3 +138,20 @@ def test_a_hot_hour_is_cut_by_density(spark):
     same(ordered.row_numbers(rows, [], ["ts", "id"], at, "n"), rows.withColumn("n", F.row_number().over(w)), ["n"])
     assert ordered.density_cuts(rows, "ts", hour, 10_000) == []
     assert ordered.density_cuts(rows.limit(0), "ts", hour, 10) == []
+
+
+def test_sub_groups_need_six_exchanges(spark, monkeypatch):
+    """Four for the scan, which is written once, and two for the groups' totals."""
+    from workload import event_ops
+
+    exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    seen = []
+    settle = event_ops.settle
+    monkeypatch.setattr(event_ops, "settle", lambda df, label: (seen.append(exchanges(df)), settle(df, label))[1])
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        seen.append(exchanges(event_ops.sub_group_backfill(spark, "/root/testdata/sf0.001")))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert sum(seen) <= 6
