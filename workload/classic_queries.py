@@ -126,9 +126,9 @@ def validator_labels(spark, sf):
 
 
 @query(f"""
-WITH {C} SELECT strftime(day, '%Y-%m-%d') AS day, CASE WHEN currency LIKE 'tok%' THEN currency ELSE currency END AS currency, symbol,
+WITH {C} SELECT strftime(day, '%Y-%m-%d') AS day, currency, symbol,
   rate AS luna_exchange_rate, price AS price_usd, source FROM px
-""".replace("CASE WHEN currency LIKE 'tok%' THEN currency ELSE currency END AS currency", "currency"))
+""")
 def oracle_prices(spark, sf):
     return Classic(spark, sf).prices.select(
         day(), "currency", "symbol", "luna_exchange_rate", "price_usd", "source"
@@ -261,10 +261,10 @@ iv AS (SELECT *, coalesce(lead(day) OVER (PARTITION BY u ORDER BY day), DATE '20
 @query(f"""
 WITH {C}, {DAILY}
 SELECT hash AS tx_id, c.u AS voter, a1.project AS voter_address_label, id AS proposal_id, 'yes' AS option,
-  CASE WHEN CAST(substr(c.u, 5) AS INTEGER) BETWEEN 20 AND 24 THEN d * 1000.0 + CAST(substr(c.u, 5) AS INTEGER) ELSE iv.n END AS voting_power
+  CASE WHEN CAST(substr(c.u, 5) AS INTEGER) BETWEEN 20 AND 24 THEN CAST(d * 1000 + CAST(substr(c.u, 5) AS INTEGER) AS DOUBLE) ELSE iv.n END AS voting_power
 FROM c LEFT JOIN lab a1 ON c.u = a1.address LEFT JOIN iv ON iv.u = c.u AND c.day >= iv.day AND c.day < iv.until
 WHERE kind = 'vote' AND ok
-""".replace("d * 1000.0 + CAST(substr(c.u, 5) AS INTEGER) ELSE iv.n END", "CAST(d * 1000 + CAST(substr(c.u, 5) AS INTEGER) AS DOUBLE) ELSE iv.n END"))
+""")
 def classic_votes(spark, sf):
     k = Classic(spark, sf)
     validators = classic_gold.dim_validator_labels(k.all_labels)

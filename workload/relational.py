@@ -117,13 +117,13 @@ def chunking(spark, sf):
 
 
 @query("""
-SELECT l_orderkey, k, sum(v) AS total, count(*) AS n, CAST(sum(i) AS BIGINT) AS positions
+SELECT l_orderkey, k, CAST(sum(v) AS BIGINT) AS total, count(*) AS n, CAST(sum(i) AS BIGINT) AS positions
 FROM (
   SELECT l_orderkey, 'qty' AS k, CAST(l_quantity AS BIGINT) AS v, 0 AS i FROM lineitem
   UNION ALL SELECT l_orderkey, 'price', CAST(round(l_extendedprice * 100) AS BIGINT), 1 FROM lineitem
   UNION ALL SELECT l_orderkey, 'disc', CAST(round(l_discount * 100) AS BIGINT), 2 FROM lineitem
 ) GROUP BY l_orderkey, k
-""".replace("sum(v) AS total", "CAST(sum(v) AS BIGINT) AS total"), name="flatten_array")
+""", name="flatten_array")
 def flatten_array_query(spark, sf):
     parts = [("qty", F.col("l_quantity").cast("bigint")), ("price", cents("l_extendedprice")), ("disc", cents("l_discount"))]
     body = F.to_json(F.array(*[F.struct(F.lit(k).alias("k"), v.alias("v")) for k, v in parts]))
@@ -254,9 +254,9 @@ def object_merge_query(spark, sf):
 
 
 @query("""
-SELECT o_orderkey, 2 AS fields, NULL AS status, o_orderpriority AS priority, CAST(o_orderkey AS VARCHAR) AS key_text
+SELECT o_orderkey, 2 AS fields, CAST(NULL AS VARCHAR) AS status, o_orderpriority AS priority, CAST(o_orderkey AS VARCHAR) AS key_text
 FROM orders
-""".replace("NULL AS status", "CAST(NULL AS VARCHAR) AS status"), name="object_delete")
+""", name="object_delete")
 def object_delete_query(spark, sf):
     kept = object_insert(object_delete(F.col("l"), "status", "cust"), "key", F.col("o_orderkey").cast("string"))
     return _maps(spark, sf).select("o_orderkey", kept.alias("m")).select(
@@ -343,10 +343,10 @@ def surrogate_key_query(spark, sf):
 
 @query("""
 SELECT o_orderkey, CAST(round(o_orderkey, -3) AS BIGINT) AS part, CAST(ceil(o_custkey / 100.0) * 100 AS BIGINT) AS up,
-       o_custkey % 7 AS m, abs(100 - o_custkey) AS a, o_orderkey / 1000000.0 AS scaled,
+       o_custkey % 7 AS m, abs(100 - o_custkey) AS a, CAST(o_orderkey AS DOUBLE) / 1000000 AS scaled,
        CASE WHEN o_orderstatus = 'P' THEN NULL ELSE greatest(o_custkey, o_orderkey) END AS g
 FROM orders
-""".replace("o_orderkey / 1000000.0 AS scaled", "CAST(o_orderkey AS DOUBLE) / 1000000 AS scaled"))
+""")
 def scalar_math(spark, sf):
     cust = F.col("o_custkey")
     return table(spark, sf, "orders").select(
