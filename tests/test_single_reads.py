@@ -37,3 +37,19 @@ def test_a_payload_is_read_once(spark):
     assert messages.count("parseJson") == 1  # before: two parses of each log, and a copy of each entry
     answers = plan(chain_bronze.response_transactions(chainlike.tx_responses(spark, entry.SMALL).select("block_number", "data", "_inserted_timestamp")))
     assert answers.count("try_variant_get(") == 2 and "lambda" not in answers  # the list and the hash; no lambda codes the events
+
+
+def test_the_text_of_an_answer_is_made_once(spark):
+    rows = chainlike.tx_responses(spark, entry.SMALL)
+    above, below = rows._jdf.queryExecution().optimizedPlan().toString().split("Generate explode(")
+    assert "tx_result" not in above and "tx_result" in below  # before: made after the landings, for each of them
+    gas = rows.select("block_number", vstr("data", "result.txs[0].hash").alias("tx"), vlong("data", "result.txs[0].tx_result.gasUsed").alias("gas"))
+    twice = gas.groupBy("tx").agg(F.count("*").alias("n"), (F.max("gas") - F.min("gas")).alias("more"))
+    assert twice.where((F.col("n") != 2) | (F.col("more") != 1)).count() == 0
+
+
+def test_an_order_without_a_customer_lands(spark, monkeypatch):
+    one = chainlike.orders(spark, entry.SMALL).limit(1).withColumn("o_custkey", F.lit(None).cast("bigint"))
+    monkeypatch.setattr(chainlike, "orders", lambda *_: one)
+    found = chainlike.tx_responses(spark, entry.SMALL).select(F.to_json("data").alias("j")).collect()
+    assert len(found) == 2 and all('"hash"' in r.j and "gasUsed" not in r.j for r in found)
