@@ -39,6 +39,43 @@ def test_a_payload_is_read_once(spark):
     assert answers.count("try_variant_get(") == 2 and "lambda" not in answers  # the list and the hash; no lambda codes the events
 
 
+ODD_EVENTS = [
+    '[{"type":"a","attributes":[{"key":"YWN0aW9u","value":"djE="},{"key":"k"},{"value":7},5,null,{"key":{"o":1},"value":[1,"x"]}]},{"type":"b"},{"attributes":null}]',
+    '[{"type":"message","attributes":[{"key":"action","value":"/x.MsgExec"}]},3,{"type":"message","attributes":[{"key":"module","value":"m"}]},'
+    '{"type":"message","attributes":[{"key":"bW9kdWxl","value":"m"}]},{"type":"t","attributes":{"key":"no list"}},{"type":"tx","attributes":[]}]',
+    '[{"type":"message","attributes":[{"key":"YWN0aW9u","value":"L2liYy5jb3JlLmNoYW5uZWwudjEuTXNnUmVjdlBhY2tldA=="}]},{"type":"message","attributes":[{"key":"module"}]},{"type":"z"}]',
+    "[]", "null", '{"type":"no list"}',
+]
+
+
+def odd_transactions(spark):
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(ODD_EVENTS)], "i bigint, t string")
+    tx = F.parse_json(F.concat(F.lit('{"tx_result":{"events":'), F.col("t"), F.lit("}}")))
+    now = F.lit("2020-01-01").cast("timestamp_ntz")
+    return rows.select(F.col("i").alias("block_id"), now.alias("block_timestamp"), F.concat(F.lit("tx"), "i").alias("tx_id"), F.lit(True).alias("tx_succeeded"), now.alias("_inserted_timestamp"), tx.alias("tx"))
+
+
+def test_attributes_equal_single_reads(spark):
+    events = chain_silver.msgs_2(odd_transactions(spark), chainlike.RUN)
+    single = events.select("_unique_key", F.posexplode(varray("msg", "attributes")).alias("i", "a")).select(
+        F.concat_ws("-", "_unique_key", "i").alias("id"), decode_attr(vstr("a", "key")).alias("k"), decode_attr(vstr("a", "value")).alias("v")
+    )
+    found = chain_silver.msg_attributes_2(events, chainlike.RUN)
+    both = [sorted(map(str, df.collect())) for df in (single, found.select(F.col("_unique_key").alias("id"), F.col("attribute_key").alias("k"), F.col("attribute_value").alias("v")))]
+    assert both[0] == both[1] and len(both[0]) == 11
+    plan = found._jdf.queryExecution().optimizedPlan().toString().split("Generate posexplode(")[0]
+    assert plan.count("try_variant_get(") == 0  # before: ten reads of each attribute, whose texts were decoded
+
+
+def test_groups_of_odd_events(spark):
+    rows = chain_silver.msgs_2(odd_transactions(spark), chainlike.RUN).orderBy("tx_id", "msg_index").collect()
+    assert [(r.tx_id, r.msg_index, r.msg_group, r.msg_sub_group, r.msg_type) for r in rows] == [
+        ("tx0", 0, 0, None, "a"), ("tx0", 1, 0, None, "b"), ("tx0", 2, 0, None, None),
+        ("tx1", 0, 0, 0, "message"), ("tx1", 1, 0, 0, None), ("tx1", 2, 0, 0, "message"), ("tx1", 3, 0, 1, "message"), ("tx1", 4, 0, None, "t"), ("tx1", 5, 0, None, "tx"),
+        ("tx2", 0, 0, 0, "message"), ("tx2", 1, 0, 0, "message"), ("tx2", 2, 0, 0, "z"),
+    ]
+
+
 def test_the_text_of_an_answer_is_made_once(spark):
     rows = chainlike.tx_responses(spark, entry.SMALL)
     above, below = rows._jdf.queryExecution().optimizedPlan().toString().split("Generate explode(")
